@@ -236,3 +236,20 @@ def order_preserving_index(df: DataFrame, group: Sequence[str], order: Sequence[
     """0-based position in the sorted group, for block and slot assignment."""
     numbered = rank_rows(df, group, order, "_pos", "first", rows)
     return numbered.select(*df.columns, (F.col("_pos") - 1).alias(name))
+
+
+def with_totals(df: DataFrame, group: Sequence[str], totals: Mapping[str, Column],
+                rows: int | None = None, bounded: bool = False) -> DataFrame:
+    """Add sums over the whole group to each row.
+
+    A window would hold a group in one task, so beyond ``rows_per_task`` the
+    sums are aggregated first and joined back; ``bounded`` says that the number
+    of groups was checked and the sums may be broadcast.
+    """
+    if rows is None:
+        rows = df.count()
+    if rows <= rows_per_task(df.sparkSession):
+        whole = Window.partitionBy(*group)
+        return df.select("*", *[F.sum(c).over(whole).alias(n) for n, c in totals.items()])
+    small = df.groupBy(*group).agg(*[F.sum(c).alias(n) for n, c in totals.items()])
+    return df.join(F.broadcast(small) if bounded else small, list(group))
