@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from screenmeld.catalog import (SIGMA_FRACTION, available, normalize_weights,
                                 normalized_weight_columns, score)
-from screenmeld.operators.ordering import rank_rows
+from screenmeld.operators.ordering import Bound, Rows, bound_of, rank_rows
 from screenmeld.session import rows_per_task
 
 MAX_TARGETS = 10_000
@@ -24,7 +24,7 @@ class Profile:
     fixed number of rows per target may be broadcast.
     """
 
-    rows: int
+    rows: Bound
     table: DataFrame
     bounded: bool
 
@@ -42,30 +42,32 @@ def profile(poses: DataFrame, scores: Iterable[str] | None = None,
     head = counts.limit(MAX_TARGETS + 1).collect()
     if len(head) <= MAX_TARGETS:
         table = poses.sparkSession.createDataFrame(head, counts.schema)
-        return Profile(sum(r["n"] for r in head), table, True)
-    return Profile(poses.count(), counts, False)
+        sizes = [r["n"] for r in head]
+        return Profile(Bound(max(sizes, default=0), sum(sizes)), table, True)
+    sizes = counts.agg(F.max("n"), F.sum("n")).first()
+    return Profile(Bound(sizes[0], sizes[1]), counts, False)
 
 
 def rank_scores(poses: DataFrame, scores: Sequence[str], ties: str = "first",
-                target: str = "target", rows: int | None = None,
+                target: str = "target", rows: Rows = None,
                 higher_is_better: Mapping[str, bool] | None = None) -> DataFrame:
     """Add ``rank_<score>`` per target (1 = best); a NULL score has no rank.
 
     ``ties='first'`` breaks ties by (ligand, pose), ``ties='min'`` gives equal
-    scores the same rank. Up to ``rows_per_task`` poses the ranks are windows
+    scores the same rank. Up to ``rows_per_task`` poses per target the ranks are windows
     over the wide rows; beyond, all functions are ranked at once in long form by
     range-cut ordering and brought back with one aggregation per pose.
     """
     if ties not in ("first", "min"):
         raise ValueError(f"unknown tie rule {ties!r}")
-    rows = poses.count() if rows is None else rows
+    rows = bound_of(poses, rows)
     higher = higher_is_better or {}
 
     def signed(k: str) -> Column:
         col = F.col(score(k).column)
         return -col if higher.get(k, False) else col
 
-    if rows <= rows_per_task(poses.sparkSession):
+    if rows.largest <= rows_per_task(poses.sparkSession):
         def ranked(k: str) -> Column:
             order = [signed(k).asc_nulls_last()]
             over = Window.partitionBy(target).orderBy(
@@ -79,7 +81,7 @@ def rank_scores(poses: DataFrame, scores: Sequence[str], ties: str = "first",
     long = (poses.select(target, "ligand", "pose", F.explode(entries).alias("e"))
             .select(target, "ligand", "pose", "e.fn", "e.key").filter(F.col("key").isNotNull()))
     order = ["key", "ligand", "pose"] if ties == "first" else ["key"]
-    ranks = rank_rows(long, ["fn", target], order, "rank", ties, rows * len(scores))
+    ranks = rank_rows(long, ["fn", target], order, "rank", ties, rows.times(len(scores)))
     wide = ranks.groupBy(target, "ligand", "pose").agg(
         *[F.max(F.when(F.col("fn") == k, F.col("rank"))).alias(score(k).rank_column)
           for k in scores])
@@ -145,7 +147,7 @@ def best_by_score(poses: DataFrame, key: str, higher_is_better: bool = False,
 
 
 def rank_ligands(ligands: DataFrame, value: str = "ecr_score", name: str = "ecr_rank",
-                 target: Sequence[str] = ("target",), rows: int | None = None) -> DataFrame:
+                 target: Sequence[str] = ("target",), rows: Rows = None) -> DataFrame:
     """Number the ligands of a target by falling ``value``, ties by ligand."""
     keyed = ligands.withColumn("_falling", -F.col(value))
     return rank_rows(keyed, list(target), ["_falling", "ligand"], name, "first",
@@ -188,7 +190,7 @@ def rerank_scenarios(poses: DataFrame, scores: Sequence[str],
     posed = terms.select("*", F.inline("_sets")).withColumn("ecr_total", sum(
         (F.col(f"_w_{k}") * F.col(score(k).term_column) for k in scores), F.lit(0.0)))
     ligands = best_pose(posed, scores, keys=("scenario", "target", "ligand"))
-    return rank_ligands(ligands, target=("scenario", "target"), rows=prof.rows * len(sets))
+    return rank_ligands(ligands, target=("scenario", "target"), rows=prof.rows.times(len(sets)))
 
 
 def top_n(ligands: DataFrame, n: int, value: str = "ecr_score",
@@ -205,7 +207,7 @@ def top_n(ligands: DataFrame, n: int, value: str = "ecr_score",
 
 
 def top_fraction(ligands: DataFrame, fraction: float, value: str = "ecr_score",
-                 rows: int | None = None) -> DataFrame:
+                 rows: Rows = None) -> DataFrame:
     """Best ``max(1, ceil(n * fraction))`` ligands per target."""
     if not 0.0 < fraction <= 1.0:
         raise ValueError("fraction must lie in (0, 1]")
@@ -232,7 +234,7 @@ def refinement_score(cnnscore: Column, affinity: Column, vina: Column) -> Column
     return F.coalesce(top / F.nullif(share, F.lit(0.0)), F.lit(0.0))
 
 
-def rank_refinement(results: DataFrame, rows: int | None = None) -> DataFrame:
+def rank_refinement(results: DataFrame, rows: Rows = None) -> DataFrame:
     """Deltas, combined score and rank of refined poses.
 
     Expects refined and original values in raw direction: ``refined_cnnscore``,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from screenmeld.catalog import EF_FRACTIONS
 from screenmeld.functions.stats import kolmogorov_p
-from screenmeld.operators.ordering import (cumulate, exact_quantiles, rank_rows, with_totals)
+from screenmeld.operators.ordering import Rows, cumulate, exact_quantiles, rank_rows, with_totals
 
 GROUP = ("target", "score")
 
@@ -49,7 +49,7 @@ def _ratio(top: Column, bottom: Column) -> Column:
     return top / F.when(bottom != 0, bottom)
 
 
-def auc_and_ap(df: DataFrame, group: Sequence[str] = GROUP, rows: int | None = None,
+def auc_and_ap(df: DataFrame, group: Sequence[str] = GROUP, rows: Rows = None,
                weight: Column | None = None) -> DataFrame:
     """ROC AUC with ties counted half and average precision over thresholds.
 
@@ -82,7 +82,7 @@ def ef_name(fraction: float) -> str:
 
 
 def enrichment(df: DataFrame, group: Sequence[str] = GROUP,
-               fractions: Sequence[float] = EF_FRACTIONS, rows: int | None = None,
+               fractions: Sequence[float] = EF_FRACTIONS, rows: Rows = None,
                bounded: bool = False) -> DataFrame:
     """Enrichment factors: hits among the best ``max(1, ceil(f*n))`` over ``f * actives``."""
     numbered = rank_rows(df, group, ["key", "ligand"], "_r", "first", rows)
@@ -104,7 +104,7 @@ def _enrichment_of(sized: DataFrame, group: Sequence[str], fractions: Sequence[f
 
 
 def ranking_metrics(df: DataFrame, group: Sequence[str] = GROUP,
-                    fractions: Sequence[float] = (0.01, 0.05), rows: int | None = None,
+                    fractions: Sequence[float] = (0.01, 0.05), rows: Rows = None,
                     bounded: bool = False) -> DataFrame:
     """AUC, average precision and enrichment from one ordering of each group.
 
@@ -133,14 +133,14 @@ def ranking_metrics(df: DataFrame, group: Sequence[str] = GROUP,
           for i, f in enumerate(fractions)])
 
 
-def thresholds(df: DataFrame, group: Sequence[str] = GROUP, rows: int | None = None) -> DataFrame:
+def thresholds(df: DataFrame, group: Sequence[str] = GROUP, rows: Rows = None) -> DataFrame:
     """One row per distinct key: counts there (tp, fp) and up to it (ctp, cfp)."""
     counts = df.groupBy(*group, "key").agg(
         F.sum("active").alias("tp"), F.sum(1 - F.col("active")).alias("fp"))
     return cumulate(counts, group, ["key"], {"ctp": F.col("tp"), "cfp": F.col("fp")}, rows)
 
 
-def curves(df: DataFrame, group: Sequence[str] = GROUP, rows: int | None = None,
+def curves(df: DataFrame, group: Sequence[str] = GROUP, rows: Rows = None,
            bounded: bool = False) -> DataFrame:
     """ROC and PR points per distinct key: tpr, fpr, precision, recall."""
     steps = thresholds(df, group, rows)
@@ -167,7 +167,7 @@ def class_balance(df: DataFrame, target: str = "target") -> DataFrame:
         (F.col("actives") / F.col("ligands")).alias("auprc_baseline"))
 
 
-def class_stats(df: DataFrame, group: Sequence[str] = GROUP, rows: int | None = None) -> DataFrame:
+def class_stats(df: DataFrame, group: Sequence[str] = GROUP, rows: Rows = None) -> DataFrame:
     """n, mean, sample std, median, min, max of the stored values per class."""
     keys = [*group, "active"]
     basic = df.groupBy(*keys).agg(
@@ -193,7 +193,7 @@ def cohens_d(df: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
     return part.select(*group, "n_a", "n_d", value.alias("cohens_d"))
 
 
-def ks_statistic(df: DataFrame, group: Sequence[str] = GROUP, rows: int | None = None,
+def ks_statistic(df: DataFrame, group: Sequence[str] = GROUP, rows: Rows = None,
                  bounded: bool = False) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov distance with its limiting p-value."""
     points = curves(df, group, rows, bounded)
@@ -207,7 +207,7 @@ def ks_statistic(df: DataFrame, group: Sequence[str] = GROUP, rows: int | None =
 
 
 def histogram(df: DataFrame, group: Sequence[str] = GROUP, edges: int = 45,
-              rows: int | None = None, bounded: bool = False) -> DataFrame:
+              rows: Rows = None, bounded: bool = False) -> DataFrame:
     """Class densities between the 1 % and 99 % quantiles in ``edges - 1`` bins."""
     q = exact_quantiles(df, group, "key", [0.01, 0.99], rows)
     span = q.groupBy(*group).agg(F.max(F.when(F.col("p") < 0.5, F.col("value"))).alias("lo"),

@@ -3,8 +3,8 @@
 A plain ``Window.partitionBy(group).orderBy(key)`` sorts a whole group in one
 task. Screening tables have few groups (targets) and one of them may hold a
 third of all rows, so every ordered operator of the library goes through this
-module. It uses the plain window only when the row bound handed in proves that
-no group can exceed ``rows_per_task``. Otherwise the composite key
+module. It uses the plain window only when the bound handed in proves that no
+group can exceed ``rows_per_task``. Otherwise the composite key
 ``(group, order)`` is cut into ranges at fixed, sampled cut points: the window
 runs inside one range, and the totals of the earlier ranges of the same group
 are added from a table of at most two rows per cut.
@@ -34,6 +34,28 @@ _SALT = "_salt"
 _INSIDE = "_inside"
 
 
+@dataclass(frozen=True)
+class Bound:
+    """Upper bounds known about a table: rows of its largest group, rows in all."""
+
+    largest: int
+    total: int
+
+    def times(self, groups: int, inside: int = 1) -> Bound:
+        """Bounds after ``groups`` copies of each group with ``inside``-fold rows."""
+        return Bound(self.largest * inside, self.total * groups * inside)
+
+
+Rows = int | Bound | None
+
+
+def bound_of(df: DataFrame, rows: Rows) -> Bound:
+    if isinstance(rows, Bound):
+        return rows
+    n = df.count() if rows is None else rows
+    return Bound(n, n)
+
+
 @dataclass(frozen=True)
 class _Ranges:
     """Sorted cut points over (group, order) and the ranges made of one key only."""
@@ -92,16 +114,15 @@ def _range_number(ranges: _Ranges, cuts: Column, group: Sequence[str],
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), halve)
 
 
-def _split(df: DataFrame, group: Sequence[str], order: Sequence[str], rows: int | None,
+def _split(df: DataFrame, group: Sequence[str], order: Sequence[str], rows: Rows,
            isolate: bool = True) -> tuple[DataFrame, _Ranges | None]:
     """Number the ranges; ``isolate`` gives a key that fills several ranges its
     own range, whose rows are then spread over many tasks by a salt."""
     per_task = rows_per_task(df.sparkSession)
-    if rows is None:
-        rows = df.count()
+    bound = bound_of(df, rows)
     ranges = None
-    if rows > per_task:
-        ranges = _sample_ranges(df, group, order, rows, per_task, isolate)
+    if bound.largest > per_task:
+        ranges = _sample_ranges(df, group, order, bound.total, per_task, isolate)
     if ranges is None:
         return df, None
     cuts = ranges.literal()
@@ -133,10 +154,11 @@ def _with_offsets(df: DataFrame, group: Sequence[str], sums: Mapping[str, Column
 
 
 def cumulate(df: DataFrame, group: Sequence[str], order: Sequence[str],
-             sums: Mapping[str, Column], rows: int | None = None) -> DataFrame:
+             sums: Mapping[str, Column], rows: Rows = None) -> DataFrame:
     """Add running sums along ascending ``order`` that include all equal keys.
 
-    ``rows`` is an upper bound of ``df.count()``; it is counted when not given.
+    ``rows`` bounds the row count, or the :class:`Bound` of groups and table; the
+    table is counted when nothing is given.
     Group and order columns must not be NULL.
     """
     if not sums:
@@ -161,7 +183,7 @@ def cumulate(df: DataFrame, group: Sequence[str], order: Sequence[str],
 
 
 def rank_rows(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "rank",
-              method: str = "first", rows: int | None = None) -> DataFrame:
+              method: str = "first", rows: Rows = None) -> DataFrame:
     """Add the rank of each row along ascending ``order`` within its group.
 
     ``method``: ``first`` numbers the rows 1..n (``order`` must end in a unique
@@ -195,7 +217,7 @@ def rank_rows(df: DataFrame, group: Sequence[str], order: Sequence[str], name: s
 
 
 def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequence[float],
-                    rows: int | None = None) -> DataFrame:
+                    rows: Rows = None) -> DataFrame:
     """Exact linear-interpolated quantiles: rows ``group, p, value``.
 
     Small inputs use the built-in exact ``percentile``. It keeps every distinct
@@ -205,10 +227,9 @@ def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequ
     spark = df.sparkSession
     plain = df.select(*group, F.col(value).cast("double").alias("_v")).filter(
         F.col("_v").isNotNull())
-    if rows is None:
-        rows = plain.count()
+    rows = bound_of(plain, rows)
     grid = F.array(*[F.lit(float(p)) for p in probs])
-    if rows <= rows_per_task(spark):
+    if rows.largest <= rows_per_task(spark):
         return (plain.groupBy(*group)
                 .agg(F.percentile("_v", [float(p) for p in probs]).alias("_q"))
                 .select(*group, F.explode(F.arrays_zip(grid.alias("p"), F.col("_q"))).alias("_z"))
@@ -232,23 +253,21 @@ def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequ
 
 
 def order_preserving_index(df: DataFrame, group: Sequence[str], order: Sequence[str],
-                           name: str = "idx", rows: int | None = None) -> DataFrame:
+                           name: str = "idx", rows: Rows = None) -> DataFrame:
     """0-based position in the sorted group, for block and slot assignment."""
     numbered = rank_rows(df, group, order, "_pos", "first", rows)
     return numbered.select(*df.columns, (F.col("_pos") - 1).alias(name))
 
 
 def with_totals(df: DataFrame, group: Sequence[str], totals: Mapping[str, Column],
-                rows: int | None = None, bounded: bool = False) -> DataFrame:
+                rows: Rows = None, bounded: bool = False) -> DataFrame:
     """Add sums over the whole group to each row.
 
     A window would hold a group in one task, so beyond ``rows_per_task`` the
     sums are aggregated first and joined back; ``bounded`` says that the number
     of groups was checked and the sums may be broadcast.
     """
-    if rows is None:
-        rows = df.count()
-    if rows <= rows_per_task(df.sparkSession):
+    if bound_of(df, rows).largest <= rows_per_task(df.sparkSession):
         whole = Window.partitionBy(*group)
         return df.select("*", *[F.sum(c).over(whole).alias(n) for n, c in totals.items()])
     small = df.groupBy(*group).agg(*[F.sum(c).alias(n) for n, c in totals.items()])

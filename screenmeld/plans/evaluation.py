@@ -25,7 +25,7 @@ def evaluated(spark, sf):
 
 def long_rows(spark, sf):
     wide, prof = evaluated(spark, sf)
-    return E.labelled(wide, DIRECTIONS), prof.rows * len(DIRECTIONS), prof.bounded
+    return E.labelled(wide, DIRECTIONS), prof.rows.times(len(DIRECTIONS)), prof.bounded
 
 
 def _long_sql() -> str:
@@ -177,7 +177,7 @@ def score_histogram(spark, sf):
     first = poses(spark, sf).filter("pose = 1")
     prof = C.profile(first, SCORES)
     long = E.labelled(first, {c: False for c in COLUMNS})
-    out = E.histogram(long, rows=prof.rows * len(COLUMNS), bounded=prof.bounded)
+    out = E.histogram(long, rows=prof.rows.times(len(COLUMNS)), bounded=prof.bounded)
     return rounded(out, "left_edge", "density", digits=6)
 
 
