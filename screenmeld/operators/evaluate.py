@@ -250,3 +250,30 @@ def with_ci(value: Column, lo: Column, hi: Column, digits: int = 4) -> Column:
     text = F.format_string(fmt, value)
     band = F.format_string(f" [{fmt}–{fmt}]", lo, hi)
     return F.when(value.isNull(), "N/A").when(lo.isNull(), text).otherwise(F.concat(text, band))
+
+
+def weighted_metrics(df: DataFrame, group: Sequence[str] = GROUP,
+                     fractions: Sequence[float] = EF_FRACTIONS, rows: Rows = None,
+                     bounded: bool = False, weight: str = "weight") -> DataFrame:
+    """:func:`ranking_metrics` for rows that stand for ``weight`` equal rows each."""
+    w = F.col(weight).cast("long")
+    placed = cumulate(df, group, ["key", "ligand"], {"_pos": w}, rows)
+    run = cumulate(placed, group, ["key"], {"_tp": w * F.col("active"), "_upto": w}, rows)
+    sized = with_totals(run, group, {"_n": w, "_act": w * F.col("active")}, rows, bounded)
+    is_active = F.col("active") == 1
+    before = F.col("_pos") - w
+    hits = [F.sum(F.when(is_active, F.greatest(F.lit(0), F.least(w, _quota(f) - before)))
+                  .otherwise(0)).alias(f"_h{i}") for i, f in enumerate(fractions)]
+    part = sized.groupBy(*group).agg(
+        F.max("_act").alias("_act"), F.max("_n").alias("_n"),
+        F.sum(F.when(~is_active, (w * F.col("_tp")).cast("double")).otherwise(0.0)).alias("_a"),
+        F.sum(F.when(is_active, (w * (F.col("_upto") - F.col("_tp"))).cast("double"))
+              .otherwise(0.0)).alias("_b"),
+        F.sum(F.when(is_active, w * F.col("_tp") / F.col("_upto")).otherwise(0.0)).alias("_p"),
+        *hits)
+    pairs = F.col("_act").cast("double") * (F.col("_n") - F.col("_act"))
+    return part.select(
+        *group, _ratio(F.col("_a") - F.col("_b") + pairs, pairs * 2.0).alias("auc"),
+        F.when(pairs > 0, F.col("_p") / F.col("_act")).alias("auprc"),
+        *[_ratio(F.col(f"_h{i}").cast("double"), F.col("_act") * F.lit(float(f))).alias(ef_name(f))
+          for i, f in enumerate(fractions)])

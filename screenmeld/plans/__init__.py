@@ -1,4 +1,4 @@
 """Named queries over the given tables; importing the package registers them."""
 
-from screenmeld.plans import evaluation, ranking, validation  # noqa: F401
+from screenmeld.plans import evaluation, ranking, resampling, validation  # noqa: F401
 from screenmeld.plans.registry import QUERIES, SQL  # noqa: F401
