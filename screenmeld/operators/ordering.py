@@ -272,3 +272,32 @@ def with_totals(df: DataFrame, group: Sequence[str], totals: Mapping[str, Column
         return df.select("*", *[F.sum(c).over(whole).alias(n) for n, c in totals.items()])
     small = df.groupBy(*group).agg(*[F.sum(c).alias(n) for n, c in totals.items()])
     return df.join(F.broadcast(small) if bounded else small, list(group))
+
+
+def fill_down(df: DataFrame, group: Sequence[str], order: Sequence[str],
+              marks: Mapping[str, Column], rows: Rows = None) -> DataFrame:
+    """Add the last non-NULL value of each mark at or before the row.
+
+    ``order`` must be unique within the group. In a split group the last mark of
+    the earlier ranges is carried over in a table of at most two rows per cut.
+    """
+    kept = df.columns
+    marked = df.select("*", *[c.alias(f"_mark_{n}") for n, c in marks.items()])
+    split, ranges = _split(marked, group, order, rows, isolate=False)
+    keys = list(group) if ranges is None else [*group, _RANGE]
+    upto = (Window.partitionBy(*keys).orderBy(*order)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    here = {n: F.last(f"_mark_{n}", ignorenulls=True).over(upto) for n in marks}
+    if ranges is None:
+        return split.select(*kept, *[c.alias(n) for n, c in here.items()])
+    position = F.struct(*order)
+    lasts = split.filter(_INSIDE).groupBy(*group, _RANGE).agg(*[
+        F.max_by(f"_mark_{n}", F.when(F.col(f"_mark_{n}").isNotNull(), position)).alias(f"_end_{n}")
+        for n in marks])
+    earlier = (Window.partitionBy(*group).orderBy(_RANGE)
+               .rowsBetween(Window.unboundedPreceding, -1))
+    carried = lasts.select(*group, _RANGE, *[
+        F.last(f"_end_{n}", ignorenulls=True).over(earlier).alias(f"_carry_{n}") for n in marks])
+    joined = split.join(F.broadcast(carried), [*group, _RANGE], "left")
+    return joined.select(*kept, *[F.coalesce(c, F.col(f"_carry_{n}")).alias(n)
+                                  for n, c in here.items()])
