@@ -1,4 +1,12 @@
 """Named queries over the given tables; importing the package registers them."""
 
-from screenmeld.plans import evaluation, ranking, resampling, texts, validation  # noqa: F401
+from screenmeld.plans import (  # noqa: F401
+    evaluation,
+    operations,
+    ranking,
+    resampling,
+    streams,
+    texts,
+    validation,
+)
 from screenmeld.plans.registry import QUERIES, SQL  # noqa: F401
