@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from screenmeld.operators import consensus as C
 from screenmeld.operators import correlate as R
 from screenmeld.operators import evaluate as E
-from screenmeld.plans.fixtures import POSE1, SCORES, poses, row_count
+from screenmeld.plans.fixtures import POSE1, SCORES, poses
 from screenmeld.plans.ranking import rounded
 from screenmeld.plans.registry import query
 
@@ -132,7 +132,7 @@ FROM long WHERE score <> 'ecr_total' GROUP BY target, score, active""")
 def score_stats_by_class(spark, sf):
     first = poses(spark, sf).filter("pose = 1")
     long = E.labelled(first, {c: False for c in COLUMNS})
-    rows = row_count(spark, sf, "lineitem") * len(COLUMNS)
+    rows = C.profile(first, SCORES).rows.times(len(COLUMNS))
     return rounded(E.class_stats(long, rows=rows), "mean", "std", "median", "min", "max", digits=6)
 
 
@@ -225,7 +225,7 @@ PKEY = "target, subset, score_x, score_y"
 
 def pair_rows(spark, sf):
     first = poses(spark, sf).filter("pose = 1")
-    return R.score_pairs(first, COLUMNS), row_count(spark, sf, "lineitem") * 6
+    return R.score_pairs(first, COLUMNS), C.profile(first, SCORES).rows.times(6)
 
 
 @query("pearson_pairs", PAIRS + f"""
@@ -270,7 +270,7 @@ def kendall_pairs(spark, sf):
 @query("correlations_with_p")
 def correlations_with_p(spark, sf):
     first = poses(spark, sf).filter("pose = 1")
-    return R.all_correlations(first, COLUMNS, row_count(spark, sf, "lineitem"))
+    return R.all_correlations(first, COLUMNS, C.profile(first, SCORES).rows)
 
 
 @query("orthogonality_median", SPEARMAN + """

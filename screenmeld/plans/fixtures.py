@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenmeld.operators.ordering import rank_rows
+from screenmeld.operators.ordering import measured, rank_rows
 from screenmeld.session import stage_if_large
 
 SCORES = ["vina", "cnnaffinity", "deltalinf9xgb"]
@@ -59,7 +59,8 @@ def poses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.unix_micros(F.col("l_shipdate").cast("timestamp")).alias("_ship"))
     order = ["_price", "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_discount",
              "l_tax", "_ship"]
-    numbered = rank_rows(based, ["target", "ligand"], order, "pose", "first", rows)
+    key = ["target", "ligand"]
+    numbered = rank_rows(based, key, order, "pose", "first", measured(based, key, rows))
     ready = numbered.select(
         "target", "ligand", F.col("pose").cast("int").alias("pose"), "active",
         (F.col("_price") / 10000.0).alias("score_vina"),
