@@ -94,7 +94,17 @@ def pose_text_roundtrip(spark, sf):
     return P.best_energy(back.withColumn("model", model)).drop("failed")
 
 
-@query("pose_clusters")
+@query("pose_clusters", f"""WITH RECURSIVE {FILES},
+o AS (SELECT target, ligand, part, pose, -milli AS energy, round(milli + number, 3) AS x,
+  row_number() OVER (PARTITION BY target, ligand, part ORDER BY -milli, pose) AS i FROM files),
+s AS (SELECT target, ligand, part, i, [x] AS leaders, true AS kept, pose, energy FROM o WHERE i = 1
+  UNION ALL SELECT o.target, o.ligand, o.part, o.i,
+    CASE WHEN c.near THEN s.leaders ELSE list_append(s.leaders, o.x) END, NOT c.near, o.pose, o.energy
+  FROM s JOIN o ON o.target = s.target AND o.ligand = s.ligand AND o.part = s.part AND o.i = s.i + 1,
+  LATERAL (SELECT len(list_filter(s.leaders, lambda l :
+    sqrt(((l - o.x) * (l - o.x) + (l - o.x) * (l - o.x)) / 2) < 1.5)) > 0 AS near) c)
+SELECT target, ligand, part, pose, CAST(row_number() OVER (PARTITION BY target, ligand, part ORDER BY i)
+  AS INT) AS cluster_rank, energy FROM s WHERE kept""")
 def pose_clusters(spark, sf):
     return K.cluster_poses(pose_texts(spark, sf), 1.5)
 

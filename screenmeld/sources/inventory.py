@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from screenmeld.functions.names import basename, parent, stem
+from screenmeld.sources.text import empty_files
 
 # How much of a pose file decides its verdict.
 HEAD_BYTES = 4096
@@ -29,18 +30,25 @@ def inventory(spark: SparkSession, root: str, pattern: str = "*.pdbqt",
         if not subdir:
             raise
         files = reader.load(root)
-    return files.select("path", "length", F.col("modificationTime").alias("modified"))
+    return _listed(files)
+
+
+def _listed(files: DataFrame) -> DataFrame:
+    """Size and time of scanned files, with zero-length ones (time unknown)."""
+    seen = files.select("path", "length", F.col("modificationTime").alias("modified"))
+    return seen.unionByName(empty_files(files).select(
+        "path", F.lit(0).cast("long").alias("length"),
+        F.lit(None).cast("timestamp").alias("modified")))
 
 
 def recent_files(spark: SparkSession, root: str, hours: float,
                  pattern: str = "*_docked.pdbqt") -> DataFrame:
     """Files written in the last ``hours``; older ones are skipped while listing."""
     since = datetime.now(timezone.utc) - timedelta(hours=hours)
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", pattern)
-            .option("modifiedAfter", since.strftime("%Y-%m-%dT%H:%M:%S"))
-            .option("timeZone", "UTC").load(root)
-            .select("path", "length", F.col("modificationTime").alias("modified")))
+    return _listed(spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                   .option("pathGlobFilter", pattern)
+                   .option("modifiedAfter", since.strftime("%Y-%m-%dT%H:%M:%S"))
+                   .option("timeZone", "UTC").load(root))
 
 
 def with_names(files: DataFrame) -> DataFrame:
@@ -70,8 +78,10 @@ def pose_verdicts(spark: SparkSession, root: str) -> DataFrame:
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*_docked.pdbqt").load(root))
     path = F.col("path")
-    return files.select("path", parent(path).alias("target"), basename(path).alias("file"),
-                        pose_verdict(F.col("content"), F.col("length")).alias("verdict"))
+    judged = files.select("path", pose_verdict(F.col("content"), F.col("length")).alias("verdict"))
+    rows = judged.unionByName(empty_files(files).select(
+        "path", F.lit("empty").alias("verdict")))
+    return rows.select("path", parent(path).alias("target"), basename(path).alias("file"), "verdict")
 
 
 def quarantine(verdicts: DataFrame) -> DataFrame:

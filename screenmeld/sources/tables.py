@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from screenmeld.catalog import KEYS, columns_of
 from screenmeld.functions.names import COLUMN_ALIASES, find_column
 from screenmeld.functions.numbers import number_or_null, success_flag
+from screenmeld.sources.text import plain_path
 
 SEPARATORS = (",", ";", "\t", "|")
 
@@ -92,4 +93,4 @@ def telemetry(spark: SparkSession, path: str) -> DataFrame:
     """Header-less samples of GPU index, utilisation, memory and power."""
     schema = "gpu int, util double, mem double, power double"
     return (spark.read.option("ignoreLeadingWhiteSpace", True).schema(schema).csv(path)
-            .withColumn("path", F.col("_metadata.file_path")))
+            .withColumn("path", plain_path(F.col("_metadata.file_path"))))

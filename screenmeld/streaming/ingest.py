@@ -18,6 +18,7 @@ from screenmeld.operators.reconcile import gated_blocks, last_wins
 from screenmeld.session import stage
 from screenmeld.sinks import write_blocks
 from screenmeld.sources.poses import ENERGY, heavy_atoms, pose_bodies
+from screenmeld.sources.text import plain_path
 
 
 def pose_file_stream(spark: SparkSession, root: str, per_trigger: int | None = None) -> DataFrame:
@@ -27,7 +28,7 @@ def pose_file_stream(spark: SparkSession, root: str, per_trigger: int | None = N
     if per_trigger:
         reader = reader.option("maxFilesPerTrigger", per_trigger)
     files = reader.text(root, wholetext=True)
-    path = F.col("_metadata.file_path")
+    path = plain_path(F.col("_metadata.file_path"))
     return files.select(parent(path).alias("target"),
                         F.regexp_replace(stem(path), "_docked$", "").alias("ligand"),
                         path.alias("path"), "value")
