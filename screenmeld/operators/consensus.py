@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from screenmeld.catalog import (SIGMA_FRACTION, available, normalize_weights,
                                 normalized_weight_columns, score)
-from screenmeld.operators.ordering import Bound, Rows, bound_of, rank_rows
+from screenmeld.operators.ordering import Bound, Rows, bound_of, rank_rows, with_totals
 from screenmeld.session import rows_per_task
 
 MAX_TARGETS = 10_000
@@ -212,10 +212,9 @@ def top_fraction(ligands: DataFrame, fraction: float, value: str = "ecr_score",
     if not 0.0 < fraction <= 1.0:
         raise ValueError("fraction must lie in (0, 1]")
     numbered = rank_ligands(ligands, value, "rank", rows=rows)
-    quota = ligands.groupBy("target").agg(
-        F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) * F.lit(float(fraction)))).alias("_quota"))
-    return (numbered.join(quota, "target").filter(F.col("rank") <= F.col("_quota"))
-            .drop("_quota"))
+    sized = with_totals(numbered, ["target"], {"_n": F.lit(1)}, rows)
+    quota = F.greatest(F.lit(1), F.ceil(F.col("_n") * F.lit(float(fraction))))
+    return sized.filter(F.col("rank") <= quota).drop("_n")
 
 
 def refinement_score(cnnscore: Column, affinity: Column, vina: Column) -> Column:

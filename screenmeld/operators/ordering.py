@@ -9,8 +9,9 @@ group can exceed ``rows_per_task``. Otherwise the composite key
 runs inside one range, and the totals of the earlier ranges of the same group
 are added from a table of at most two rows per cut.
 
-The cut points become literals of the plan, so a recomputed or retried task
-always sees the same ranges; they only steer the split and never the result.
+The input of a split is staged, so what comes before it runs once. The cut
+points become literals of the plan, so a recomputed or retried task always sees
+the same ranges; they only steer the split and never the result.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from screenmeld.session import rows_per_task
+from screenmeld.session import rows_per_task, stage
 
 MAX_RANGES = 20_000
 SAMPLES_PER_RANGE = 20
@@ -133,6 +134,8 @@ def _split(df: DataFrame, group: Sequence[str], order: Sequence[str], rows: Rows
     bound = bound_of(df, rows)
     ranges = None
     if bound.largest > per_task:
+        # written once: sampling, totals and the rows themselves read the same values
+        df = stage(df, "ordered")
         ranges = _sample_ranges(df, group, order, bound.total, per_task, isolate)
     if ranges is None:
         return df, None
