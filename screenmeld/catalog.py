@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from screenmeld.functions.numbers import fixed
+
 
 @dataclass(frozen=True)
 class Score:
@@ -188,7 +190,7 @@ def normalized_weight_columns(keys: Iterable[str], raw: Mapping[str, Column],
 def encode_weights(weights: Column) -> Column:
     """Map column to ``A=0.50/B=0.50`` in key order."""
     parts = F.transform(F.array_sort(F.map_entries(weights)),
-                        lambda e: F.concat(e["key"], F.lit("="), F.format_string("%.2f", e["value"])))
+                        lambda e: F.concat(e["key"], F.lit("="), fixed(e["value"], 2)))
     return F.array_join(parts, "/")
 
 

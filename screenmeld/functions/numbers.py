@@ -6,6 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def fixed(value: Column, digits: int) -> Column:
+    """Fixed digits, rounded from the exact binary value, half to even."""
+    pattern = "0." + "0" * digits if digits else "0"
+    return F.call_function("format_number", value.cast("double"), F.lit(pattern))
+
+
 def report_number(value: Column, digits: int = 3) -> Column:
     """Fixed digits, exponent for very small or large, ``-`` for nothing, text as is."""
     text = F.btrim(value.cast("string"))
@@ -14,7 +20,7 @@ def report_number(value: Column, digits: int = 3) -> Column:
     exponent = F.regexp_replace(F.format_string("%.3e", number), "e([+-])(\\d)$", "e$10$2")
     return (F.when(text.isNull() | (text == ""), F.lit("-")).when(number.isNull(), text)
             .when((number != 0) & ((size < 1e-3) | (size >= 1e6)), exponent)
-            .otherwise(F.format_string(f"%.{digits}f", number)))
+            .otherwise(fixed(number, digits)))
 
 
 def property_number(value: Column) -> Column:
@@ -23,13 +29,13 @@ def property_number(value: Column) -> Column:
     size = F.abs(v)
     return (F.when(v.isNull() | F.isnan(v), F.lit("—"))
             .when((v == F.floor(v)) & (size < 1000), v.cast("long").cast("string"))
-            .when(size >= 100, F.format_string("%.2f", v))
-            .when(size >= 1, F.format_string("%.3f", v)).otherwise(F.format_string("%.4f", v)))
+            .when(size >= 100, fixed(v, 2))
+            .when(size >= 1, fixed(v, 3)).otherwise(fixed(v, 4)))
 
 
 def percent_text(value: Column) -> Column:
     v = value.cast("double")
-    return F.when(v.isNull() | F.isnan(v), F.lit("—")).otherwise(F.format_string("%.1f", v))
+    return F.when(v.isNull() | F.isnan(v), F.lit("—")).otherwise(fixed(v, 1))
 
 
 def count_text(value: Column) -> Column:
@@ -74,4 +80,4 @@ def number_or_null(s: Column) -> Column:
 
 def csv_number(value: Column, digits: int) -> Column:
     """Fixed digits for CSV sinks; NULL stays empty."""
-    return F.format_string(f"%.{digits}f", value)
+    return fixed(value, digits)

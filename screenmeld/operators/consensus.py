@@ -14,6 +14,7 @@ from screenmeld.operators.ordering import Bound, Rows, bound_of, rank_rows, with
 from screenmeld.session import rows_per_task
 
 MAX_TARGETS = 10_000
+GROUP_LIMIT = 1000
 
 
 @dataclass(frozen=True)
@@ -194,13 +195,18 @@ def rerank_scenarios(poses: DataFrame, scores: Sequence[str],
 
 
 def top_n(ligands: DataFrame, n: int, value: str = "ecr_score",
-          target: Sequence[str] = ("target",)) -> DataFrame:
+          target: Sequence[str] = ("target",), rows: Rows = None) -> DataFrame:
     """Best ``n`` ligands per target, an unreadable score counting as 0.
 
-    The limit on the row number lets Spark cut every input partition to ``n``
-    rows per target before the shuffle, so a large target stays spread out.
+    A limit on the row number lets Spark cut every input partition to ``n``
+    rows per target before the shuffle, so a large target stays spread out. Spark
+    does so up to 1000 rows; longer lists are cut from the full ranking.
     """
     safe = F.coalesce(F.col(value).try_cast("double"), F.lit(0.0))
+    if n > GROUP_LIMIT:
+        keyed = ligands.withColumn("_falling", -safe)
+        return (rank_rows(keyed, list(target), ["_falling", "ligand"], "rank", "first", rows)
+                .filter(F.col("rank") <= n).drop("_falling"))
     over = Window.partitionBy(*target).orderBy(safe.desc(), F.col("ligand"))
     return (ligands.withColumn("rank", F.row_number().over(over))
             .filter(F.col("rank") <= n))

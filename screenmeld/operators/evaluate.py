@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from screenmeld.catalog import EF_FRACTIONS
+from screenmeld.functions.numbers import fixed
 from screenmeld.functions.stats import kolmogorov_p
 from screenmeld.operators.ordering import Rows, cumulate, exact_quantiles, rank_rows, with_totals
 
@@ -246,9 +247,8 @@ def compare_scores(metrics: DataFrame, scores: Sequence[str], value: str) -> Dat
 
 def with_ci(value: Column, lo: Column, hi: Column, digits: int = 4) -> Column:
     """``value [lo–hi]`` with fixed digits, ``N/A`` for a missing value."""
-    fmt = f"%.{digits}f"
-    text = F.format_string(fmt, value)
-    band = F.format_string(f" [{fmt}–{fmt}]", lo, hi)
+    text = fixed(value, digits)
+    band = F.concat(F.lit(" ["), fixed(lo, digits), F.lit("–"), fixed(hi, digits), F.lit("]"))
     return F.when(value.isNull(), "N/A").when(lo.isNull(), text).otherwise(F.concat(text, band))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from screenmeld import catalog
+from screenmeld import sinks as K
 from screenmeld.operators import audit as A
 from screenmeld.operators import consensus as C
 from screenmeld.operators import properties as Y
@@ -749,3 +750,63 @@ def experiment_rankings(spark, sf):
     sets = {n: {k: 1.0 for k in keys} for n, keys in catalog.EXPERIMENTS.items() if have.issuperset(keys)}
     out = C.rerank_scenarios(data, SCORES, sets, ties="min")
     return out.select("scenario", "target", "ligand", F.round("ecr_score", 9).alias("ecr_score"))
+
+
+# --- text forms of the result tables ---
+
+def _posed(spark, sf):
+    data = poses(spark, sf)
+    prof = C.profile(data, SCORES)
+    return C.consensus_poses(C.rank_scores(data, SCORES, rows=prof.rows), SCORES, prof), prof
+
+
+_ABSENT = ("vinardo", "ad4", "cnnscore", "dense_cnnaffinity", "dense_cnnscore")
+
+
+@query("pose_csv_rows", ECR_FIRST + """
+SELECT target, ligand, pose, {present}, {absent}, printf('%.6f', ecr_total) AS ecr_total FROM ecr""".format(
+    present=", ".join(f"printf('%.4f', score_{s}) AS score_{s}, CAST(rank_{s} AS BIGINT) AS rank_{s}, "
+                      f"printf('%.6f', ecr_{s}) AS ecr_{s}" for s in SCORES),
+    absent=", ".join(f"CAST(NULL AS VARCHAR) AS score_{s}, CAST(NULL AS BIGINT) AS rank_{s}, '0.000000' AS ecr_{s}"
+                     for s in _ABSENT)))
+def pose_csv_rows(spark, sf):
+    return K.pose_csv_rows(_posed(spark, sf)[0])
+
+
+@query("ligand_csv_rows", ECR_FIRST + """
+SELECT target, CAST(row_number() OVER (PARTITION BY target ORDER BY ecr_total DESC, ligand) AS BIGINT) AS ecr_rank,
+  ligand, printf('%.6f', ecr_total) AS ecr_score, pose AS best_pose, {present}, {absent}, active FROM best""".format(
+    present=", ".join(f"printf('%.4f', score_{s}) AS score_{s}_best" for s in SCORES),
+    absent=", ".join(f"CAST(NULL AS VARCHAR) AS score_{s}_best" for s in _ABSENT)))
+def ligand_csv_rows(spark, sf):
+    posed, prof = _posed(spark, sf)
+    return K.ligand_csv_rows(C.rank_ligands(C.best_pose(posed, SCORES), rows=prof.rows))
+
+
+@query("partial_csv_rows", f"WITH {POSES}" + """
+SELECT target, ligand, pose, {present}, {absent} FROM poses""".format(
+    present=", ".join(f"printf('%.6f', score_{s}) AS score_{s}" for s in SCORES),
+    absent=", ".join(f"CAST(NULL AS VARCHAR) AS score_{s}" for s in _ABSENT)))
+def partial_csv_rows(spark, sf):
+    return K.partial_csv_rows(poses(spark, sf))
+
+
+@query("rerank_csv_rows", ECR_FIRST + """
+SELECT target, CAST(row_number() OVER (PARTITION BY target ORDER BY ecr_total DESC, ligand) AS BIGINT) AS ecr_rank,
+  ligand, printf('%.6f', ecr_total) AS ecr_score, pose AS best_pose, {present} FROM best""".format(
+    present=", ".join(f"printf('%.3f', score_{s}) AS score_{s}_best" for s in SCORES)))
+def rerank_csv_rows(spark, sf):
+    posed, prof = _posed(spark, sf)
+    return K.rerank_csv_rows(C.rank_ligands(C.best_pose(posed, SCORES), rows=prof.rows), SCORES)
+
+
+@query("combined_pose_text", f"""WITH {POSES}
+SELECT target, p.pose AS rank, concat_ws(chr(10), concat('MODEL     ', pose), concat('REMARK  LIGAND: ', ligand),
+  concat('REMARK  ECR_RANK: ', pose + 1), concat('REMARK  REFINED_RANK: ', pose),
+  concat('REMARK VINA RESULT:    ', printf('%.3f', score_vina), '      0.000      0.000'),
+  concat('ATOM ', ligand), 'ENDMDL') AS value FROM poses p""")
+def combined_pose_text(spark, sf):
+    body = F.concat(F.lit("MODEL 1\nATOM "), F.col("ligand"), F.lit("\nENDMDL\n"))
+    return K.combined_pose_text(poses(spark, sf).select(
+        "target", "ligand", F.col("pose").alias("refined_rank"), (F.col("pose") + 1).alias("ecr_rank"),
+        F.col("score_vina").alias("refined_vina"), body.alias("body")))

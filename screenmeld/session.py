@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 ROWS_PER_TASK_KEY = "spark.screenmeld.rowsPerTask"
 ROWS_PER_TASK = 2_000_000
+LOCAL_DIR_KEY = "spark.screenmeld.localDir"
 
 
 def local_session(app: str = "screenmeld", cpus: int | str = "*",
@@ -44,25 +45,29 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a shared folder")
-    created = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    spark.conf.set("spark.screenmeld.localDir", created)
+    created = spark.conf.get(LOCAL_DIR_KEY, None)
+    if created is None:
+        created = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        spark.conf.set(LOCAL_DIR_KEY, created)
     return created
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing else uses."""
+    return f"{shared_dir(spark)}/screenmeld/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Cuts the lineage with a table that survives the loss of any executor and
     keeps column pruning, unlike a row checkpoint.
     """
-    spark = df.sparkSession
-    base = spark.conf.get("spark.screenmeld.localDir", None) or shared_dir(spark)
-    path = f"{base}/screenmeld/{name}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def stage_if_large(df: DataFrame, rows: int, name: str = "stage") -> DataFrame:

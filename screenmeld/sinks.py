@@ -123,8 +123,9 @@ def read_ranking_meta(spark, path: str) -> DataFrame:
 
 def combined_pose_text(df: DataFrame) -> DataFrame:
     """(target, rank, value): one MODEL per ranked ligand with its remarks."""
-    energy = F.when(F.col("refined_vina").isNotNull(), F.format_string(
-        "REMARK VINA RESULT:    %.3f      0.000      0.000", F.col("refined_vina")))
+    energy = F.when(F.col("refined_vina").isNotNull(), F.concat(
+        F.lit("REMARK VINA RESULT:    "), csv_number(F.col("refined_vina"), 3),
+        F.lit("      0.000      0.000")))
     body = F.array_join(F.filter(F.split("body", "\n"), lambda ln: ~ln.startswith("MODEL")
                                  & ~ln.startswith("ENDMDL") & (ln != "")), "\n")
     text = F.concat_ws(

@@ -113,6 +113,7 @@ def test_top_lists(spark):
     rows = [("t", f"l{i}", str(i / 10)) for i in range(10)] + [("t", "bad", "n/a")]
     df = spark.createDataFrame(rows, "target string, ligand string, ecr_score string")
     assert [r["ligand"] for r in C.top_n(df, 2).orderBy("rank").collect()] == ["l9", "l8"]
+    assert C.top_n(df, 2000).orderBy("rank").collect()[-1]["ligand"] == "l0"
     num = df.filter("ligand <> 'bad'").withColumn("ecr_score", F.col("ecr_score").cast("double"))
     assert C.top_fraction(num, 0.15).count() == 2
     assert C.top_fraction(num, 0.01).count() == 1

@@ -196,9 +196,9 @@ def test_number_texts(spark):
         ["-", "-", "x", "0.000", "1.235", "1.000e-04", "-2.500e+06"]
     prop = lambda v: one(X.property_number(F.lit(v).cast("double")))
     assert [prop(v) for v in (None, 5.0, 1234.0, 123.456, 1.2345, 0.12345)] == \
-        ["—", "5", "1234.00", "123.46", "1.235", "0.1235"]
+        ["—", "5", "1234.00", "123.46", f"{1.2345:.3f}", f"{0.12345:.4f}"]
     assert one(X.duration_text(F.lit(3723.9))) == "1h02m03s" and one(X.duration_text(F.lit(63))) == "1m03s"
-    assert one(X.duration_text(F.lit(9))) == "9s" and one(X.percent_text(F.lit(1.25))) in ("1.3", "1.2")
+    assert one(X.duration_text(F.lit(9))) == "9s" and one(X.percent_text(F.lit(1.25))) == "1.2"
     assert one(X.count_text(F.lit(12345))) == "12,345" and one(X.count_text(F.lit(0))) == "—"
     assert one(X.breakable(F.lit("a" * 25))) == "a" * 12 + "​" + "a" * 12 + "​a"
     assert one(X.breakable(F.lit("a" * 24))).count("​") == 1
