@@ -157,8 +157,10 @@ def _with_offsets(df: DataFrame, group: Sequence[str], sums: Mapping[str, Column
     Only groups that contain a cut point need them, so the joined table has at
     most two rows per cut, i.e. 2 * MAX_RANGES, whatever the data volume.
     """
-    totals = (df.filter(_INSIDE).groupBy(*group, _RANGE)
-              .agg(*[F.sum(c).alias(f"_total_{n}") for n, c in sums.items()]))
+    # filtered behind the aggregate: ahead of it, the range would be computed again per use
+    totals = (df.groupBy(*group, _RANGE)
+              .agg(*[F.sum(c).alias(f"_total_{n}") for n, c in sums.items()],
+                   F.max(_INSIDE).alias("_kept")).filter("_kept"))
     earlier = (Window.partitionBy(*group).orderBy(_RANGE)
                .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select(
@@ -305,9 +307,9 @@ def fill_down(df: DataFrame, group: Sequence[str], order: Sequence[str],
     if ranges is None:
         return split.select(*kept, *[c.alias(n) for n, c in here.items()])
     position = F.struct(*order)
-    lasts = split.filter(_INSIDE).groupBy(*group, _RANGE).agg(*[
+    lasts = split.groupBy(*group, _RANGE).agg(*[
         F.max_by(f"_mark_{n}", F.when(F.col(f"_mark_{n}").isNotNull(), position)).alias(f"_end_{n}")
-        for n in marks])
+        for n in marks], F.max(_INSIDE).alias("_kept")).filter("_kept")
     earlier = (Window.partitionBy(*group).orderBy(_RANGE)
                .rowsBetween(Window.unboundedPreceding, -1))
     carried = lasts.select(*group, _RANGE, *[
