@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenmeld.llm import mixing
+from screenmeld.llm import line_dedup, mixing, quality, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,7 +31,37 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/pages.parquet")
 
 
+@query("op1_line_dedup", r"""
+WITH lines AS (
+    SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS pos
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+keyed AS (
+    SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+common AS (
+    SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 20
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+marked AS (
+    SELECT k.*, c.key IS NOT NULL AND k.doc_id <> c.last AS gone FROM keyed k LEFT JOIN common c ON k.key = c.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id""")
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.drop_repeated(documents(spark, sf_dir))
+    return rows.select("doc.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op4_mix_sources")
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.sample_plan(documents(spark, sf_dir))
     return plan.select("doc_id", "size", "source_size", "target", "taken", "source", F.col("copies"))
+
+
+@query("op6_quality_bands")
+def op6_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.compression_bands(documents(spark, sf_dir))
+
+
+@query("op8_url_filter")
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(pages(spark, sf_dir))

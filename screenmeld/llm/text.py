@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,3 +51,30 @@ def numbered(df: DataFrame, *order: Column) -> DataFrame:
     return (placed.withColumn("_part", part).join(F.broadcast(before), "_part")  # a row per partition
             .withColumn("number", F.col("_before") + F.col("_row").bitwiseAND((1 << 33) - 1))
             .drop("_part", "_row", "_before"))
+
+
+#: Arrow types of the result columns that ``map_values`` can build.
+ARROW = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "double": pa.float64(),
+         "string": pa.string(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
+
+
+def map_values(rows: DataFrame, column: str, prepare: Callable[[], Callable[[list], list[tuple]]],
+               added: str) -> DataFrame:
+    """Replace ``column`` by the ``added`` columns that a Python function gives for its values.
+
+    ``prepare`` runs once per task and returns a function from a batch of values to one tuple for each.
+    All other columns pass through as Arrow data, so NULL and large ids stay what they are.
+    """
+    fields = [tuple(c.split()) for c in added.split(", ")]
+    keep = [c for c in rows.columns if c != column]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compute = prepare()
+        for batch in batches:
+            out = compute(batch.column(column).to_pylist())
+            made = [pa.array([r[i] for r in out], ARROW[kind]) for i, (_, kind) in enumerate(fields)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), *made],
+                                             [*keep, *(name for name, _ in fields)])
+
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != column]
+    return rows.mapInArrow(run, ", ".join([*kept, added]))
