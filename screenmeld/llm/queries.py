@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenmeld.llm import line_dedup, mixing, quality, urls
+from screenmeld.llm import line_dedup, mixing, packing, quality, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,6 +52,17 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def vocabulary() -> dict[str, str]:
+    """Places of the tokenizer files, which stay outside the repository."""
+    return {"path": public_tokenizers.path("byte_bpe_50k.json"), "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"),
+            "pattern": public_tokenizers.PATTERN}
+
+
+@query("op2_best_fit_packing")
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), **vocabulary())
+
+
 @query("op4_mix_sources")
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.sample_plan(documents(spark, sf_dir))
