@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenmeld.llm import line_dedup, mixing, packing, quality, urls
+from screenmeld.llm import fingerprints, line_dedup, mixing, neardup, packing, quality, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -74,6 +74,16 @@ def op6_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.compression_bands(documents(spark, sf_dir))
 
 
+@query("op7_content_chunks")
+def op7_content_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_edited(documents(spark, sf_dir))
+
+
 @query("op8_url_filter")
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(pages(spark, sf_dir))
+
+
+@query("op10_near_duplicates")
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(documents(spark, sf_dir), words=2)
