@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenmeld.llm import fingerprints, line_dedup, mixing, neardup, packing, quality, urls
+from screenmeld.llm import extraction, fingerprints, line_dedup, mixing, neardup, packing, quality, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -84,6 +84,11 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(pages(spark, sf_dir))
 
 
+@query("op9_extract_main_text")
+def op9_extract_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(pages(spark, sf_dir))
+
+
 @query("op10_near_duplicates")
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir), words=2)
