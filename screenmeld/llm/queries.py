@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenmeld.llm import extraction, fingerprints, line_dedup, mixing, neardup, packing, quality, urls
+from screenmeld.llm import extraction, fingerprints, language, line_dedup, mixing, neardup, packing, quality, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,6 +63,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), **vocabulary())
 
 
+@query("op3_language_crf")
+def op3_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_id(documents(spark, sf_dir))
+
+
 @query("op4_mix_sources")
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.sample_plan(documents(spark, sf_dir))
