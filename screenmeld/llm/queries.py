@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenmeld.llm import extraction, fingerprints, language, line_dedup, mixing, neardup, packing, quality, urls
+from screenmeld.llm import extraction, fingerprints, language, line_dedup, mixing, neardup, packing, pii, quality, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -74,6 +74,11 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken", "source", F.col("copies"))
 
 
+@query("op5_personal_data")
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(documents(spark, sf_dir))
+
+
 @query("op6_quality_bands")
 def op6_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.compression_bands(documents(spark, sf_dir))
