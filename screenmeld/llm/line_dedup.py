@@ -72,7 +72,8 @@ class LineRuns:
 
     def _merged(self, names: list[str]) -> DataFrame:
         # read as files: Spark takes a union of bucketed tables for partitioned by key, which it isn't
-        rows = self.spark.read.parquet(*[self.paths[n] for n in names])
+        schema = self.spark.table(names[0]).schema
+        rows = self.spark.read.schema(schema).parquet(*[self.paths[n] for n in names])
         return rows.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.max("last").alias("last"),
                                        F.max("fresh").alias("fresh"))
 
