@@ -1,5 +1,6 @@
 import random
 import re
+import string
 from collections import Counter
 
 from screenmeld.llm import quality as Q
@@ -38,7 +39,7 @@ def test_bands_reject_repetition_and_noise(make):
     rng = random.Random(4)
     vocabulary = ["".join(rng.choice("etaoinshrdlucmfwypvbgk") for _ in range(rng.randint(2, 9))) for _ in range(700)]
     prose = " ".join(rng.choice(vocabulary) for _ in range(900))
-    noise = " ".join("".join(rng.choice("ABCDEFGHabcdefgh0123456789+/XYZxyzQWqwRTrt") for _ in range(60)) for _ in range(200))
+    noise = " ".join("".join(rng.choice(string.ascii_letters + string.digits + "+/") for _ in range(60)) for _ in range(200))
     half = " ".join(f"{k} same words again {k % 7}" for k in range(2000))
     rows = {r.doc_id: r for r in Q.compression_bands(make([(1, prose), (2, noise), (3, half)])).collect()}
     assert rows[1].kept and not rows[2].kept and not rows[3].kept
