@@ -6,6 +6,8 @@ stays in Spark.
 
 from __future__ import annotations
 
+import math
+import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
@@ -145,33 +147,34 @@ def finite(df: DataFrame, keys: Iterable[str] | None = None) -> DataFrame:
     return df.select(*[clean(c) if c in chosen else F.col(c) for c in df.columns])
 
 
-def normalize_weights(active: Iterable[str], weights: Mapping[str, float] | None = None,
+def as_shares(parts: Mapping[str, float]) -> dict[str, float]:
+    """Parts scaled to a sum of 1; an even split if there is nothing to scale."""
+    whole = math.fsum(parts.values())
+    return {name: part / whole if whole else 1 / len(parts) for name, part in parts.items()}
+
+
+def consensus_weights(scores: Iterable[str], given: Mapping[str, float] | None = None,
                       strict: bool = True) -> dict[str, float]:
-    """Weights over the active functions, summing to 1; all zero means equal.
+    """Shares of the ranked functions; those without a weight take none.
 
-    Negative weights are an error, or count as zero when ``strict`` is false.
+    A negative weight is an error, or none at all when ``strict`` is false.
     """
-    keys = [score(k).key for k in active]
-    given = {k: float((weights or {}).get(k, 0.0)) for k in keys}
-    negative = [k for k, v in given.items() if v < 0]
-    if negative and strict:
-        raise ValueError(f"negative weights: {', '.join(negative)}")
-    kept = {k: max(v, 0.0) for k, v in given.items()}
-    total = sum(kept.values())
-    if total <= 0:
-        return {k: 1.0 / len(keys) for k in keys}
-    return {k: v / total for k, v in kept.items()}
-
-
-def parse_weights(spec: str) -> dict[str, float]:
-    """``"vina=0.2,cnnaffinity=0.5"`` to a map; unknown keys and bad numbers fail."""
-    parsed: dict[str, float] = {}
-    for part in filter(None, (p.strip() for p in spec.split(","))):
-        key, sign, value = part.partition("=")
-        if not sign:
-            raise ValueError(f"weight {part!r} is not key=value")
-        parsed[score(key.strip()).key] = float(value)
-    return parsed
+    asked = {**dict.fromkeys((score(s).key for s in scores), 0.0)}
+    asked.update((k, float(w)) for k, w in (given or {}).items() if k in asked)
+    if strict and min(asked.values(), default=0.0) < 0:
+        raise ValueError(f"negative weights: {', '.join(k for k, w in asked.items() if w < 0)}")
+    return as_shares({k: w if w > 0 else 0.0 for k, w in asked.items()})
+
+
+# one ``key=number`` or nothing between two commas
+_WEIGHT = r"\s*(?:\w+\s*=\s*[^,=\s]+)?\s*"
+
+
+def weights_from_text(text: str) -> dict[str, float]:
+    """Map of a text such as ``vina=0.2,cnnaffinity=0.5``; unknown keys and malformed parts fail."""
+    if not re.fullmatch(f"{_WEIGHT}(?:,{_WEIGHT})*", text):
+        raise ValueError(f"weights {text!r} are not key=number, separated by commas")
+    return {score(k).key: float(v) for k, v in re.findall(r"(\w+)\s*=\s*([^,=\s]+)", text)}
 
 
 def normalized_weight_columns(keys: Iterable[str], raw: Mapping[str, Column],
@@ -197,4 +200,4 @@ def encode_weights(weights: Column) -> Column:
 def decode_weights(text: Column) -> Column:
     """``A=0.50/B=0.50`` to a map column."""
     return F.transform_values(F.str_to_map(text, F.lit("/"), F.lit("=")),
-                              lambda _, v: F.try_to_number(v, F.lit("9.99")).cast("double"))
+                              lambda _, v: v.try_cast("double"))

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from screenmeld.catalog import (SIGMA_FRACTION, available, normalize_weights,
+from screenmeld.catalog import (SIGMA_FRACTION, available, consensus_weights,
                                 normalized_weight_columns, score)
 from screenmeld.operators.ordering import Bound, Rows, bound_of, rank_rows, with_totals
 from screenmeld.session import rows_per_task
@@ -107,7 +107,7 @@ def consensus_poses(ranked: DataFrame, scores: Sequence[str], prof: Profile,
     without any value in a target is left out there and the weights of the
     others are scaled up in proportion.
     """
-    base = normalize_weights(scores, weights)
+    base = consensus_weights(scores, weights)
     shares = normalized_weight_columns(
         scores, {k: F.lit(base[k]) for k in scores},
         {k: F.col(f"n_{k}") > 0 for k in scores})
@@ -172,7 +172,7 @@ def rerank_scenarios(poses: DataFrame, scores: Sequence[str],
     """Many weightings in one job: ranks are computed once and shared."""
     prof = prof or profile(poses, scores)
     ranked = rank_scores(poses, scores, ties, rows=prof.rows)
-    sets = {name: normalize_weights(scores, w) for name, w in scenarios.items()}
+    sets = {name: consensus_weights(scores, w) for name, w in scenarios.items()}
     table = F.array(*[F.struct(F.lit(n).alias("scenario"),
                                *[F.lit(w[k]).alias(f"raw_{k}") for k in scores])
                       for n, w in sets.items()])

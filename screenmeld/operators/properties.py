@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,16 +29,23 @@ def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def percentile_suffix(columns: Sequence[str]) -> str | None:
-    """Common ending of the percentile columns, as found in the header."""
-    return next((c[c.index("drugbank"):] for c in columns if "drugbank" in c), None)
+def percentile_ending(columns: Sequence[str]) -> str | None:
+    """Ending that marks percentile columns: ``drugbank`` and what follows, in the first header with it."""
+    found = re.search("drugbank[^\n]*", "\n".join(columns))
+    return found and found[0]
+
+
+def known(value: Column) -> Column:
+    """The value as a number; NaN counts as missing."""
+    number = value.cast("double")
+    return F.when(~F.isnan(number), number)
 
 
 def rule_flags(df: DataFrame, rules: Sequence[tuple[str, float, str]] = RULES) -> DataFrame:
     """Labels of violated limits and their number; a missing value violates nothing."""
     present = [r for r in rules if r[0] in df.columns]
     labels = F.array_compact(F.array(*[
-        F.when(_c(k).isNotNull() & ~F.isnan(_c(k).cast("double")) & (_c(k) > limit), F.lit(label))
+        F.when(known(_c(k)) > limit, F.lit(label))
         for k, limit, label in present]))
     return (df.withColumn("_labels", labels)
             .select(*[_c(c) for c in df.columns],
@@ -53,11 +62,11 @@ def with_maximum(df: DataFrame, columns: Sequence[str], name: str,
     present = [c for c in columns if c in df.columns]
     if not present:
         return df
-    pct = lambda c: (_c(f"{c}_{suffix}").cast("double") if suffix and f"{c}_{suffix}" in df.columns
+    pct = lambda c: (known(_c(f"{c}_{suffix}")) if suffix and f"{c}_{suffix}" in df.columns
                      else F.lit(None).cast("double"))
     entries = F.array_compact(F.array(*[
-        F.when(_c(c).isNotNull(), F.struct(_c(c).cast("double").alias("v"), F.lit(-i).alias("i"),
-                                           pct(c).alias("p"))) for i, c in enumerate(present)]))
+        F.when(known(_c(c)).isNotNull(), F.struct(known(_c(c)).alias("v"), F.lit(-i).alias("i"),
+                                                  pct(c).alias("p"))) for i, c in enumerate(present)]))
     best = F.array_max(entries)
     out = df.select("*", best.alias("_best"))
     added = [F.col("_best.v").alias(name)]
@@ -68,23 +77,26 @@ def with_maximum(df: DataFrame, columns: Sequence[str], name: str,
 
 def count_above(columns: Sequence[str], limit: float = 0.5) -> Column:
     """How many endpoints exceed the limit."""
-    return F.size(F.filter(F.array(*[_c(c).cast("double") for c in columns]),
+    return F.size(F.filter(F.array(*[known(_c(c)) for c in columns]),
                            lambda v: v.isNotNull() & (v > limit)))
 
 
-def add_aggregates(df: DataFrame) -> DataFrame:
-    """Toxicity and inhibition maxima, assay count and rule flags."""
-    suffix = percentile_suffix(df.columns)
-    out = with_maximum(df, TOX21, "tox21_max", suffix)
-    out = with_maximum(out, CYP_INHIBITION, "cyp_inhibition_max", suffix)
-    assays = [c for c in TOX21 if c in df.columns]
-    if assays:
-        out = out.withColumn("tox21_n_above_0.5", count_above(assays))
-    return rule_flags(out)
+#: Summary columns: the largest value among several endpoints.
+LARGEST = {"tox21_max": TOX21, "cyp_inhibition_max": CYP_INHIBITION}
+
+
+def with_summaries(df: DataFrame) -> DataFrame:
+    """Largest toxicity and inhibition values, number of positive assays and rule flags."""
+    ending = percentile_ending(df.columns)
+    assays = set(TOX21).intersection(df.columns)
+    summed = reduce(lambda out, name: with_maximum(out, LARGEST[name], name, ending), LARGEST, df)
+    positive = {"tox21_n_above_0.5": count_above(sorted(assays))} if assays else {}
+    return rule_flags(summed.withColumns(positive) if positive else summed)
 
 
 def light(direction: Column, percentile: Column) -> Column:
     """``good``, ``warn`` or ``risk`` by percentile in the favourable direction."""
+    percentile = known(percentile)
     p = F.when(direction == "up", percentile).otherwise(F.lit(100) - percentile)
     none = percentile.isNull() | (direction == "ctx")
     return F.when(~none, F.when(p >= GOOD_FROM, "good").when(p >= WARN_FROM, "warn")
@@ -96,6 +108,7 @@ def light_by_value(value: Column, limits: tuple[float, float] | None) -> Column:
     if limits is None:
         return F.lit(None).cast("string")
     warn, risk = limits
+    value = known(value)
     return F.when(value.isNotNull(), F.when(value > risk, "risk").when(value > warn, "warn")
                   .otherwise("good"))
 
@@ -107,7 +120,7 @@ def charge_note(charge: Column) -> Column:
 
 def missing_percentiles(columns: Sequence[str], wanted: Sequence[str] = RADIAL) -> list[str]:
     """Wanted percentile columns that the table lacks."""
-    suffix = percentile_suffix(columns)
+    suffix = percentile_ending(columns)
     return [w for w in wanted if suffix is None or f"{w}_{suffix}" not in columns]
 
 
@@ -142,7 +155,7 @@ def head_rows(entries: DataFrame, n: int, by: Sequence[str] = ("pocket",),
 
 def lights(df: DataFrame, directions: Mapping[str, str]) -> DataFrame:
     """A light per property, from its percentile column."""
-    suffix = percentile_suffix(df.columns)
+    suffix = percentile_ending(df.columns)
     shown = [p for p in directions if f"{p}_{suffix}" in df.columns]
     return df.select("*", *[light(F.lit(directions[p]), _c(f"{p}_{suffix}")).alias(f"light_{p}")
                             for p in shown])

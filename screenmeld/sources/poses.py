@@ -13,7 +13,7 @@ from screenmeld.functions.names import parent, stem
 from screenmeld.sources.text import whole_files
 
 # Energy remark, atom records and hydrogen types of the format.
-ENERGY = r"(?m)^REMARK\s+VINA\s+RESULT:\s*([-+]?\d+\.?\d*)"
+ENERGY = r"(?m)^REMARK[^\S\n]+VINA[^\S\n]+RESULT:[^\S\n]*([^\s]*)"
 HYDROGENS = ("H", "HD", "HS")
 
 
@@ -26,18 +26,26 @@ def pose_files(spark: SparkSession, results_dir: str) -> DataFrame:
                         "path", "value")
 
 
+def leading_number(text: Column) -> Column:
+    """Number at the start of a text, ``-.5`` included; NULL without one."""
+    return F.nullif(F.regexp_extract(text, r"^[-+]?(?:\d+\.?\d*|\.\d+)", 0), F.lit("")).try_cast("double")
+
+
 def pose_energies(files: DataFrame) -> DataFrame:
-    """One row per energy remark: pose number from 1 and energy."""
+    """One row per energy remark that holds a number: pose number from 1 and energy.
+
+    A remark without one still counts, so later poses keep their numbers.
+    """
     found = F.regexp_extract_all("value", F.lit(ENERGY), F.lit(1))
     others = [c for c in files.columns if c != "value"]
     return files.select(*others, F.posexplode(found)).select(
         *others, (F.col("pos") + 1).cast("int").alias("pose"),
-        F.col("col").try_cast("double").alias("energy"))
+        leading_number(F.col("col")).alias("energy")).filter(F.col("energy").isNotNull())
 
 
 def best_energy(files: DataFrame) -> DataFrame:
     """Energy of the first pose; without one the docking failed."""
-    first = F.nullif(F.regexp_extract("value", ENERGY, 1), F.lit("")).try_cast("double")
+    first = leading_number(F.regexp_extract("value", ENERGY, 1))
     others = [c for c in files.columns if c != "value"]
     return files.select(*others, first.alias("energy"), first.isNull().alias("failed"))
 
@@ -49,13 +57,15 @@ def _keep_lines(text: Column, keep) -> Column:
 def pose_bodies(files: DataFrame) -> DataFrame:
     """(…, pose, body): pose texts without MODEL and ENDMDL lines.
 
-    A file without MODEL records is one pose; text behind the last ENDMDL is
-    not a pose.
+    A file without MODEL records is one pose. Otherwise only lines between a MODEL
+    and its ENDMDL belong to a pose.
     """
     value = F.col("value")
     closed = value.rlike(r"(?m)^ENDMDL")
     parts = F.split(value, r"(?m)^ENDMDL[^\n]*\n?")
-    models = F.when(closed, F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(
+    opened = F.transform(F.slice(parts, F.lit(1), F.size(parts) - 1),
+                         lambda p: F.regexp_replace(p, r"(?sm)\A.*?^(?=MODEL)", ""))
+    models = F.when(closed, opened).otherwise(
         F.when(~value.rlike(r"(?m)^MODEL") & (F.btrim(value) != ""), F.array(value)))
     others = [c for c in files.columns if c != "value"]
     body = F.array_join(_keep_lines(F.col("col"), lambda ln: ~ln.startswith("MODEL") & (ln != "")),
@@ -86,7 +96,7 @@ def embedded_smiles(text: Column) -> Column:
     first = F.element_at(F.split(text, "(?m)^ENDMDL"), 1)
     rest = F.transform(
         _keep_lines(first, lambda ln: ln.startswith("REMARK SMILES")),
-        lambda ln: F.btrim(F.substring(ln, len("REMARK SMILES") + 1, 1_000_000), F.lit(" \t\r")))
+        lambda ln: F.btrim(F.substr(ln, F.lit(len("REMARK SMILES") + 1)), F.lit(" \t\r")))
     return F.array_join(F.filter(rest, lambda s: ~F.upper(s).rlike("^(IDX|INDEX)")), "")
 
 
@@ -103,6 +113,5 @@ def compact_poses(spark: SparkSession, results_dir: str, out: str) -> None:
     bodies = pose_bodies(pose_files(spark, results_dir))
     table = bodies.select(
         "target", "ligand", "pose",
-        F.nullif(F.regexp_extract("body", ENERGY, 1), F.lit("")).try_cast("double")
-        .alias("score_vina"), heavy_atoms(F.col("body")).alias("coords"), "body")
+        leading_number(F.regexp_extract("body", ENERGY, 1)).alias("score_vina"), heavy_atoms(F.col("body")).alias("coords"), "body")
     table.write.partitionBy("target").parquet(out)

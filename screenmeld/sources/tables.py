@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from screenmeld.catalog import KEYS, columns_of
-from screenmeld.functions.names import COLUMN_ALIASES, find_column
+from screenmeld.functions.names import COLUMN_ALIASES, match_header
 from screenmeld.functions.numbers import number_or_null, success_flag
 from screenmeld.sources.text import plain_path
 
@@ -68,12 +68,12 @@ def sniffed_csv(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str, st
     head = spark.read.text(path).first()
     sep = sniff_separator(head[0] if head else "")
     df = spark.read.option("header", True).option("sep", sep).csv(path)
-    return df, {k: find_column(df.columns, k) for k in COLUMN_ALIASES}
+    return df, {k: match_header(df.columns, k) for k in COLUMN_ALIASES}
 
 
 def resolve_columns(df: DataFrame) -> DataFrame:
     """Logical report columns from whatever headers the table has."""
-    found = {k: find_column(df.columns, k) for k in COLUMN_ALIASES}
+    found = {k: match_header(df.columns, k) for k in COLUMN_ALIASES}
     return df.select(*[(F.col(f"`{c}`") if c else F.lit(None)).cast("string").alias(k)
                        for k, c in found.items()])
 

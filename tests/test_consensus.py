@@ -69,15 +69,15 @@ def test_sigma_counts_all_poses(golden):
 
 
 def test_weights():
-    assert catalog.normalize_weights(["vina", "ad4"], {"vina": 3, "ad4": 1}) == {"vina": .75, "ad4": .25}
-    assert catalog.normalize_weights(["vina", "ad4"], {"vina": 0}) == {"vina": .5, "ad4": .5}
-    assert catalog.normalize_weights(["vina", "ad4"], {"vina": -1, "ad4": 2}, strict=False)["ad4"] == 1
+    assert catalog.consensus_weights(["vina", "ad4"], {"vina": 3, "ad4": 1}) == {"vina": .75, "ad4": .25}
+    assert catalog.consensus_weights(["vina", "ad4"], {"vina": 0}) == {"vina": .5, "ad4": .5}
+    assert catalog.consensus_weights(["vina", "ad4"], {"vina": -1, "ad4": 2}, strict=False)["ad4"] == 1
     with pytest.raises(ValueError):
-        catalog.normalize_weights(["vina"], {"vina": -1})
-    assert catalog.parse_weights("vina=0.2, cnnscore=0.5") == {"vina": 0.2, "cnnscore": 0.5}
+        catalog.consensus_weights(["vina"], {"vina": -1})
+    assert catalog.weights_from_text("vina=0.2, cnnscore=0.5") == {"vina": 0.2, "cnnscore": 0.5}
     for bad in ("vina", "nope=1", "vina=x"):
         with pytest.raises(ValueError):
-            catalog.parse_weights(bad)
+            catalog.weights_from_text(bad)
     with pytest.raises(ValueError):
         catalog.active_scores({"vina_enabled": False})
     assert catalog.active_scores({"ad4_enabled": True}) == ["ad4"]

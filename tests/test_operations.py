@@ -174,7 +174,7 @@ def test_properties(spark):
     mols = spark.createDataFrame([(600.0, 0.2, 0.9, 10.0, 90.0, None), (None, 0.7, 0.7, 10.0, 90.0, 0.1)],
                                  f"molecular_weight double, `NR-AR` double, `SR-p53` double, `NR-AR_{suffix}` double, "
                                  f"`SR-p53_{suffix}` double, CYP3A4_Veith double")
-    rows = Y.add_aggregates(mols).collect()
+    rows = Y.with_summaries(mols).collect()
     assert [r["tox21_max"] for r in rows] == [0.9, 0.7]
     assert [r[f"tox21_max_{suffix}"] for r in rows] == [90.0, 10.0]  # a tie goes to the first column
     assert [r["tox21_n_above_0.5"] for r in rows] == [1, 2]

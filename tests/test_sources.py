@@ -183,9 +183,9 @@ def test_names(spark):
     assert one(N.library_prefix(lit("/data/LIB 7/x.sdf"))) == "LIB_7"
     assert one(N.is_receptor_file(lit("x_RECEPTOR.pdbqt"))) is True
     assert tuple(one(N.pose_file_parts(lit("0007_ab_docked.PDBQT")))) == (7, "ab")
-    assert N.find_column(["Rank", "ECR-Score"], "ecr") == "ECR-Score"
-    assert N.find_column(["my pose col"], "pose") == "my pose col"
-    assert N.find_column(["x"], "smiles") is None
+    assert N.match_header(["Rank", "ECR-Score"], "ecr") == "ECR-Score"
+    assert N.match_header(["my pose col"], "pose") == "my pose col"
+    assert N.match_header(["x"], "smiles") is None
 
 
 def test_number_texts(spark):
