@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from screenmeld.catalog import (SIGMA_FRACTION, available, consensus_weights,
                                 normalized_weight_columns, score)
 from screenmeld.operators.ordering import Bound, Rows, bound_of, rank_rows, with_totals
-from screenmeld.session import rows_per_task
+from screenmeld.session import rows_per_task, stage
 
 MAX_TARGETS = 10_000
 GROUP_LIMIT = 1000
@@ -79,14 +79,16 @@ def rank_scores(poses: DataFrame, scores: Sequence[str], ties: str = "first",
         return poses.select("*", *[ranked(k) for k in scores])
 
     entries = F.array(*[F.struct(F.lit(k).alias("fn"), signed(k).alias("key")) for k in scores])
-    long = (poses.select(target, "ligand", "pose", F.explode(entries).alias("e"))
-            .select(target, "ligand", "pose", "e.fn", "e.key").filter(F.col("key").isNotNull()))
-    order = ["key", "ligand", "pose"] if ties == "first" else ["key"]
+    # rows get a number of their own, so that repeated keys keep their own ranks
+    numbered = stage(poses.withColumn("_row", F.monotonically_increasing_id()), "ranked")
+    long = (numbered.select(target, "ligand", "pose", "_row", F.explode(entries).alias("e"))
+            .select(target, "ligand", "pose", "_row", "e.fn", "e.key").filter(F.col("key").isNotNull()))
+    order = ["key", "ligand", "pose", "_row"] if ties == "first" else ["key"]
     ranks = rank_rows(long, ["fn", target], order, "rank", ties, rows.times(len(scores)))
-    wide = ranks.groupBy(target, "ligand", "pose").agg(
+    wide = ranks.groupBy("_row").agg(
         *[F.max(F.when(F.col("fn") == k, F.col("rank"))).alias(score(k).rank_column)
           for k in scores])
-    return poses.join(wide, [target, "ligand", "pose"], "left").select(
+    return numbered.join(wide, "_row", "left").select(
         *poses.columns, *[score(k).rank_column for k in scores])
 
 
@@ -196,17 +198,18 @@ def rerank_scenarios(poses: DataFrame, scores: Sequence[str],
 
 def top_n(ligands: DataFrame, n: int, value: str = "ecr_score",
           target: Sequence[str] = ("target",), rows: Rows = None) -> DataFrame:
-    """Best ``n`` ligands per target, an unreadable score counting as 0.
+    """Best ``n`` ligands per target, an unreadable score or NaN counting as 0.
 
     A limit on the row number lets Spark cut every input partition to ``n``
     rows per target before the shuffle, so a large target stays spread out. Spark
     does so up to 1000 rows; longer lists are cut from the full ranking.
     """
-    safe = F.coalesce(F.col(value).try_cast("double"), F.lit(0.0))
+    number = F.col(value).try_cast("double")
+    safe = F.coalesce(F.when(~F.isnan(number), number), F.lit(0.0))
     if n > GROUP_LIMIT:
         keyed = ligands.withColumn("_falling", -safe)
         return (rank_rows(keyed, list(target), ["_falling", "ligand"], "rank", "first", rows)
-                .filter(F.col("rank") <= n).drop("_falling"))
+                .filter(F.col("rank") <= n).drop("_falling").withColumn("rank", F.col("rank").cast("int")))
     over = Window.partitionBy(*target).orderBy(safe.desc(), F.col("ligand"))
     return (ligands.withColumn("rank", F.row_number().over(over))
             .filter(F.col("rank") <= n))

@@ -20,6 +20,7 @@ import json
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -78,18 +79,37 @@ class _Ranges:
 
     def literal(self) -> Column:
         names = self.schema.fieldNames()
-        text = json.dumps([dict(zip(names, cut)) for cut in self.cuts], ensure_ascii=False)
+        text = json.dumps([dict(zip(names, cut)) for cut in self.cuts], ensure_ascii=False, default=str)
         return F.from_json(F.lit(text), T.ArrayType(self.schema))
 
 
+def _same_key(a: tuple, b: tuple) -> bool:
+    return all(x == y or (x != x and y != y) for x, y in zip(a, b))
+
+
+def _plain(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """The columns in forms that sort alike and can be written as JSON."""
+    forms = {"timestamp": F.unix_micros, "date": F.unix_date, "binary": F.hex,
+             "timestamp_ntz": lambda c: F.unix_micros(F.to_utc_timestamp(c.cast("timestamp"), "UTC"))}
+    kinds = dict(df.dtypes)
+    return [forms.get(kinds[c], lambda x: x)(F.col(c)).alias(c) for c in columns]
+
+
+def _join_groups(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on keys of which NULL equals NULL; the keys of ``df`` stay."""
+    renamed = small.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+    return df.join(renamed, same, how).drop(*[f"_of_{k}" for k in keys])
+
+
 def _sample_ranges(df: DataFrame, group: Sequence[str], order: Sequence[str],
                    rows: int, per_task: int, isolate: bool) -> _Ranges | None:
     parts = min(MAX_RANGES, math.ceil(rows / per_task))
     wanted = parts * SAMPLES_PER_RANGE
-    keys = df.select(*group, *order)
+    keys = df.select(*_plain(df, [*group, *order]))
     fraction = min(1.0, wanted / rows)
-    picked = sorted(tuple(r) for r in
-                    keys.sample(False, fraction, seed=11).limit(2 * wanted + 1000).collect())
+    sampled = keys.sample(False, fraction, seed=11).limit(2 * wanted + 1000)
+    picked = [tuple(r) for r in sampled.orderBy(*keys.columns).collect()]  # NULL first, NaN last
     if len(picked) < 2:
         return None
     step = len(picked) / parts
@@ -99,7 +119,7 @@ def _sample_ranges(df: DataFrame, group: Sequence[str], order: Sequence[str],
     i = 0
     while i < len(chosen):
         j = i
-        while j + 1 < len(chosen) and chosen[j + 1] == chosen[i]:
+        while j + 1 < len(chosen) and _same_key(chosen[j + 1], chosen[i]):
             j += 1
         # side 0 starts a range at the key, side 2 right after it
         cuts.append((*chosen[i], 0))
@@ -112,11 +132,11 @@ def _sample_ranges(df: DataFrame, group: Sequence[str], order: Sequence[str],
     return _Ranges(cuts, heavy, schema)
 
 
-def _range_number(ranges: _Ranges, cuts: Column, group: Sequence[str],
+def _range_number(df: DataFrame, ranges: _Ranges, cuts: Column, group: Sequence[str],
                   order: Sequence[str]) -> Column:
     """Number of cut points at or below the row's key, by binary search."""
     n = len(ranges.cuts)
-    key = F.struct(*[F.col(c) for c in (*group, *order)], F.lit(1).alias("_side"))
+    key = F.struct(*_plain(df, [*group, *order]), F.lit(1).alias("_side"))
     steps = [1 << b for b in range(n.bit_length() - 1, -1, -1)]
 
     def halve(found: Column, step: Column) -> Column:
@@ -140,9 +160,9 @@ def _split(df: DataFrame, group: Sequence[str], order: Sequence[str], rows: Rows
     if ranges is None:
         return df, None
     cuts = ranges.literal()
-    numbered = df.withColumn(_RANGE, _range_number(ranges, cuts, group, order))
+    numbered = df.withColumn(_RANGE, _range_number(df, ranges, cuts, group, order))
     same = lambda at: F.coalesce(
-        F.struct(*[at[g] for g in group]) == F.struct(*[F.col(g) for g in group]), F.lit(False))
+        F.struct(*[at[g].alias(g) for g in group]) == F.struct(*_plain(df, group)), F.lit(False))
     inside = same(F.get(cuts, F.col(_RANGE) - 1)) | same(F.get(cuts, F.col(_RANGE)))
     salt = F.lit(0)
     if ranges.heavy:
@@ -166,7 +186,7 @@ def _with_offsets(df: DataFrame, group: Sequence[str], sums: Mapping[str, Column
     offsets = totals.select(
         *group, _RANGE, *[f"_total_{n}" for n in sums],
         *[F.sum(f"_total_{n}").over(earlier).alias(f"_before_{n}") for n in sums])
-    return df.join(F.broadcast(offsets), [*group, _RANGE], "left")
+    return _join_groups(df, F.broadcast(offsets), [*group, _RANGE], "left")
 
 
 def cumulate(df: DataFrame, group: Sequence[str], order: Sequence[str],
@@ -175,7 +195,7 @@ def cumulate(df: DataFrame, group: Sequence[str], order: Sequence[str],
 
     ``rows`` bounds the row count, or the :class:`Bound` of groups and table; the
     table is counted when nothing is given.
-    Group and order columns must not be NULL.
+    NULL groups are groups, NULL keys come first and NaN last, as in a window.
     """
     if not sums:
         return df
@@ -253,7 +273,7 @@ def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequ
     counts = plain.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_n"))
     seen = cumulate(counts, group, ["_v"], {"_upto": F.col("_n")}, rows)
     total = plain.groupBy(*group).agg(F.count(F.lit(1)).alias("_all"))
-    spot = seen.join(total, list(group))
+    spot = _join_groups(seen, total, group) if group else seen.join(F.broadcast(total))
     at = (F.col("_all") - 1) * F.col("p")
     start = F.col("_upto") - F.col("_n")
     covers = lambda k: (start <= k) & (k < F.col("_upto"))
@@ -287,7 +307,9 @@ def with_totals(df: DataFrame, group: Sequence[str], totals: Mapping[str, Column
         whole = Window.partitionBy(*group)
         return df.select("*", *[F.sum(c).over(whole).alias(n) for n, c in totals.items()])
     small = df.groupBy(*group).agg(*[F.sum(c).alias(n) for n, c in totals.items()])
-    return df.join(F.broadcast(small) if bounded else small, list(group))
+    if not group:
+        return df.join(F.broadcast(small))
+    return _join_groups(df, F.broadcast(small) if bounded else small, group)
 
 
 def fill_down(df: DataFrame, group: Sequence[str], order: Sequence[str],
@@ -314,6 +336,6 @@ def fill_down(df: DataFrame, group: Sequence[str], order: Sequence[str],
                .rowsBetween(Window.unboundedPreceding, -1))
     carried = lasts.select(*group, _RANGE, *[
         F.last(f"_end_{n}", ignorenulls=True).over(earlier).alias(f"_carry_{n}") for n in marks])
-    joined = split.join(F.broadcast(carried), [*group, _RANGE], "left")
+    joined = _join_groups(split, F.broadcast(carried), [*group, _RANGE], "left")
     return joined.select(*kept, *[F.coalesce(c, F.col(f"_carry_{n}")).alias(n)
                                   for n, c in here.items()])

@@ -126,3 +126,24 @@ def test_refinement_score(spark):
                                 (None, None, 3.0)], "s double, a double, v double")
     got = [r[0] for r in df.select(C.refinement_score(F.col("s"), F.col("a"), F.col("v"))).collect()]
     assert got == pytest.approx([0.5, 1.0, 0.0, 0.0])
+
+
+def test_ranks_and_top_lists_agree_at_every_size(spark):
+    from screenmeld.operators import consensus as C
+    rows = [("t", f"l{i % 7}", 1 + i % 2, float(i % 5) if i % 11 else float("nan")) for i in range(120)]
+    poses = spark.createDataFrame(rows, "target string, ligand string, pose int, score_vina double")
+    ligands = spark.createDataFrame(
+        [("t" if i % 3 else None, f"l{i:04d}", [None, float("nan"), -0.0, float(i % 40)][i % 4]) for i in range(1500)],
+        "target string, ligand string, ecr_score double")
+    seen = []
+    for size in ("1000000", "10"):
+        spark.conf.set("spark.screenmeld.rowsPerTask", size)
+        try:
+            ranks = sorted(r.rank_vina for r in C.rank_scores(poses, ["vina"]).collect())
+            tops = [C.top_n(ligands, n) for n in (1000, 1001)]
+            lists = [sorted((str(r.target), r["rank"], r.ligand) for r in t.collect() if r["rank"] <= 400) for t in tops]
+            assert lists[0] == lists[1] and tops[0].schema["rank"].dataType == tops[1].schema["rank"].dataType
+            seen.append((ranks, lists))
+        finally:
+            spark.conf.unset("spark.screenmeld.rowsPerTask")
+    assert seen[0] == seen[1] and seen[0][0] == list(range(1, 121))

@@ -88,3 +88,40 @@ def test_measured_bound(skewed, tiny_tasks):
 def test_bad_method(skewed):
     with pytest.raises(ValueError):
         rank_rows(skewed, ["grp"], ["v"], method="dense")
+
+
+def _odd(spark):
+    """NULL groups, NULL, NaN and -0.0 keys, timestamps, dates, decimals, binaries and repeated keys."""
+    import datetime as dt
+    from decimal import Decimal
+    rng = random.Random(5)
+    rows = []
+    for i in range(400):
+        v = rng.choice([None, float("nan"), -0.0, 0.0, 1.5, float(rng.randint(-9, 9)), float("inf")])
+        k = rng.randint(0, 30)
+        rows.append((rng.choice(["a", "a", "b", None]), i, v,
+                     rng.choice([None, dt.datetime(2024, 10, 27, k % 4, 30, 0, k)]), dt.date(2020, 1, 1 + k % 28),
+                     rng.choice([None, Decimal(k) / 8]), bytes([k, 255 - k]), i % 3))
+    return spark.createDataFrame(rows, "grp string, id long, v double, t timestamp, d date, n decimal(12,3), b binary, hit int")
+
+
+@pytest.mark.parametrize("key", ["v", "t", "d", "n", "b"])
+def test_both_paths_agree_on_odd_keys(spark, key):
+    df = _odd(spark)
+    runs = {
+        "first": lambda: rank_rows(df, ["grp"], [key, "id"], "r", "first"),
+        "min": lambda: rank_rows(df, ["grp"], [key], "r", "min"),
+        "average": lambda: rank_rows(df, ["grp"], [key], "r", "average"),
+        "sums": lambda: cumulate(df, ["grp"], [key], {"r": F.col("hit")}),
+        "fill": lambda: fill_down(df, ["grp"], [key, "id"], {"r": F.when(F.col("hit") == 0, F.col("id"))}),
+        "totals": lambda: with_totals(df, ["grp"], {"r": F.col("hit")}),
+    }
+    got = {}
+    for size in ("1000", "25"):
+        spark.conf.set("spark.screenmeld.rowsPerTask", size)
+        try:
+            out = {name: run() for name, run in runs.items()}
+            got[size] = {name: (x.schema["r"].dataType, by_id(x, "r")) for name, x in out.items()}
+        finally:
+            spark.conf.unset("spark.screenmeld.rowsPerTask")
+    assert got["1000"] == got["25"]
