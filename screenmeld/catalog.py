@@ -26,10 +26,11 @@ class Score:
     raw_higher_is_better: bool
     family: str
     gated: bool = True
+    source: str | None = None
 
     @property
     def column(self) -> str:
-        return f"score_{self.key}"
+        return self.source or f"score_{self.key}"
 
     @property
     def rank_column(self) -> str:
@@ -86,11 +87,22 @@ _BY_KEY = {s.key: s for s in SCORES}
 KEYS = tuple(_BY_KEY)
 
 
+def register(added: Score) -> Score:
+    """Make a scoring function of the user known under its key.
+
+    ``Score("mine", "Mine", False, "user", source="my_column")`` ranks any numeric column of a table; the
+    text formats keep the columns of the built-in functions.
+    """
+    if _BY_KEY.get(added.key, added) != added:
+        raise ValueError(f"score {added.key!r} is known already and differs")
+    return _BY_KEY.setdefault(added.key, added)
+
+
 def score(key: str) -> Score:
     try:
         return _BY_KEY[key]
     except KeyError:
-        raise ValueError(f"unknown score {key!r}, known: {', '.join(KEYS)}") from None
+        raise ValueError(f"unknown score {key!r}, known: {', '.join(_BY_KEY)}") from None
 
 
 def columns_of(keys: Iterable[str]) -> list[str]:
@@ -98,9 +110,9 @@ def columns_of(keys: Iterable[str]) -> list[str]:
 
 
 def available(df: DataFrame, keys: Iterable[str] = KEYS) -> list[str]:
-    """Keys whose score column exists in the table, in catalogue order."""
+    """Keys whose score column exists in the table: built-in ones, then those of the user."""
     wanted = set(keys)
-    return [k for k in KEYS if k in wanted and score(k).column in df.columns]
+    return [k for k in _BY_KEY if k in wanted and score(k).column in df.columns]
 
 
 def score_catalog(spark: SparkSession) -> DataFrame:

@@ -145,3 +145,20 @@ def write_combined_poses(df: DataFrame, path: str, mode: str = "errorifexists")
 
 def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.select(F.to_json(F.struct(*df.columns)).alias("value")).write.mode(mode).text(path)
+
+
+def benchmark_csv_rows(runs: DataFrame) -> DataFrame:
+    """Measured runs with the columns of ``BENCHMARK_COLUMNS``; what a run lacks stays blank."""
+    return runs.select(*[F.coalesce(_get(runs, c, "string").cast("string"), F.lit("")).alias(c)
+                         for c in BENCHMARK_COLUMNS])
+
+
+def duplicate_name_rows(flagged: DataFrame, number: str, name: str) -> DataFrame:
+    """``number<TAB>name`` lines of the rows that lost a name collision (``kept`` is false)."""
+    return flagged.filter(~F.col("kept")).select(
+        F.concat_ws("\t", F.col(number).cast("string"), F.col(name)).alias("value"))
+
+
+def validation_csv_rows(results: DataFrame) -> DataFrame:
+    """Every column of a validation table as text, numbers in full, blanks for missing values."""
+    return results.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in results.columns])

@@ -156,31 +156,33 @@ def manifest_weights(pairs: DataFrame) -> DataFrame:
     return rows.groupBy("run", "label").agg(F.min_by("weight", "first_at").alias("weight"))
 
 
+# Switches of the scoring functions and other settings that a summary shows.
+SCORE_FLAGS = {"Vina": "vina_enabled", "Vinardo": "vinardo_enabled", "AD4": "ad4_enabled",
+               "CNNaffinity": "cnnaffinity_enabled", "CNNscore": "cnnscore_enabled",
+               "dense": "dense_enabled", "Delta-Lin_F9XGB": "deltalinf9xgb_enabled"}
+SUMMARY_KEYS = ("sigma_fraction", "cluster_poses", "cluster_rmsd_cutoff", "binary", "scoring", "search_mode",
+                "exhaustiveness", "num_modes", "energy_range", "seed", "gnina_use_gpu", "dense_model",
+                "cnn_model", "enabled")
+
+
 def manifest_summary(pairs: DataFrame) -> DataFrame:
     """One row per run: weights, flags, sigma, clustering and docking settings."""
     keys = latest_settings(pairs)
     # the first section that has a key wins
     value = lambda k: F.min_by(F.when(F.col("key") == k, F.col("value")),
                                F.when(F.col("key") == k, F.col("first_at")))
-    wanted = ["vina_enabled", "vinardo_enabled", "ad4_enabled", "cnnaffinity_enabled",
-              "cnnscore_enabled", "dense_enabled", "deltalinf9xgb_enabled", "sigma_fraction",
-              "cluster_poses", "cluster_rmsd_cutoff", "binary", "scoring", "search_mode",
-              "exhaustiveness", "num_modes", "energy_range", "seed", "gnina_use_gpu",
-              "dense_model", "cnn_model", "enabled"]
-    wide = keys.groupBy("run").agg(*[value(k).alias(k) for k in wanted])
+    wide = keys.groupBy("run").agg(*[value(k).alias(k) for k in (*SCORE_FLAGS.values(), *SUMMARY_KEYS)])
     weights = manifest_weights(pairs).groupBy("run").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("weight", "label")), asc=False),
                     lambda w: F.concat(w["label"], F.lit("="), w["weight"].cast("string")))
         .alias("weights"), F.sum("weight").alias("weight_sum"))
-    flags = {"Vina": "vina_enabled", "Vinardo": "vinardo_enabled", "AD4": "ad4_enabled",
-             "CNNaffinity": "cnnaffinity_enabled", "CNNscore": "cnnscore_enabled",
-             "dense": "dense_enabled", "Delta-Lin_F9XGB": "deltalinf9xgb_enabled"}
-    on = F.array_compact(F.array(*[F.when(truthy(F.col(k)), F.lit(n)) for n, k in flags.items()]))
+    on = F.array_compact(F.array(*[F.when(truthy(F.col(k)), F.lit(n)) for n, k in SCORE_FLAGS.items()]))
     dash = lambda k: F.coalesce(k, F.lit("-"))
     models = F.array_compact(F.array(
         F.when(truthy(F.col("dense_enabled")), dash("dense_model")),
         F.when(truthy(F.col("cnnaffinity_enabled")) | truthy(F.col("cnnscore_enabled")),
-               dash("cnn_model"))))
+               dash("cnn_model")),
+        F.when(truthy(F.col("deltalinf9xgb_enabled")), F.lit("Delta-Lin_F9XGB"))))
     clustering = F.when(truthy(F.col("cluster_poses")), F.concat(
         F.lit("RMSD "), F.coalesce("cluster_rmsd_cutoff", F.lit("?")))).otherwise("off")
     seed = F.when(F.btrim("seed") == "0", "random").otherwise(F.coalesce(F.nullif("seed", F.lit("")),

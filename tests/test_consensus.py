@@ -147,3 +147,15 @@ def test_ranks_and_top_lists_agree_at_every_size(spark):
         finally:
             spark.conf.unset("spark.screenmeld.rowsPerTask")
     assert seen[0] == seen[1] and seen[0][0] == list(range(1, 121))
+
+
+def test_a_column_of_the_user_is_ranked(spark):
+    from screenmeld.operators import consensus as C
+    mine = catalog.register(catalog.Score("mine", "Mine", False, "user", source="my_docking"))
+    assert catalog.register(mine) is mine
+    poses = spark.createDataFrame([("t", "a", 1, -3.0, -1.0), ("t", "b", 1, -2.0, -9.0), ("t", "c", 1, -1.0, None)],
+                                  "target string, ligand string, pose int, my_docking double, score_vina double")
+    got = {r.ligand: (r.rank_mine, r.rank_vina) for r in C.rank_scores(poses, ["mine", "vina"]).collect()}
+    assert got == {"a": (1, 2), "b": (2, 1), "c": (3, None)}
+    top = C.rerank(poses, ["mine"]).orderBy("ecr_rank").first()
+    assert top.ligand == "a"

@@ -255,3 +255,25 @@ def test_stream_names_across_runs(spark, tmp_path):
     df(spark, "name string", ("b",), ("c",)).coalesce(1).write.mode("append").parquet(src)
     run()
     assert sorted(r["name"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b", "c"]
+
+
+def test_nan_counts_as_missing(spark):
+    from screenmeld.operators import properties as Y
+    nan = float("nan")
+    row = spark.createDataFrame([(nan, 0.7, nan, 150.0)], "a double, b double, p double, w double")
+    best = Y.with_maximum(row, ["a", "b"], "top").first()
+    assert best.top == 0.7
+    got = row.select(Y.count_above(["a", "b"]).alias("n"), Y.light(F.lit("up"), F.col("p")).alias("l"),
+                     Y.light_by_value(F.col("p"), (1.0, 2.0)).alias("v"),
+                     Y.light_by_value(F.col("w"), (1.0, 2.0)).alias("w")).first()
+    assert (got.n, got.l, got.v, got.w) == (1, None, None, "risk")
+
+
+def test_benchmark_duplicate_and_validation_rows(spark):
+    from screenmeld import sinks
+    runs = spark.createDataFrame([(1, 2, 0)], "run int, gpus int, exit int")
+    row = sinks.benchmark_csv_rows(runs).first()
+    assert tuple(row.asDict()) == sinks.BENCHMARK_COLUMNS and (row.run, row.gpus, row.wall_s) == ("1", "2", "")
+    named = spark.createDataFrame([(0, "a", True), (1, "a", False)], "i int, name string, kept boolean")
+    assert [r.value for r in sinks.duplicate_name_rows(named, "i", "name").collect()] == ["1\ta"]
+    assert sinks.validation_csv_rows(named.limit(1)).first().kept == "true"

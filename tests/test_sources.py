@@ -289,3 +289,20 @@ def test_tables(spark, tmp_path):
     (tmp_path / "gpu.csv").write_text("0, 50, 1000, 300.5\n1, 70, 2000, 310.5\n")
     row = T.telemetry(spark, str(tmp_path / "gpu.csv")).agg(F.avg("util"), F.max("mem")).first()
     assert tuple(row) == (60.0, 2000.0)
+
+
+def test_pose_numbers_and_lines_outside_models(spark):
+    from screenmeld.sources import poses as P
+    text = ("REMARK before\nMODEL 1\nREMARK VINA RESULT:    -.5  0 0\nATOM a\nENDMDL\nREMARK between\n"
+            "MODEL 2\nREMARK VINA RESULT: none\nATOM b\nENDMDL\nMODEL 3\nREMARK VINA RESULT: -7.25 0 0\nENDMDL\ntail")
+    files = spark.createDataFrame([("f", text)], "path string, value string")
+    assert [(r.pose, r.energy) for r in P.pose_energies(files).collect()] == [(1, -0.5), (3, -7.25)]
+    bodies = [r.body for r in P.pose_bodies(files).orderBy("pose").collect()]
+    assert len(bodies) == 3 and not any("between" in b or "before" in b or "tail" in b for b in bodies)
+    assert bodies[1] == "REMARK VINA RESULT: none\nATOM b"
+
+
+def test_weight_texts_of_any_precision(spark):
+    from screenmeld.catalog import decode_weights
+    df = spark.createDataFrame([("A=0.125/B=12.00/C=0.3333",)], "w string")
+    assert df.select(decode_weights(F.col("w")).alias("m")).first().m == {"A": 0.125, "B": 12.0, "C": 0.3333}
