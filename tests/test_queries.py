@@ -1,7 +1,4 @@
-"""Registered queries against their SQL twins on the smallest tables.
-
-By default one query per operator family runs; ``ALL_QUERIES=1`` runs them all.
-"""
+"""Every registered query against its SQL twin on the smallest tables."""
 
 import os
 
@@ -9,15 +6,10 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle import compare, connect
+from screenmeld.plans import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-SAMPLE = """ecr_rerank ecr_min_rank ecr_weight_scenarios top_fraction refine_combined_score ranking_metrics
-ks_statistic score_histogram kendall_pairs orthogonality_table bootstrap_ci bootstrap_roc_band loo_results
-weight_stability pose_heavy_atoms pose_clusters molecule_list mol_names pocket_entries target_blocks
-manifest_summary completed_from_log scorer_poses partial_scores chunk_merge_last_wins progress_rollup
-block_progress coverage_gate name_collisions config_audit fill_blank_join cascade_match throughput_speedup
-endpoint_max_argmax category_contribution scored_unique stream_upsert stream_gated_blocks""".split()
-NAMES = list(entry.queries()) if os.environ.get("ALL_QUERIES") else SAMPLE
+NAMES = list(QUERIES)
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="tables not present")
 
