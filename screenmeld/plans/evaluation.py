@@ -232,8 +232,8 @@ def pair_rows(spark, sf):
 SELECT {PKEY}, count(*) AS n, CASE WHEN count(*) >= 3 AND stddev_pop(x) > 0 AND stddev_pop(y) > 0
   THEN round(corr(x, y), 6) END AS pearson FROM pairs GROUP BY {PKEY}""")
 def pearson_pairs(spark, sf):
-    pairs, _ = pair_rows(spark, sf)
-    return rounded(R.pearson(pairs), "pearson", digits=6)
+    first = poses(spark, sf).filter("pose = 1")
+    return rounded(R.pearson(first, COLUMNS), "pearson", digits=6)
 
 
 SPEARMAN = PAIRS + f""",
@@ -320,5 +320,5 @@ def orthogonality_table(spark, sf):
 SELECT {PKEY}, count(*) AS n, round(regr_slope(y, x), 6) AS slope,
   round(regr_intercept(y, x), 6) AS intercept FROM pairs GROUP BY {PKEY}""")
 def ols_lines(spark, sf):
-    pairs, _ = pair_rows(spark, sf)
-    return rounded(R.ols_lines(pairs), "slope", "intercept", digits=6)
+    first = poses(spark, sf).filter("pose = 1")
+    return rounded(R.ols_lines(first, COLUMNS), "slope", "intercept", digits=6)
