@@ -267,10 +267,49 @@ def kendall_pairs(spark, sf):
     return rounded(R.kendall(pairs, rows).drop("_z"), "kendall", digits=6)
 
 
-@query("correlations_with_p")
+def _tail_sql(start: str, end: str, density: str) -> str:
+    """Simpson's rule in SQL: share of a density on [0, end] at or above start; ``{w}`` is the point."""
+    def area(low: str) -> str:
+        point = density.replace("{w}", f"({low} + i * ({end} - {low}) / 1000)")
+        return (f"(({end} - {low}) / 1000 * list_sum(list_transform(range(1001), lambda i : "
+                f"(CASE WHEN i IN (0, 1000) THEN 1.0 WHEN i % 2 = 1 THEN 4.0 ELSE 2.0 END) * exp({point}))))")
+    return f"CASE WHEN {start} >= {end} THEN 0.0 ELSE {area(start)} / {area('CAST(0 AS DOUBLE)')} END"
+
+
+def _correlation_p_sql(r: str) -> str:
+    root = "sqrt(CAST(n - 2 AS DOUBLE))"
+    tail = _tail_sql(f"({root} * asin(least(abs({r}), 1.0)))", f"least({root} * pi() / 2, 12.0)",
+                     f"(n - 3) * ln(cos({{w}} / {root}))")
+    return f"CASE WHEN n > 2 AND {r} IS NOT NULL THEN {tail} END"
+
+
+ALL_THREE = SPEARMAN + f""",
+pear AS (SELECT {PKEY}, CASE WHEN count(*) >= 3 AND stddev_pop(x) > 0 AND stddev_pop(y) > 0
+  THEN corr(x, y) END AS pearson FROM pairs GROUP BY {PKEY}),
+ksum AS (SELECT a.target, a.subset, a.score_x, a.score_y,
+  CAST(sum(sign(a.x - b.x) * sign(a.y - b.y)) AS DOUBLE) / 2 AS s,
+  CAST(sum(abs(sign(a.x - b.x))) AS DOUBLE) AS sx, CAST(sum(abs(sign(a.y - b.y))) AS DOUBLE) AS sy
+  FROM pairs a JOIN pairs b ON a.target = b.target AND a.subset = b.subset
+    AND a.score_x = b.score_x AND a.score_y = b.score_y GROUP BY ALL),
+{", ".join(f"""ties_{v} AS (SELECT {PKEY}, CAST(sum(t * (t - 1)) AS DOUBLE) AS {v}1,
+  CAST(sum(t * (t - 1) * (t - 2)) AS DOUBLE) AS {v}2, CAST(sum(t * (t - 1) * (2 * t + 5)) AS DOUBLE) AS {v}3
+  FROM (SELECT {PKEY}, {v}, count(*) AS t FROM pairs GROUP BY {PKEY}, {v}) GROUP BY {PKEY})""" for v in "xy")},
+k AS (SELECT {PKEY}, CASE WHEN n >= 3 AND sx > 0 AND sy > 0 THEN 2 * s / sqrt(sx) / sqrt(sy) END AS kendall,
+  CASE WHEN n >= 3 AND sx > 0 AND sy > 0 THEN s / sqrt((CAST(n AS DOUBLE) * (n - 1) * (2 * n + 5) - x3 - y3) / 18
+    + x1 * y1 / (2.0 * n * (n - 1)) + x2 * y2 / (9.0 * n * (n - 1) * (n - 2))) END AS z
+  FROM ksum JOIN rho USING ({PKEY}) JOIN ties_x USING ({PKEY}) JOIN ties_y USING ({PKEY}))
+SELECT {PKEY}, n, round(pearson, 6) AS pearson, round({_correlation_p_sql("pearson")}, 6) AS pearson_p,
+  round(spearman, 6) AS spearman, round({_correlation_p_sql("spearman")}, 6) AS spearman_p,
+  round(kendall, 6) AS kendall,
+  round(CASE WHEN z IS NOT NULL THEN {_tail_sql("abs(z)", "CAST(12 AS DOUBLE)", "-{w} * {w} / 2")} END, 6) AS kendall_p
+FROM rho JOIN pear USING ({PKEY}) JOIN k USING ({PKEY})"""
+
+
+@query("correlations_with_p", ALL_THREE)
 def correlations_with_p(spark, sf):
     first = poses(spark, sf).filter("pose = 1")
-    return R.all_correlations(first, COLUMNS, C.profile(first, SCORES).rows)
+    out = R.all_correlations(first, COLUMNS, C.profile(first, SCORES).rows)
+    return rounded(out, "pearson", "pearson_p", "spearman", "spearman_p", "kendall", "kendall_p", digits=6)
 
 
 @query("orthogonality_median", SPEARMAN + """

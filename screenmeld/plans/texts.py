@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from screenmeld.catalog import decode_weights, encode_weights
 from screenmeld.functions import names as N
 from screenmeld.functions import numbers as X
+from screenmeld.functions import stats as ST
 from screenmeld.operators import clustering as K
 from screenmeld.operators.ordering import fill_down, rank_rows
 from screenmeld.plans.fixtures import POSES, poses, row_count, table
@@ -593,6 +594,36 @@ def weight_string_roundtrip(spark, sf):
     return made.select("id", "text", decode_weights(F.col("text"))["A"].alias("a"))
 
 
+@query("receptor_files", """
+SELECT p_partkey AS id, p_partkey % 5 IN (0, 1, 2) AS receptor FROM part""")
+def receptor_files(spark, sf):
+    k = F.col("p_partkey") % 5
+    name = (F.when(k == 0, F.lit("00_target.pdbqt")).when(k == 1, F.concat("p_brand", F.lit("_Target.PDBQT")))
+            .when(k == 2, F.concat("p_brand", F.lit("_receptor.pdbqt")))
+            .when(k == 3, F.concat("p_brand", F.lit("_docked.pdbqt"))).otherwise(F.lit("target.pdbqt")))
+    return table(spark, sf, "part").select(F.col("p_partkey").alias("id"), N.is_receptor_file(name).alias("receptor"))
+
+
+@query("p_value_texts", """
+SELECT p_partkey AS id, CASE WHEN p IS NULL THEN 'n/a' WHEN p < 0.001 THEN 'p < 0.001' WHEN p < 0.01 THEN 'p < 0.01'
+  WHEN p < 0.05 THEN 'p < 0.05' ELSE 'p = ' || printf('%.3f', p) END AS label,
+  CASE WHEN p < 0.001 THEN '***' WHEN p < 0.01 THEN '**' WHEN p < 0.05 THEN '*' ELSE '' END AS stars
+FROM (SELECT p_partkey, CASE WHEN p_partkey % 7 > 0 THEN (p_partkey % 200) / CAST(2000 AS DOUBLE) END AS p FROM part)""")
+def p_value_texts(spark, sf):
+    k = F.col("p_partkey")
+    p = F.when(k % 7 > 0, (k % 200) / F.lit(2000.0))
+    return table(spark, sf, "part").select(k.alias("id"), ST.p_label(p).alias("label"), ST.p_stars(p).alias("stars"))
+
+
+@query("spaced_points", """
+SELECT p_partkey AS id, i, round(p_size + i * (p_retailprice - p_size) / 4, 6) AS x
+FROM part, (SELECT unnest(range(5)) AS i)""")
+def spaced_points(spark, sf):
+    points = ST.linspace(F.col("p_size").cast("double"), F.col("p_retailprice").cast("double"), 5)
+    return table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.posexplode(points).alias("i", "x")).select(
+        "id", F.col("i").cast("long").alias("i"), F.round("x", 6).alias("x"))
+
+
 @query("number_texts", """
 SELECT l_orderkey AS o, l_linenumber AS n, l_quantity AS q, count(*) AS rows,
   printf('%.3f', l_quantity) AS fixed, printf('%.3e', l_quantity * 1000000) AS exponent,
@@ -613,7 +644,7 @@ def number_texts(spark, sf):
 
 
 @query("breakable_text", """
-SELECT doc_id, length(text) + (length(text) - 1) // 12 AS length FROM documents WHERE text <> ''""")
+SELECT doc_id, CASE WHEN coalesce(text, '') = '' THEN '-'
+  ELSE rtrim(regexp_replace(text, '(.{12})', '\\1' || chr(8203), 'gs'), chr(8203)) END AS text FROM documents""")
 def breakable_text(spark, sf):
-    d = table(spark, sf, "documents").filter("text <> ''")
-    return d.select("doc_id", F.length(X.breakable(F.col("text"))).cast("long").alias("length"))
+    return table(spark, sf, "documents").select("doc_id", X.breakable(F.col("text")).alias("text"))

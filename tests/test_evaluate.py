@@ -121,11 +121,18 @@ def test_correlations(spark, split, request):
         assert 0 <= r["kendall_p"] <= 1
 
 
-def test_p_values():
-    # for n = 10 the distribution of r is a polynomial: p(0.5) = 289 / 2048
-    got = stats.student_t_p(np.array([0.5, 0.1, 1.0, 0.0, np.nan]), np.array([10.0, 100, 10, 10, 10]))
+def test_p_values(spark):
+    # for n = 10 the distribution of r is a polynomial: p(0.5) = 289 / 2048; for n = 3 it is 1 - 2 asin(r) / pi
+    rows = spark.createDataFrame([(0.5, 10), (0.1, 100), (1.0, 10), (0.0, 10), (float("nan"), 10), (0.6, 3), (0.5, 2), (1e-4, 10**9)],
+                                 "r double, n long")
+    got = [r[0] for r in rows.select(stats.correlation_p(F.col("r"), F.col("n"))).collect()]
     assert got[:4] == pytest.approx([289 / 2048, 0.322217, 0.0, 1.0], abs=2e-6)
-    assert np.isnan(got[4])
+    assert got[4] is None and got[6] is None
+    assert got[5] == pytest.approx(1 - 2 * math.asin(0.6) / math.pi, abs=1e-9)
+    assert got[7] == pytest.approx(math.erfc(1e-4 * math.sqrt(1e9 / 2)), abs=1e-6)
+    z = spark.createDataFrame([(0.0,), (-1.5,), (4.0,), (30.0,), (None,)], "z double")
+    two = [r[0] for r in z.select(stats.normal_two_sided_p(F.col("z"))).collect()]
+    assert two[:4] == pytest.approx([math.erfc(x / math.sqrt(2)) for x in (0, 1.5, 4, 30)], abs=1e-9) and two[4] is None
 
 
 def test_p_texts(spark):
