@@ -93,7 +93,10 @@ def line_keys(lines: Column, min_chars: int) -> Column:
 
 def drop_repeated(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches: int = BATCHES,
                   fanout: int = FANOUT) -> DataFrame:
-    """Rows of ``docs`` as struct ``doc``, with ``kept`` text, ``n_lines`` and ``n_dropped``."""
+    """Rows of ``docs`` as struct ``doc`` without text, with ``kept`` text, ``n_lines`` and ``n_dropped``.
+
+    ``given`` says whether there was a text.
+    """
     spark = docs.sparkSession
     text = F.coalesce("text", F.lit(""))
     # a row is known by its id and text, so that rows which share an id are told apart
@@ -119,19 +122,21 @@ def drop_repeated(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batch
     drops = (hits.filter(~F.col("doc_id").eqNullSafe(F.col("last")))
              .groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row"))
              .agg(F.sort_array(F.collect_set("at")).alias("_at")))
-    rows = docs.select(F.struct("*").alias("doc"), F.xxhash64(text).alias("row"), lines.alias("lines"))
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]  # the text itself moves as lines alone
+    rows = docs.select(F.struct(*others).alias("doc"), F.col("text").isNotNull().alias("given"),
+                       F.xxhash64(text).alias("row"), lines.alias("lines"))
     joined = rows.join(drops, rows["doc.doc_id"].eqNullSafe(F.col("_id")) & (rows["row"] == F.col("_row")), "left")
     # the lines between two neighbouring dropped positions stay
     at = F.coalesce("_at", F.array().cast("array<int>"))
     edges = F.arrays_zip(F.concat(F.array(F.lit(-1)), at).alias("a"),
                          F.concat(at, F.array(F.size("lines"))).alias("b"))
     stretches = F.transform(edges, lambda e: F.slice(F.col("lines"), e["a"] + 2, e["b"] - e["a"] - 1))
-    return joined.select("doc", F.size("lines").cast("long").alias("n_lines"), F.size(at).cast("long").alias("n_dropped"),
+    return joined.select("doc", "given", F.size("lines").cast("long").alias("n_lines"), F.size(at).cast("long").alias("n_dropped"),
                          F.array_join(F.flatten(stretches), "\n").alias("kept"))
 
 
 def without_repeated_lines(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` with the repeated lines taken out of ``text`` and ``n_chars`` set anew; columns as they are."""
     rows = drop_repeated(docs, **settings)
-    fresh = {"text": F.when(F.col("doc.text").isNotNull(), F.col("kept")), "n_chars": F.length("kept").cast("long")}
-    return rows.select(*[fresh.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
+    fresh = {"text": F.when(F.col("given"), F.col("kept")), "n_chars": F.length("kept").cast("long")}
+    return rows.select(*[(fresh[c] if c in fresh else F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
