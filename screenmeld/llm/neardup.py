@@ -6,9 +6,11 @@
    probability ``(1 - 0.8**rows)**bands``, 7e-6) and folded into an odd sketch: each sample flips
    one bit, so the popcount of the XOR of two sketches estimates a high similarity.
 3. Members of a band's bucket are compared with the bucket's smallest id, not with each other: first each with
-   its smallest such hub, then with the others if they still lie in another component. Buckets that still span components
-   go on with the next hub, and once their open pairs are no more than ``OPEN_PAIRS`` times the classes, with all of those. So
-   no bucket emits its pairs, and no link between components is left out.
+   its smallest such hub, then with the others if they still lie in another component. In buckets that still span components,
+   up to ``HUBS`` members of the smallest ones are compared with all members of other components that are within reach and
+   are then done; this goes on until no bucket spans two. Reach is a bound from the shingles that a text shares with no
+   other one still open: heavily edited copies leave before any pair is looked at. Buckets are dealt in chunks of members that
+   meet the hubs inside a task, so rows grow with the members, and no link between components is left out.
 4. Pairs whose sketches are too far apart for the threshold by six standard deviations are dropped; the rest are confirmed on
    the full sets. Components follow by least labels and pointer jumping.
 
@@ -25,15 +27,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from screenmeld.llm.text import map_values
+from screenmeld.llm.text import map_values, partitions_of
 from screenmeld.session import stage
 
 BANDS, ROWS = 30, 5
 SKETCH_BITS = 1024
-OPEN_PAIRS = 4
+HUBS = 256
+CHUNK = 256
+MEMBER = ["band", "node", "label", "n", "reach"]
 CACHE_WORDS = 1_000_000
 
 
@@ -108,13 +112,16 @@ def signatures(docs: DataFrame, words: int, bands: int = BANDS, rows: int = ROWS
                       "n_shingles long, d1 long, d2 long, bands array<long>, sketch array<long>")
 
 
-def far_apart(a: Column, b: Column, threshold: float, samples: int) -> Column:
-    """Whether two odd sketches rule out a similarity of ``threshold`` by six standard deviations."""
+def most_apart(threshold: float, samples: int) -> float:
+    """Differing bits of two odd sketches that a similarity of ``threshold`` reaches within six standard deviations."""
     least = threshold - 6 * math.sqrt(threshold * (1 - threshold) / samples)
     most = SKETCH_BITS / 2 * (1 - (1 - 2 / SKETCH_BITS) ** (2 * samples * (1 - least)))
-    most += 6 * math.sqrt(SKETCH_BITS) / 4
+    return most + 6 * math.sqrt(SKETCH_BITS) / 4
+
+
+def far_apart(a: Column, b: Column, threshold: float, samples: int) -> Column:
     apart = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    return apart > most
+    return apart > most_apart(threshold, samples)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -154,6 +161,89 @@ def _exact(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Data
         run, f"a {kind}, b {kind}")
 
 
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def _reach(nodes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """``node, n, reach``: set size, and a bound on the size of sets that can reach the threshold.
+
+    Shingles that no other of the nodes has cannot be shared. With ``u`` of them in a set of ``n``, a set of
+    ``m`` shingles can reach the threshold only if ``percent * m <= 100 * n - (100 + percent) * u``.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, raw in enumerate(batch.column("raw").to_pylist()):
+                found = shingle_set(raw, words)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("node").take(pa.array(np.full(len(found), at))), pa.array(found.view(np.int64))],
+                    ["node", "shingle"])
+
+    kind = nodes.schema["node"].dataType.simpleString()
+    shingles = texts.join(nodes, "node", "left_semi").select("node", "raw").mapInArrow(run, f"node {kind}, shingle long")
+    owned = shingles.groupBy("shingle").agg(F.count("*").alias("times"), F.min("node").alias("node"))
+    alone = owned.filter("times = 1").groupBy("node").agg(F.count("*").alias("alone"))
+    sized = shingles.groupBy("node").agg(F.count("*").alias("n"))
+    reach = 100 * F.col("n") - (100 + percent) * F.coalesce("alone", F.lit(0))
+    return sized.join(alone, "node", "left").select("node", "n", reach.alias("reach"))
+
+
+def _against_hubs(members: DataFrame, hubs: DataFrame, texts: DataFrame, sketches: DataFrame, words: int,
+                  percent: int, samples: int) -> DataFrame:
+    """Confirmed links ``a, b`` between members and hubs of their bucket that lie in different components.
+
+    A bucket is dealt in chunks of about ``CHUNK`` members, each with all hubs of the bucket ahead of its members. Pairs
+    out of reach, with sketches too far apart, or between components that the chunk has linked already are passed over.
+    """
+    dealt = members.groupBy("band").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
+    own = members.join(dealt, "band").select(
+        *MEMBER, F.pmod(F.xxhash64("node"), F.col("chunks")).alias("chunk"), F.lit(1).alias("turn"))
+    ahead = hubs.join(dealt, "band").select(
+        *MEMBER, F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.lit(0).alias("turn"))
+    most = most_apart(percent / 100, samples)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, known, sets, table, joined = None, [], [], None, {}
+
+        def top(label: int) -> int:
+            while label in joined:
+                label = joined[label]
+            return label
+
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                if place != (row["band"], row["chunk"]):
+                    place, known, sets, table, joined = (row["band"], row["chunk"]), [], [], None, {}
+                found = shingle_set(row["raw"], words)
+                fact = (row["node"], row["label"], row["n"], row["reach"])
+                sketch = np.array(row["sketch"], np.int64)
+                if row["turn"] == 0:
+                    known.append((*fact, sketch))
+                    sets.append(found)
+                    continue
+                if table is None:
+                    table = [np.array(c) for c in zip(*known)]
+                node, label, n, reach = fact
+                apart = np.bitwise_count((table[4] ^ sketch).view(np.uint64)).sum(axis=1)
+                fits = ((table[1] != label) & (percent * table[2] <= reach) & (percent * n <= table[3]) & (apart <= most))
+                for k in np.flatnonzero(fits):
+                    x, y = top(label), top(int(table[1][k]))
+                    if x == y:
+                        continue
+                    both = len(np.intersect1d(found, sets[k], assume_unique=True))
+                    if 100 * both >= percent * (len(found) + len(sets[k]) - both):
+                        out.append((node, int(table[0][k])))
+                        joined[max(x, y)] = min(x, y)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, batch.schema.field("node").type) for c in zip(*out)], ["a", "b"])
+
+    kind = members.schema["node"].dataType.simpleString()
+    rows = own.unionByName(ahead).join(texts, "node").join(sketches, "node")
+    return (rows.repartition(partitions_of(rows), "band", "chunk").sortWithinPartitions("band", "chunk", "turn")
+            .mapInArrow(run, f"a {kind}, b {kind}"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
     signed = stage(signatures(docs, words, bands, rows), "signed")
@@ -169,18 +259,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     sketches = stage(heads.select("node", "sketch").join(inside, "node", "left_semi"), "sketches")
     texts = stage(docs.select(F.col("doc_id").alias("node"), F.col("text").cast("binary").alias("raw"))
                   .join(inside, "node", "left_semi"), "texts")
-    most_open = OPEN_PAIRS * inside.count()
-    links = None
+    links, labels = None, None
 
     def near(pairs: DataFrame) -> DataFrame:
         side = lambda at: sketches.select(F.col("node").alias(at), F.col("sketch").alias(f"s_{at}"))
         met = pairs.join(side("a"), "a").join(side("b"), "b")
         return met.filter(~far_apart(F.col("s_a"), F.col("s_b"), percent / 100, bands * rows)).select("a", "b")
 
-    def linked(pairs: DataFrame) -> DataFrame | None:
-        """Confirm pairs, add them to the links and give the labels so far."""
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Add confirmed pairs to the links and give the labels so far."""
         nonlocal links
-        fresh = stage(_exact(pairs, texts, words, percent), "confirmed")
+        fresh = stage(pairs, "confirmed")
+        if labels is not None and fresh.isEmpty():
+            return labels
         links = fresh if links is None else links.union(fresh)
         return components(links)
 
@@ -192,30 +283,34 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
 
     spokes = stage(near(buckets.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()),
                    "spokes")
-    labels = linked(spokes.groupBy("a").agg(F.min("b").alias("b")))
-    labels = linked(parted(spokes, labels))
-    buckets = buckets.filter("node <> hub").select("band", "node")
+    labels = linked(_exact(spokes.groupBy("a").agg(F.min("b").alias("b")), texts, words, percent))
+    labels = linked(_exact(parted(spokes, labels), texts, words, percent))
+    def spanning(rows: DataFrame) -> DataFrame:
+        """Rows of buckets that still span two components, with the size of their component in the bucket."""
+        sizes = rows.groupBy("band", "label").agg(F.count("*").alias("size"))
+        spread = sizes.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
+        return rows.join(spread, "band").join(sizes, ["band", "label"])
+
+    rows_open = stage(spanning(_labelled(buckets.filter("node <> hub").select("band", "node"), labels)), "open")
+    reach = stage(_reach(rows_open.select("node").distinct(), texts, words, percent), "reach")
+    rows_open = rows_open.select("band", "node").join(reach, "node")
+    ends = rows_open.groupBy("band").agg(F.min("n").alias("least"), F.max("reach").alias("most"))
+    within = rows_open.join(ends, "band").filter(
+        (percent * F.col("least") <= F.col("reach")) & (percent * F.col("n") <= F.col("most")))
+    rows_open = within.select("band", "node", "n", "reach")
     while True:
-        open_ = (buckets.join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label")))
-        spread = open_.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                           F.min("node").alias("hub")).filter("lo < hi").select("band", "hub")
-        open_ = stage(open_.join(spread, "band"), "open")
-        sizes = open_.groupBy("band", "label").count().groupBy("band").agg(
-            F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("same"))
-        left = sizes.agg(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2)).first()[0]
-        if not left:
+        rows_open = stage(spanning(_labelled(rows_open, labels)), "open")
+        if rows_open.isEmpty():
             break
-        if left <= most_open:
-            other = open_.select("band", F.col("node").alias("b"), F.col("label").alias("l_b"))
-            pairs = open_.join(other, "band").filter("label > l_b").select(F.col("node").alias("a"), "b").distinct()
-            labels = linked(near(pairs))
-            break
-        hubs = open_.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-        labels = linked(near(parted(hubs, labels)))
-        buckets = open_.filter("node <> hub").select("band", "node")
-
-    named = classes.join(labels, "node", "left").select("d1", "d2", F.coalesce("label", "node").alias("found"))
-    rows_ = signed.select("doc_id", "n_shingles", "d1", "d2").join(named, ["d1", "d2"], "left")
+        turn = Window.partitionBy("band").orderBy("size", "label", "node")
+        hubs = stage(rows_open.withColumn("turn", F.row_number().over(turn)).filter(F.col("turn") <= HUBS)
+                     .select(*MEMBER), "hubs")
+        labels = linked(_against_hubs(rows_open.select(*MEMBER), hubs, texts, sketches, words, percent, bands * rows))
+        rows_open = (rows_open.join(hubs.select("band", "node"), ["band", "node"], "left_anti")
+                     .select("band", "node", "n", "reach"))
+
+    found = classes.join(labels, "node", "left").select("d1", "d2", F.coalesce("label", "node").alias("found"))
+    rows_ = signed.select("doc_id", "n_shingles", "d1", "d2").join(found, ["d1", "d2"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))
     return rows_.select("doc_id", "n_shingles", component.alias("component_id"),
                         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
