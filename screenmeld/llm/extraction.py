@@ -20,9 +20,8 @@ from collections import deque
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from screenmeld.llm.text import map_values
+from screenmeld.llm.text import lowest_hashes, map_values
 
 #: Element names of HTML by role, and words in class, id and role attributes.
 UNSEEN = frozenset("script style noscript template svg math iframe object head title textarea select option button "
@@ -243,8 +242,8 @@ def main_text(page: str | None, weights: np.ndarray) -> str:
 
 def fit_weights(pages: DataFrame, sample: int = SAMPLE_PAGES, seed: int = 42) -> np.ndarray:
     """Logistic regression on the stated blocks of at most ``sample`` pages, lowest hash of page_id first."""
-    chosen = (pages.select("html", F.xxhash64(F.lit(seed), F.col("page_id")).alias("at"))
-              .orderBy("at").limit(sample).select("html").collect())
+    chosen = lowest_hashes(pages.select("page_id", "html"), "page_id", seed, sample).limit(2 * sample).collect()
+    chosen = sorted(chosen, key=lambda r: (r["at"], r["html"] or ""))[:sample]
     x, y = [np.zeros((0, N_FEATURES))], []
     for row in chosen:
         blocks = blocks_of(row["html"])

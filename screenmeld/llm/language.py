@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from screenmeld.llm.text import SPACE, SPACES, map_values
+from screenmeld.llm.text import SPACE, SPACES, lowest_hashes, map_values
 
 SLOTS = 1 << 17
 SAMPLE_DOCS, SAMPLE_WORDS = 2000, 150
@@ -170,14 +170,14 @@ class Model:
 
 def train(docs: DataFrame, sample: int = SAMPLE_DOCS, words: int = SAMPLE_WORDS, seed: int = 42) -> Model:
     """Fit on rows that are not held out and have a lang; at most ``sample`` rows are collected."""
-    at = F.xxhash64(F.lit(seed), F.col("doc_id"))
-    rows = (docs.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col("lang").isNotNull()
-                        & (F.length(F.btrim("text", F.lit(SPACE))) > 0))
-            .select("text", "lang", at.alias("at")).orderBy("at", "text").limit(sample))
-    parts = F.split(F.btrim("text", F.lit(SPACE)), SPACES)
-    cut = rows.select("lang", "at", parts.alias("parts")).select(
-        "lang", F.slice("parts", (1 + F.pmod("at", F.greatest(F.size("parts") - words + 1, F.lit(1)))).cast("int"), words)
-        .alias("words")).collect()
+    usable = docs.select("doc_id", "lang", "text").filter(
+        F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
+    trimmed = F.btrim("text", F.lit(SPACE))
+    parts = lowest_hashes(usable, "doc_id", seed, sample).filter(F.length(trimmed) > 0).select(
+        "lang", "at", F.split(trimmed, SPACES).alias("parts"))
+    begin = (1 + F.pmod("at", F.greatest(F.size("parts") - words + 1, F.lit(1)))).cast("int")
+    cut = parts.select("at", "lang", F.slice("parts", begin, words).alias("words")).limit(2 * sample).collect()
+    cut = sorted(cut, key=lambda r: (r["at"], r["lang"], r["words"]))[:sample]
     labels = sorted({r["lang"] for r in cut})
     texts = [[w.encode().lower() for w in r["words"]] for r in cut]
     gold = [labels.index(r["lang"]) for r in cut]
@@ -215,32 +215,34 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     # of fixed size: labels x SLOTS weights
     shared = docs.sparkSession.sparkContext.broadcast((model.labels, model.weights, model.trans))
 
-    def batched(texts: list[list[bytes]]) -> Iterator[list[list[bytes]]]:
-        start, size = 0, 0
-        for k, words in enumerate(texts):
-            size += len(words)
+    def batched(raws: list[bytes | None]) -> Iterator[list[list[bytes]]]:
+        texts, size = [], 0
+        for raw in raws:
+            texts.append((raw or b"").split())
+            size += len(texts[-1])
             if size >= BATCH_WORDS:
-                yield texts[start:k + 1]
-                start, size = k + 1, 0
-        yield texts[start:]
+                yield texts
+                texts, size = [], 0
+        yield texts
 
     def prepare():
         own = Model(*shared.value)
-        return lambda raws: [row for part in batched([(r or b"").split() for r in raws]) for row in own.documents(part)]
+        return lambda raws: [row for part in batched(raws) for row in own.documents(part)]
 
-    rows = docs.select(*keep, F.col("text").cast("binary").alias("_raw"))
-    return map_values(rows, "_raw", prepare, "lang_pred string, score double, n_words long, n_switches long")
+    return map_values(docs.select(*keep, "text"), "text", prepare,
+                      "lang_pred string, score double, n_words long, n_switches long", keep_column=True)
 
 
 def language_id(docs: DataFrame, **settings) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` and counts for every row, by a model trained on ``docs``."""
     rows = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
-    return predict(rows, train(docs, **settings), ["doc_id", "held_out"])
+    return predict(rows, train(docs, **settings), ["doc_id", "held_out"]).drop("text")
 
 
 def identified(docs: DataFrame, least: float = 0.5, **settings) -> DataFrame:
     """The rows of ``docs`` with a language of at least ``least`` score; columns as they are."""
     model = train(docs, **settings)
-    rows = docs.select(F.struct("*").alias("_doc"), "text")
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*others).alias("_doc"), "text")
     kept = predict(rows, model, ["_doc"]).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
-    return kept.select(*[F.col(f"_doc.`{c}`").alias(c) for c in docs.columns])
+    return kept.select(*["text" if c == "text" else F.col(f"_doc.`{c}`").alias(c) for c in docs.columns])

@@ -33,6 +33,16 @@ def partitions_of(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def lowest_hashes(rows: DataFrame, key: str, seed: int, most: int) -> DataFrame:
+    """The rows whose hash of ``key`` is among the ``most`` lowest, ties included, with that hash as ``at``.
+
+    The limit is found on the hashes alone, so no task sorts or sends texts.
+    """
+    at = F.xxhash64(F.lit(seed), F.col(key))
+    last = rows.select(at.alias("at")).orderBy("at").limit(most).agg(F.max("at")).first()[0]
+    return rows.withColumn("at", at).filter(F.col("at") <= F.lit(last).cast("long"))
+
+
 def join_small(rows: DataFrame, table: DataFrame, count: int, on: Column, how: str = "inner") -> DataFrame:
     """Join a table of known row count: broadcast up to ``BROADCAST_ROWS``, else a shuffle join."""
     return rows.join(F.broadcast(table) if count <= BROADCAST_ROWS else table, on, how)
@@ -59,22 +69,25 @@ ARROW = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "double":
 
 
 def map_values(rows: DataFrame, column: str, prepare: Callable[[], Callable[[list], list[tuple]]],
-               added: str) -> DataFrame:
-    """Replace ``column`` by the ``added`` columns that a Python function gives for its values.
+               added: str, keep_column: bool = False) -> DataFrame:
+    """Add to the rows the ``added`` columns that a Python function gives for the values of ``column``.
+
+    The column itself goes unless ``keep_column``; a kept text is handed over as UTF-8 bytes.
 
     ``prepare`` runs once per task and returns a function from a batch of values to one tuple for each.
     All other columns pass through as Arrow data, so NULL and large ids stay what they are.
     """
     fields = [tuple(c.split()) for c in added.split(", ")]
-    keep = [c for c in rows.columns if c != column]
+    keep = [c for c in rows.columns if keep_column or c != column]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = prepare()
         for batch in batches:
-            out = compute(batch.column(column).to_pylist())
+            values = batch.column(column)
+            out = compute((values.cast(pa.binary()) if keep_column else values).to_pylist())
             made = [pa.array([r[i] for r in out], ARROW[kind]) for i, (_, kind) in enumerate(fields)]
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), *made],
                                              [*keep, *(name for name, _ in fields)])
 
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != column]
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in keep]
     return rows.mapInArrow(run, ", ".join([*kept, added]))
