@@ -2,9 +2,12 @@
 
 A document is kept unless a plain rule fails (too few words, too many words inside repeated
 three-word windows) or its zstandard ratio lies outside the band for its length, or more than
-``CHUNK_SHARE`` of its full 4 KiB chunks lie outside the chunk band. High ratios mean repetition,
+``CHUNK_SHARE`` of its 4 KiB chunks lie outside the chunk band. High ratios mean repetition,
 low ones encoded or random bytes. Short texts compress less, hence limits by length.
 
+What follows the last full chunk counts as one more chunk. It is out if the final 4 KiB lie outside the chunk band or if it
+is longer than ``TAIL_BYTES`` and lies outside the band of a text of its length. Texts below 4 KiB have the whole ratio only.
+
 Defined cases: NULL and empty texts have no words, ratio 0 and fail the plain rules; rows are judged one
 by one, so ties, repeated rows and empty tables need no rule; other columns pass through unread.
 """
@@ -24,6 +27,7 @@ BANDS = ((300, 1.0, 1.9), (600, 1.12, 2.05), (1200, 1.2, 2.2), (2500, 1.3, 2.32)
 CHUNK_BYTES = 4096
 CHUNK_BAND = (1.4, 2.75)
 CHUNK_SHARE = 0.25
+TAIL_BYTES = 1200
 LEVEL = 3
 SYMBOLS = b"#*$%&|<>"
 SPACE = b" \t\n\x0b\x0c\r"
@@ -49,6 +53,11 @@ def repeated_words(words: list[bytes]) -> int:
     return int(covered.sum())
 
 
+def band(size: int) -> tuple[float, float]:
+    """Lowest and highest ratio of a text of so many bytes."""
+    return next((low, high) for top, low, high in BANDS if size <= top)
+
+
 def judge(raw: bytes | None, pack: zstandard.ZstdCompressor) -> tuple:
     """The columns of ``COLUMNS`` for one UTF-8 text."""
     raw = raw or b""
@@ -62,12 +71,18 @@ def judge(raw: bytes | None, pack: zstandard.ZstdCompressor) -> tuple:
     repeat = repeated_words(words)
     failed = len(words) < 50 or 100 * repeat > 50 * len(words)
     ratio = len(raw) / len(pack.compress(raw)) if raw else 0.0
-    low, high = next((lo, hi) for top, lo, hi in BANDS if len(raw) <= top)
+    low, high = band(len(raw))
     chunks = len(raw) // CHUNK_BYTES
     out = 0
     for k in range(chunks):
         r = CHUNK_BYTES / len(pack.compress(raw[k * CHUNK_BYTES:(k + 1) * CHUNK_BYTES]))
         out += not CHUNK_BAND[0] <= r <= CHUNK_BAND[1]
+    tail = raw[chunks * CHUNK_BYTES:]
+    if chunks and tail:
+        least, most = band(len(tail))
+        chunks += 1
+        out += not (CHUNK_BAND[0] <= CHUNK_BYTES / len(pack.compress(raw[-CHUNK_BYTES:])) <= CHUNK_BAND[1]
+                    and (len(tail) <= TAIL_BYTES or least <= len(tail) / len(pack.compress(tail)) <= most))
     kept = not failed and low <= ratio <= high and out <= CHUNK_SHARE * chunks
     return (len(words), len(raw.translate(None, SPACE + INNER_BYTES)),
             len(raw) - len(raw.translate(None, SYMBOLS)), dup_lines, repeat, failed, ratio, chunks, out, kept)

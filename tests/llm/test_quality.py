@@ -46,6 +46,21 @@ def test_bands_reject_repetition_and_noise(make):
     assert rows[2].ratio < 1.5 and rows[2].n_chunks_out == rows[2].n_chunks
 
 
+def test_encoded_tail_behind_the_last_full_chunk_is_judged(make):
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choice("etaoinshrdlucmfwypvbgk") for _ in range(rng.randint(2, 9))) for _ in range(700)]
+    prose = " ".join(rng.choice(vocabulary) for _ in range(2000))
+    noise = " ".join("".join(rng.choice(string.ascii_letters + string.digits + "+/") for _ in range(60)) for _ in range(80))
+    tails = (1300, 2000, 3000, 3900, 4095)
+    rows = [(k, prose[:4096] + noise[:k]) for k in tails] + [(-k, prose[:4096 + k]) for k in (0, 1, 300, *tails)]
+    got = {r.doc_id: r for r in Q.compression_bands(make(rows)).collect()}
+    for k in tails:
+        assert (got[k].n_chunks, got[k].n_chunks_out, got[k].kept) == (2, 1, False)
+    for k in (1, 300, *tails):
+        assert (got[-k].n_chunks, got[-k].n_chunks_out, got[-k].kept) == (2, 0, True)
+    assert (got[0].n_chunks, got[0].kept) == (1, True)
+
+
 def test_labelled_clean_documents_stay(spark):
     sf = "/root/testdata/sf0.01"
     good = {r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").filter("quality = 1").collect()}
