@@ -7,6 +7,7 @@ it has not seen. Ranking needs whole targets and stays a batch query.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,17 +111,62 @@ def live_counts(rows: DataFrame, out: str, checkpoint: str,
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def gate_blocks(rows: DataFrame, scores: Sequence[str], accepted: str, rejected: str,
-                checkpoint: str, minimum: float = 0.99) -> StreamingQuery:
-    """Accept arriving blocks that are well covered; the others go to a reject table.
+def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of a block table with the folder each lies in; none where the table is not there yet."""
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    try:
+        return spark.read.schema(schema).parquet(path).select(*schema.names, folder.alias("_folder"))
+    except Exception as error:  # noqa: BLE001
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return spark.createDataFrame([], schema).withColumn("_folder", F.lit(""))
+
+
+def _same(keys: Sequence[str], left: DataFrame, right: DataFrame):
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+
+
+def _drop_folders(spark: SparkSession, folders: DataFrame) -> None:
+    """Delete block folders; their names come from Spark's own file listing."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for row in folders.toLocalIterator():
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row[0]))
+        path.getFileSystem(conf).delete(path, True)
 
-    Blocks arrive whole; both tables replace a block that arrives again.
+
+def gate_blocks(rows: DataFrame, scores: Sequence[str], accepted: str, rejected: str,
+                checkpoint: str, minimum: float = 0.99,
+                keys: Sequence[str] = ("ligand", "pose")) -> StreamingQuery:
+    """Accept blocks that are well covered; the others go to a reject table.
+
+    A block may arrive in several batches: each batch is judged together with the rows of its blocks
+    that are stored on either side, and a block whose verdict changes moves as a whole. A row that
+    arrives again (same block and ``keys``) replaces the stored one, so a replayed batch gives the same
+    tables. A block left on both sides by a run that broke off between writing and deleting is read
+    from one side only; both have the same rows but for those of the replayed batch.
     """
+    block = ("target", "block")
+
     def split(batch: DataFrame, _: int) -> None:
-        rows_of = stage(batch, "gate")
-        good, bad = gated_blocks(rows_of, scores, minimum)
+        spark = batch.sparkSession
+        new = stage(batch, "gate")
+        touched = new.select(*block).distinct()
+        sides = {}
+        for path in (accepted, rejected):
+            old = _stored(spark, path, new.schema)
+            sides[path] = stage(old.join(touched, _same(block, old, touched), "left_semi"), "gate-old")
+        there = sides[accepted].select(*block).distinct()
+        late = sides[rejected].join(there, _same(block, sides[rejected], there), "left_anti")
+        old = sides[accepted].unionByName(late).drop("_folder")
+        sent = new.select(*block, *keys).distinct()
+        old = old.join(sent, _same((*block, *keys), old, sent), "left_anti")
+        good, bad = map(stage, gated_blocks(stage(new.unionByName(old), "gate-all"), scores, minimum))
         write_blocks(good, accepted)
         write_blocks(bad, rejected)
+        for path, moved in ((accepted, bad), (rejected, good)):
+            gone = moved.select(*block).distinct()
+            stale = sides[path].join(gone, _same(block, sides[path], gone), "left_semi")
+            _drop_folders(spark, stale.select("_folder").distinct())
 
     return (rows.writeStream.foreachBatch(split).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
