@@ -45,7 +45,7 @@ INSIDE_WORDS = frozenset("article content main post entry story body text prose"
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)",
                    re.S)
-ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)|(?=[\s/>]|\Z))", re.I)
+ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(\"[^\"]*+\"?|'[^']*+'?|[^\s>]++))?+")
 STATED = 50.0  # of a block whose elements say what it is, above all edges that a block can have
 NEIGHBOUR, SIBLING = 0.4, 0.8
 SAMPLE_PAGES = 1000
@@ -64,11 +64,16 @@ class Block:
 def _states(name: str, attributes: str, outer: int) -> tuple[int, bool]:
     """What an element says of its text: 1 content, -1 boilerplate, 0 nothing; and whether it is hidden."""
     words, hidden = set(), False
+    seen: set[str] = set()
     for key, value in ATTRIBUTE.findall(attributes) if attributes.strip() else ():
-        key, value = key.lower(), html.unescape(value.strip("\"'")).lower()
+        key = key.lower()
+        if key in seen:
+            continue  # the first of a name counts
+        seen.add(key)
+        value = html.unescape(value.strip("\"'")).lower()
         if key in ("class", "id", "role"):
             words.update(re.split(r"[^a-z0-9]+", value))
-        else:
+        elif key in ("hidden", "aria-hidden", "style"):
             hidden |= key == "hidden" or (key == "aria-hidden" and value == "true") or (
                 key == "style" and "display:none" in value.replace(" ", ""))
     if outer < 0 or name in OUTSIDE or (name == "header" and outer <= 0) or words & OUTSIDE_WORDS - INSIDE_WORDS:

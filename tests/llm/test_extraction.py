@@ -49,6 +49,19 @@ def test_odd_pages(page, text):
     assert X.main_text(page, WEIGHTS) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    ('<article><p title="hidden gems of Rome">a</p></article>', "a"), ("<article><p data-hidden='false'>a</p>", "a"),
+    ('<article><p>a <b title="so hidden">b</b></p>', "a b"), ('<article><p data-id="comments">a</p>', "a"),
+    ('<article><a href="/x?id=search&p=1"><h2>a</h2></a>', "a"), ("<article><a href=/x?id=search&p=1><h2>a</h2></a>", "a"),
+    ('<article><p alt="class=comment" data-style="display:none">a</p>', "a"), ("<article><p 'hidden'>a</p>", "a"),
+    ('<article><p class=x class="comment">a</p>', "a"), ('<article><p x="1"hidden>no</p><p>a</p>', "a"),
+    ('<article><p ID = comments>no</p><p>a</p>', "a"), ('<article><p HIDDEN/>no</p><p>a</p>', "a"),
+    ('<article><p class="a\ncomment">no</p><p style="color:red; DISPLAY : none">no</p><p aria-hidden=true>no</p><p>a</p>', "a"),
+])
+def test_attributes_count_by_whole_name(page, text):
+    assert X.main_text(page, WEIGHTS) == text
+
+
 def test_many_blocks():
     page = "<article>" + "".join(f"<p>para {k}.</p>" for k in range(5000)) + "</article><footer>f</footer>"
     assert X.main_text(page, WEIGHTS).count("\n") == 4999
