@@ -5,7 +5,9 @@ block the cost of either label: the capacities to the two terminals. Smoothness
 strongly under the same parent element. The minimum cut (maximum flow) separates content from boilerplate.
 
 Training labels are those of blocks whose elements say what they are (``article``, ``nav``, class names such as ``comment``);
-the classifier sees text features alone. When a page is labelled, the elements' own statement outweighs any smoothing.
+the classifier sees text features alone. When a page is labelled, what elements and class words say is added to the capacities
+as evidence of the size of the classifier's and the edges' costs, so that the cut decides: text and neighbours can outweigh a statement.
+An ``article`` or ``main`` outweighs the class words of elements around it, such as ``has-sidebar``.
 
 Defined cases: NULL or empty html gives an empty text; cut-off pages keep the text before a broken tag; pages are
 judged one by one, so ties, repeated rows and empty tables need no rule; other columns are not read.
@@ -46,7 +48,8 @@ INSIDE_WORDS = frozenset("article content main post entry story body text prose"
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)",
                    re.S)
 ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(\"[^\"]*+\"?|'[^']*+'?|[^\s>]++))?+")
-STATED = 50.0  # of a block whose elements say what it is, above all edges that a block can have
+SCORE = 4.0  # largest cost by the classifier
+TAG, WORDS = 4.0, 3.0  # evidence of an element's name and of its class words
 NEIGHBOUR, SIBLING = 0.4, 0.8
 SAMPLE_PAGES = 1000
 N_FEATURES = 8
@@ -55,14 +58,14 @@ N_FEATURES = 8
 class Block:
     __slots__ = ("parent", "linked", "stated", "heading", "parts", "text")
 
-    def __init__(self, parent: int, stated: int, heading: bool) -> None:
+    def __init__(self, parent: int, stated: float, heading: bool) -> None:
         self.parent, self.stated, self.heading = parent, stated, heading
         self.parts: list[str] = []
         self.linked, self.text = 0, ""
 
 
-def _states(name: str, attributes: str, outer: int) -> tuple[int, bool]:
-    """What an element says of its text: 1 content, -1 boilerplate, 0 nothing; and whether it is hidden."""
+def _states(name: str, attributes: str, outer: float) -> tuple[float, bool]:
+    """Evidence on an element's text, above 0 for content, below for boilerplate; and whether it is hidden."""
     words, hidden = set(), False
     seen: set[str] = set()
     for key, value in ATTRIBUTE.findall(attributes) if attributes.strip() else ():
@@ -76,11 +79,15 @@ def _states(name: str, attributes: str, outer: int) -> tuple[int, bool]:
         elif key in ("hidden", "aria-hidden", "style"):
             hidden |= key == "hidden" or (key == "aria-hidden" and value == "true") or (
                 key == "style" and "display:none" in value.replace(" ", ""))
-    if outer < 0 or name in OUTSIDE or (name == "header" and outer <= 0) or words & OUTSIDE_WORDS - INSIDE_WORDS:
-        if not (name in ("html", "body", "article", "main") and outer >= 0):
-            return -1, hidden
-    if name in INSIDE or (outer == 0 and name not in ("html", "body") and words & INSIDE_WORDS):
-        return 1, hidden
+    page = name in ("html", "body")
+    if name in OUTSIDE or (name == "header" and outer <= 0):
+        return -TAG, hidden
+    if words & OUTSIDE_WORDS and not (outer >= 0 and (page or name in INSIDE)):
+        return min(outer, -WORDS), hidden
+    if name in INSIDE:
+        return min(TAG, outer + TAG), hidden
+    if words & INSIDE_WORDS and not page and outer > -TAG:
+        return max(outer, min(WORDS, outer + WORDS)), hidden
     return outer, hidden
 
 
@@ -88,7 +95,7 @@ def blocks_of(page: str | None) -> list[Block]:
     """The blocks of one page in page order, with decoded and trimmed text."""
     page = page or ""
     found: list[Block] = []
-    stack = [("", 0, False, 0)]  # element, statement, unseen, number
+    stack = [("", 0.0, False, 0)]  # element, statement, unseen, number
     number, at, size = 0, 0, len(page)
     current: Block | None = None
     links = 0
@@ -206,24 +213,39 @@ def minimum_cut(cost: list[float], edges: list[tuple[int, int, float]]) -> list[
         a, b = (source, k) if cost[k] > 0 else (k, sink)
         room[a][b] = abs(cost[k])
         room[b].setdefault(a, 0.0)
-    while True:  # shortest augmenting paths
-        came, queue = {source: source}, deque([source])
-        while queue and sink not in came:
-            k = queue.popleft()
-            for j, w in room[k].items():
-                if w > 1e-9 and j not in came:
-                    came[j] = k
-                    queue.append(j)
+    while True:  # blocking flows on the layers of shortest paths
+        came, layer = {source: 0}, [source]
+        while layer and sink not in came:
+            below = []
+            for k in layer:
+                for j, w in room[k].items():
+                    if w > 1e-9 and j not in came:
+                        came[j] = came[k] + 1
+                        below.append(j)
+            layer = below
         if sink not in came:
             break
-        path, k = [], sink
-        while k != source:
-            path.append((came[k], k))
-            k = came[k]
-        flow = min(room[a][b] for a, b in path)
-        for a, b in path:
-            room[a][b] -= flow
-            room[b][a] = room[b].get(a, 0.0) + flow
+        onward = {k: [j for j in room[k] if came.get(j) == d + 1] for k, d in came.items()}
+        path = [source]
+        while path:
+            k = path[-1]
+            if k == sink:
+                steps = list(zip(path, path[1:]))
+                flow = min(room[a][b] for a, b in steps)
+                for a, b in steps:
+                    room[a][b] -= flow
+                    room[b][a] = room[b].get(a, 0.0) + flow
+                full = next(i for i, (a, b) in enumerate(steps) if room[a][b] <= 1e-9)
+                del path[full + 1:]
+                continue
+            while onward[k] and room[k][onward[k][-1]] <= 1e-9:
+                onward[k].pop()
+            if onward[k]:
+                path.append(onward[k][-1])
+            else:
+                path.pop()
+                if path:
+                    onward[path[-1]].pop()
     for k in rest:
         label[k] = k in came
     return label
@@ -233,8 +255,8 @@ def main_text(page: str | None, weights: np.ndarray) -> str:
     blocks = blocks_of(page)
     if not blocks:
         return ""
-    score = np.clip(features(blocks) @ weights, -4, 4)
-    cost = [float(s) + STATED * b.stated for s, b in zip(score, blocks)]
+    score = np.clip(features(blocks) @ weights, -SCORE, SCORE)
+    cost = [float(s) + b.stated for s, b in zip(score, blocks)]
     edges, last = [], {}
     for k, b in enumerate(blocks):
         if k:

@@ -62,6 +62,47 @@ def test_attributes_count_by_whole_name(page, text):
     assert X.main_text(page, WEIGHTS) == text
 
 
+LEARNED = np.array([-6.3, 0.6, -6.4, 2.6, -13.2, 2.4, 11.3, 0.8])  # fitted on 1000 pages of sf0.1, rounded
+LONG = ["A first sentence of this text, which goes on for a while. It has a second one, too, as texts have.",
+        "Here is another part, with commas, and with words enough. It says what the first left out, and more."]
+
+
+@pytest.mark.parametrize("page,text", [
+    ('<div class="layout has-sidebar"><main><p>a</p></main><div class="sidebar"><p>no</p></div></div>', "a"),
+    ('<div class="layout has-sidebar"><div><article class="post"><h1>t</h1><p>a</p></article></div></div>', "t\na"),
+    ('<div id="comments"><article class="comment"><p>no</p></article></div>', ""),
+    ('<main><div class="ad"><p>no</p></div><p>a</p></main>', "a"), ("<nav><div class=text>no</div></nav>", ""),
+])
+def test_elements_outweigh_outer_class_words(page, text):
+    assert X.main_text(page, WEIGHTS) == text
+
+
+def test_page_without_stated_elements():
+    links = "".join(f"<div><a href=/{k}>Link {k}</a></div>" for k in range(6))
+    page = f"<body>{links}<section>{''.join(f'<p>{t}</p>' for t in LONG)}<p>So it is.</p><p>{LONG[0]}</p></section>{links}"
+    assert not any(b.stated for b in X.blocks_of(page))
+    assert X.main_text(page, LEARNED).split("\n") == [*LONG, "So it is.", LONG[0]]
+
+
+def test_cut_outweighs_a_statement():
+    page = f"<article><p>{LONG[0]}</p></article><div class=share>{LONG[1]}</div><article><p>{LONG[0]}</p></article>"
+    assert X.main_text(page, LEARNED).split("\n") == [LONG[0], LONG[1], LONG[0]]
+    assert X.main_text(page, WEIGHTS).split("\n") == [LONG[0], LONG[0]]
+    links = "".join(f"<p><a href=/{k}>Link {k}</a></p>" for k in range(6))
+    assert X.main_text(f"<div class=content>{links}</div>", LEARNED) == ""
+
+
+def test_many_undecided_blocks():
+    rng = random.Random(3)
+    cost = [rng.uniform(-1, 1) for _ in range(5000)]
+    edges = [(k, k + 1, X.NEIGHBOUR + X.SIBLING) for k in range(4999)]
+    label = X.minimum_cut(cost, edges)
+    low = [max(-cost[0], 0), max(cost[0], 0)]  # kept, dropped: least energy along the chain, by label of its last block
+    for c in cost[1:]:
+        low = [min(low[s], low[1 - s] + 1.2) + max(c if s else -c, 0) for s in (0, 1)]
+    assert energy(cost, edges, label) == pytest.approx(min(low))
+
+
 def test_many_blocks():
     page = "<article>" + "".join(f"<p>para {k}.</p>" for k in range(5000)) + "</article><footer>f</footer>"
     assert X.main_text(page, WEIGHTS).count("\n") == 4999
