@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 from screenmeld.catalog import KEYS, columns_of
 from screenmeld.functions.names import COLUMN_ALIASES, match_header
 from screenmeld.functions.numbers import number_or_null, success_flag
-from screenmeld.sources.text import plain_path
+from screenmeld.sources.text import lines, plain_path
 
 SEPARATORS = (",", ";", "\t", "|")
 
@@ -63,12 +64,48 @@ def sniff_separator(line: str) -> str:
     return max(SEPARATORS, key=lambda s: (line.count(s), -SEPARATORS.index(s)))
 
 
+def _header(line: str, sep: str) -> list[str]:
+    """Column names of a header line; empty and repeated ones get their place, as Spark's CSV reader does it."""
+    names = next(csv.reader([line], delimiter=sep), [])
+    low = [n.lower() for n in names]
+    return [f"_c{i}" if not n else n if low.count(n.lower()) == 1 else f"{n}{i}" for i, n in enumerate(names)]
+
+
 def sniffed_csv(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str, str | None]]:
-    """A table with a guessed separator and its logical columns; reads one header line."""
-    head = spark.read.text(path).first()
-    sep = sniff_separator(head[0] if head else "")
-    df = spark.read.option("header", True).option("sep", sep).csv(path)
-    return df, {k: match_header(df.columns, k) for k in COLUMN_ALIASES}
+    """A table with guessed separators and its logical columns; each file is read by its own header line.
+
+    Only the distinct header lines come to the driver. A logical column has the name it has in the first
+    layout, in the order of paths, that knows it.
+    """
+    data = lines(spark, path).filter(F.btrim("value") != "")
+    heads = data.groupBy("path").agg(
+        F.min_by(F.struct("block", "seq", "value"), F.struct("block", "seq")).alias("h"))
+    layouts = [r["head"] for r in heads.groupBy(F.col("h.value").alias("head")).agg(F.min("path").alias("p"))
+               .orderBy("p").collect()]
+    columns: dict[str, None] = {}
+    known: dict[str, str] = {}
+    table = []
+    for head in layouts:
+        sep = sniff_separator(head)
+        names = _header(head, sep)
+        for k in COLUMN_ALIASES:
+            found = match_header(names, k)
+            if found and known.setdefault(k, found) not in names:
+                names[names.index(found)] = known[k]
+        columns |= dict.fromkeys(names)
+        table.append((head, sep, names))
+    width = max((len(t[2]) for t in table), default=0)
+    if not width:
+        return spark.read.csv(path, header=True), dict.fromkeys(COLUMN_ALIASES)
+    small = spark.createDataFrame(table, "head string, sep string, names array<string>")
+    body = data.join(heads, "path").filter(
+        (F.col("block") != F.col("h.block")) | (F.col("seq") != F.col("h.seq")))
+    body = body.select("value", F.col("h.value").alias("head")).join(F.broadcast(small), "head")
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    cells = F.coalesce(*[F.when(F.col("sep") == s, F.from_csv("value", schema, {"sep": s})) for s in SEPARATORS])
+    cut = body.select("names", cells.alias("r")).select("names", F.array(*[f"r.c{i}" for i in range(width)]).alias("v"))
+    df = cut.select(*[F.get("v", F.array_position("names", F.lit(n)).cast("int") - 1).alias(n) for n in columns])
+    return df, {k: known.get(k) for k in COLUMN_ALIASES}
 
 
 def resolve_columns(df: DataFrame) -> DataFrame:

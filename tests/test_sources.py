@@ -306,3 +306,21 @@ def test_weight_texts_of_any_precision(spark):
     from screenmeld.catalog import decode_weights
     df = spark.createDataFrame([("A=0.125/B=12.00/C=0.3333",)], "w string")
     assert df.select(decode_weights(F.col("w")).alias("m")).first().m == {"A": 0.125, "B": 12.0, "C": 0.3333}
+
+
+def test_sniffed_files_have_their_own_layouts(spark, tmp_path):
+    from screenmeld.sources import tables as T
+    top = tmp_path / "top"
+    top.mkdir()
+    (top / "a.csv").write_text('Rank;Ligand;ECR_Score\n1;"x;1";0.5\n\n2;y;\n')
+    (top / "b.csv").write_text('ECR_Score,extra,Rank,Ligand\n0.25,"q,r",3,z\n')
+    (top / "c.csv").write_text("Ligand\tRank\nRank\t4\n")
+    df, cols = T.sniffed_csv(spark, str(top))
+    assert df.columns == ["Rank", "Ligand", "ECR_Score", "extra"]
+    assert sorted(tuple(r) for r in df.collect()) == [
+        ("1", "x;1", "0.5", None), ("2", "y", None, None), ("3", "z", "0.25", "q,r"), ("4", "Rank", None, None)]
+    assert (cols["rank"], cols["name"], cols["ecr"], cols["vina"]) == ("Rank", "Ligand", "ECR_Score", None)
+    assert sorted(r["ecr"] or "" for r in T.resolve_columns(df).collect()) == ["", "", "0.25", "0.5"]
+    (top / "d.csv").write_text("Molecule,rank\nw,5\n")
+    rows = T.resolve_columns(T.sniffed_csv(spark, str(top))[0]).collect()
+    assert {(r["name"], r["rank"]) for r in rows} >= {("w", "5"), ("z", "3")}
