@@ -12,7 +12,7 @@ from screenmeld.plans.fixtures import POSES, SCORES, poses
 from screenmeld.plans.ranking import rounded
 from screenmeld.plans.registry import query
 
-GRID = parameter_grid(SCORES, sigmas=(2, 4, 8), step=0.2)
+GRID = parameter_grid(SCORES)
 DEFAULT_GID = next(p.gid for p in GRID if p.kind == "equal" and p.sigma == 4)
 LABELS = [score(s).label for s in SCORES]
 

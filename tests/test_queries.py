@@ -41,3 +41,10 @@ def test_entry(spark):
 
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_queries_do_the_full_size():
+    from screenmeld.plans import resampling, validation
+    points = [p for p in validation.GRID if p.kind == "grid"]
+    assert resampling.REPLICATES == 1000
+    assert len(points) == 792 and len(validation.GRID) == 792 + 12
