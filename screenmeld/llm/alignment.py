@@ -4,7 +4,7 @@ A document is encoded twice: a space and its text by the byte-level vocabulary (
 space. Byte offsets where a token of A and a token of B both end cut the two token lists into groups. They are found by divide and
 conquer: from the middle of an interval outwards, ends of A are looked up among the ends of B by bisection; the common end that is met
 first splits the interval, and both halves go on. Intervals without one, and those with a single token on a side, are leaf groups. All
-open intervals of a few megabytes of text take each step together.
+open intervals of half a megabyte of text take each step together.
 
 Inside a group every token of A meets the tokens of B whose bytes overlap it: one link for each stretch between two neighbouring ends of
 either side. A link's weight is how many links of the whole corpus join the same two ids.
@@ -37,7 +37,7 @@ from screenmeld.session import stage
 #: Most rows of the table of common pairs that is broadcast.
 COMMON = 1_000_000
 #: Bytes of text that are aligned together.
-TOGETHER = 4 << 20
+TOGETHER = 1 << 19
 SHIFT = 20  # a pair of ids is one number: A's id above, B's below
 _pairs: dict[str, Tokenizers] = {}
 
@@ -171,11 +171,14 @@ class Aligner:
         order = np.empty(len(a) + len(b), object)
         order[np.arange(len(a)) + start_b[group_a]] = self.texts_a[ids_a + last_a * len(self.size_a)]
         order[np.arange(len(b)) + end_a[group_b]] = self.texts_b[ids_b + last_b * len(self.size_b)]
-        # one link for each stretch between two ends of either side
-        ends = np.union1d(a, b)
-        pairs = ids_a[np.searchsorted(a, ends)] << SHIFT | ids_b[np.searchsorted(b, ends)]
+        # one link for each stretch between two ends of either side: ends of A, and those of B that A doesn't share
+        merged = np.argsort(np.concatenate([a, b[~last_b]]), kind="stable")
+        of_a = merged < len(a)
+        shared = np.concatenate([last_a, np.zeros(len(b) - len(cuts[0]), bool)])[merged]
+        at_a, of_b = np.cumsum(of_a) - of_a, ~of_a | shared
+        pairs = ids_a[at_a] << SHIFT | ids_b[np.cumsum(of_b) - of_b]
         groups = np.searchsorted(cuts[0], n_a - 1) + 1
-        links = np.searchsorted(ends, a[n_a - 1]) + 1
+        links = n_a + n_b - groups
         before = (0, 0, 0, 0)
         for now in zip(n_a, n_b, groups, links):
             text = b"".join(order[before[0] + before[1]:now[0] + now[1]].tolist())[:-1]
