@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,6 +60,29 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/screenmeld/{name}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Spark's own access to the folder of a path, whatever store it is in."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
+
+
+def fitting_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that fit a path or pattern, each with its store."""
+    files, where = _file_system(spark, pattern)
+    return [f.getPath().toString() for f in files.globStatus(where) or []]
+
+
+def path_exists(spark: SparkSession, pattern: str) -> bool:
+    return bool(fitting_paths(spark, pattern))
+
+
+def delete(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete folders; for the bounded lists of what a commit has replaced."""
+    for path in paths:
+        files, where = _file_system(spark, path)
+        files.delete(where, True)
+
+
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 

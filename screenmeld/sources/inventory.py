@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from screenmeld.functions.names import basename, parent, stem
-from screenmeld.sources.text import empty_files
+from screenmeld.session import path_exists
+from screenmeld.sources.listing import list_files
 
 # How much of a pose file decides its verdict.
 HEAD_BYTES = 4096
@@ -22,33 +23,14 @@ def inventory(spark: SparkSession, root: str, pattern: str = "*.pdbqt",
     A missing ``subdir`` falls back to the root. File contents are not read.
     """
     base = f"{root}/{subdir}" if subdir else root
-    reader = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-              .option("pathGlobFilter", pattern))
-    try:
-        files = reader.load(base)
-    except Exception:  # noqa: BLE001 - a missing folder is an analysis error of several kinds
-        if not subdir:
-            raise
-        files = reader.load(root)
-    return _listed(files)
-
-
-def _listed(files: DataFrame) -> DataFrame:
-    """Size and time of scanned files, with zero-length ones (time unknown)."""
-    seen = files.select("path", "length", F.col("modificationTime").alias("modified"))
-    return seen.unionByName(empty_files(files).select(
-        "path", F.lit(0).cast("long").alias("length"),
-        F.lit(None).cast("timestamp").alias("modified")))
+    return list_files(spark, base if not subdir or path_exists(spark, base) else root, pattern)
 
 
 def recent_files(spark: SparkSession, root: str, hours: float,
                  pattern: str = "*_docked.pdbqt") -> DataFrame:
-    """Files written in the last ``hours``; older ones are skipped while listing."""
+    """Files written in the last ``hours``."""
     since = datetime.now(timezone.utc) - timedelta(hours=hours)
-    return _listed(spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                   .option("pathGlobFilter", pattern)
-                   .option("modifiedAfter", since.strftime("%Y-%m-%dT%H:%M:%S"))
-                   .option("timeZone", "UTC").load(root))
+    return list_files(spark, root, pattern).filter(F.col("modified") >= F.lit(since))
 
 
 def with_names(files: DataFrame) -> DataFrame:
@@ -79,8 +61,8 @@ def pose_verdicts(spark: SparkSession, root: str) -> DataFrame:
              .option("pathGlobFilter", "*_docked.pdbqt").load(root))
     path = F.col("path")
     judged = files.select("path", pose_verdict(F.col("content"), F.col("length")).alias("verdict"))
-    rows = judged.unionByName(empty_files(files).select(
-        "path", F.lit("empty").alias("verdict")))
+    empty = list_files(spark, root, "*_docked.pdbqt").filter("length = 0")
+    rows = judged.unionByName(empty.select("path", F.lit("empty").alias("verdict")))
     return rows.select("path", parent(path).alias("target"), basename(path).alias("file"), "verdict")
 
 

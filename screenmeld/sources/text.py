@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from screenmeld.sources.listing import list_files
+
 
 def plain_path(uri: Column) -> Column:
     """Path as written on disk from the encoded URI that file scans report."""
@@ -12,22 +14,13 @@ def plain_path(uri: Column) -> Column:
     return F.regexp_replace(decoded, "^file:/+", "file:/")
 
 
-def empty_files(source: DataFrame) -> DataFrame:
-    """Paths of the zero-length files of a file scan, which Spark itself leaves out.
-
-    The file index of the scan, which the driver holds anyway, still lists them.
-    """
-    spark = source.sparkSession
-    listed = spark.createDataFrame([(p,) for p in source.inputFiles()], "path string")
-    seen = source.select(plain_path(F.col("_metadata.file_path")).alias("path"))
-    return listed.select(plain_path(F.col("path")).alias("path")).join(seen, "path", "left_anti")
-
-
 def whole_files(spark: SparkSession, path: str, **options) -> DataFrame:
     """(path, value): one row per file, empty ones too, for inputs that are small each."""
     source = spark.read.options(**options).text(path, wholetext=True)
     rows = source.select(plain_path(F.col("_metadata.file_path")).alias("path"), "value")
-    return rows.unionByName(empty_files(source).withColumn("value", F.lit("")))
+    files = list_files(spark, path, options.get("pathGlobFilter", "*"),
+                       str(options.get("recursiveFileLookup", "false")).lower() == "true")
+    return rows.unionByName(files.filter("length = 0").select("path", F.lit("").alias("value")))
 
 
 def lines(spark: SparkSession, path: str, **options) -> DataFrame:

@@ -6,24 +6,25 @@ it has not seen. Ranking needs whole targets and stays a batch query.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql import types as T
 
+from screenmeld.catalog import score
 from screenmeld.functions.names import parent, stem
-from screenmeld.operators.reconcile import gated_blocks, last_wins
-from screenmeld.session import stage
-from screenmeld.sinks import write_blocks
 from screenmeld.sources.poses import ENERGY, heavy_atoms, pose_bodies
 from screenmeld.sources.text import plain_path
+from screenmeld.streaming import versions
+
+POSE_FILES = ("target string, ligand string, path string, modified timestamp, "
+              "poses array<struct<pose: int, score_vina: double, coords: array<struct<x: double, y: double, z: double>>>>")
 
 
 def pose_file_stream(spark: SparkSession, root: str, per_trigger: int | None = None) -> DataFrame:
-    """Arriving pose files as (target, ligand, path, value)."""
+    """Arriving pose files as (target, ligand, path, modified, value)."""
     reader = spark.readStream.option("pathGlobFilter", "*_docked.pdbqt").option(
         "recursiveFileLookup", "true")
     if per_trigger:
@@ -32,19 +33,35 @@ def pose_file_stream(spark: SparkSession, root: str, per_trigger: int | None = N
     path = plain_path(F.col("_metadata.file_path"))
     return files.select(parent(path).alias("target"),
                         F.regexp_replace(stem(path), "_docked$", "").alias("ligand"),
-                        path.alias("path"), "value")
+                        path.alias("path"), F.col("_metadata.file_modification_time").alias("modified"), "value")
 
 
 def ingest_poses(files: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Parse arriving pose files into a pose table by target."""
+    """Parse arriving pose files into a table with one row per ligand; see :func:`ingested_poses`.
+
+    The checkpoint knows which files were read, so a query that was stopped goes on with the others. Of
+    several files of a ligand, in whatever order they arrive, the one modified last counts (by path among equal times); a
+    file that is written again under its old path isn't read again.
+    """
     bodies = pose_bodies(files)
-    rows = bodies.select(
-        "target", "ligand", "pose",
-        F.nullif(F.regexp_extract("body", ENERGY, 1), F.lit("")).try_cast("double")
-        .alias("score_vina"), heavy_atoms(F.col("body")).alias("coords"))
-    return (rows.writeStream.format("parquet").option("path", out)
-            .option("checkpointLocation", checkpoint).partitionBy("target")
-            .trigger(availableNow=True).start())
+    pose = F.struct("pose", F.nullif(F.regexp_extract("body", ENERGY, 1), F.lit("")).try_cast("double").alias("score_vina"),
+                    heavy_atoms(F.col("body")).alias("coords"))
+    rows = bodies.select("target", "ligand", "path", "modified", pose.alias("p"))
+    by_file = lambda batch: batch.groupBy("target", "ligand", "path", "modified").agg(
+        F.sort_array(F.collect_list("p")).alias("poses"))
+    return (rows.writeStream.foreachBatch(lambda batch, n: versions.add(
+                by_file(batch), n, out, ("target", "ligand"), ("modified", "path", versions.BATCH)))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def pose_files_kept(spark: SparkSession, out: str) -> DataFrame:
+    """(target, ligand, path, modified, poses) of the files that count so far."""
+    return versions.read(spark, out, POSE_FILES, ("target", "ligand"), ("modified", "path", versions.BATCH))
+
+
+def ingested_poses(spark: SparkSession, out: str) -> DataFrame:
+    """(target, ligand, pose, score_vina, coords) of the files that count so far."""
+    return pose_files_kept(spark, out).select("target", "ligand", F.inline("poses"))
 
 
 def table_stream(spark: SparkSession, path: str, schema: T.StructType | str,
@@ -57,36 +74,18 @@ def table_stream(spark: SparkSession, path: str, schema: T.StructType | str,
 
 def upsert_stream(rows: DataFrame, out: str, checkpoint: str,
                   keys: Sequence[str] = ("target", "ligand"), order: Sequence[str] = ("generation",),
-                  parts: int = 16) -> StreamingQuery:
-    """Keep the last version of each key in a table.
+                  fanout: int = versions.FANOUT) -> StreamingQuery:
+    """Keep the last version of each key in a table of runs; see :mod:`versions` and :func:`upserted`.
 
-    The table is cut by target and a hash of the key, so a batch rewrites only
-    the parts it touches, also of a large target. The batch number is part of
-    the order: replaying a batch gives the same table.
+    The batch number comes before ``order``: a later batch wins, and replaying a batch gives the same table.
     """
-    cut = ("target", "part")
-
-    def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        new = batch.withColumn("batch", F.lit(number).cast("long")).withColumn(
-            "part", F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int"))
-        new = stage(last_wins(new, keys, ("batch", *order)), "upsert")
-        if new.isEmpty():
-            return
-        try:
-            old = spark.read.schema(new.schema).parquet(out)
-            touched = new.select(*cut).distinct()
-            both = new.unionByName(old.join(touched, list(cut), "left_semi"))
-        except Exception as error:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            both = new
-        merged = stage(last_wins(both, keys, ("batch", *order)), "upsert")
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*cut).parquet(out))
-
-    return (rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    return (rows.writeStream.foreachBatch(lambda batch, n: versions.add(batch, n, out, keys, (versions.BATCH, *order), fanout))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def upserted(spark: SparkSession, out: str, schema: T.StructType | str, keys: Sequence[str] = ("target", "ligand"),
+             order: Sequence[str] = ("generation",)) -> DataFrame:
+    return versions.read(spark, out, schema, keys, (versions.BATCH, *order))
 
 
 def first_names(rows: DataFrame, out: str, checkpoint: str,
@@ -111,62 +110,64 @@ def live_counts(rows: DataFrame, out: str, checkpoint: str,
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The rows of a block table with the folder each lies in; none where the table is not there yet."""
-    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
-    try:
-        return spark.read.schema(schema).parquet(path).select(*schema.names, folder.alias("_folder"))
-    except Exception as error:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return spark.createDataFrame([], schema).withColumn("_folder", F.lit(""))
+class BlockState(StatefulProcessor):
+    """The rows of one block so far, which come back whole with each verdict on it."""
+
+    def __init__(self, schema: T.StructType, gated: Sequence[str], minimum: float, keys: Sequence[str]) -> None:
+        self.schema, self.gated, self.minimum = schema, list(gated), minimum
+        self.at = [schema.names.index(k) for k in keys]
 
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.rows = handle.getListState("rows", self.schema)
 
-def _same(keys: Sequence[str], left: DataFrame, right: DataFrame):
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        kept = {tuple(r[k] for k in self.at): tuple(r) for r in self.rows.get()}
+        # of equal keys in one batch the last in this order stays, however the rows were dealt
+        for r in sorted(map(tuple, rows), key=lambda r: [(x is not None, str(x)) for x in r]):
+            kept[tuple(r[k] for k in self.at)] = r
+        self.rows.put(list(kept.values()))
+        filled = lambda c: sum(r[self.schema.names.index(c)] is not None for r in kept.values())
+        good = all(filled(c) / len(kept) >= self.minimum for c in self.gated)
+        named = Row(*self.schema.names, "accepted")
+        for r in kept.values():
+            yield named(*r, good)
 
+    def close(self) -> None:
+        pass
 
-def _drop_folders(spark: SparkSession, folders: DataFrame) -> None:
-    """Delete block folders; their names come from Spark's own file listing."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for row in folders.toLocalIterator():
-        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row[0]))
-        path.getFileSystem(conf).delete(path, True)
 
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
+BLOCK = ("target", "block")
 
-def gate_blocks(rows: DataFrame, scores: Sequence[str], accepted: str, rejected: str,
-                checkpoint: str, minimum: float = 0.99,
+
+def gate_blocks(rows: DataFrame, scores: Sequence[str], out: str, checkpoint: str, minimum: float = 0.99,
                 keys: Sequence[str] = ("ligand", "pose")) -> StreamingQuery:
-    """Accept blocks that are well covered; the others go to a reject table.
+    """Judge blocks as their rows arrive and keep all rows with ``accepted``; see :func:`gated`.
 
-    A block may arrive in several batches: each batch is judged together with the rows of its blocks
-    that are stored on either side, and a block whose verdict changes moves as a whole. A row that
-    arrives again (same block and ``keys``) replaces the stored one, so a replayed batch gives the same
-    tables. A block left on both sides by a run that broke off between writing and deleting is read
-    from one side only; both have the same rows but for those of the replayed batch.
+    A block may arrive in many batches. Its rows are state under (target, block), so a batch reads and
+    writes the blocks it brings and no others; a block fits one task, as it does when it is scored. Each time
+    all rows of a touched block go to the table together, and the commit of the batch there moves it from one side to
+    the other: a run that breaks off anywhere leaves each block whole on the side it had. A row that arrives again (same
+    block and ``keys``) replaces the earlier one; of several in one batch a fixed one stays.
     """
-    block = ("target", "block")
-
-    def split(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        new = stage(batch, "gate")
-        touched = new.select(*block).distinct()
-        sides = {}
-        for path in (accepted, rejected):
-            old = _stored(spark, path, new.schema)
-            sides[path] = stage(old.join(touched, _same(block, old, touched), "left_semi"), "gate-old")
-        there = sides[accepted].select(*block).distinct()
-        late = sides[rejected].join(there, _same(block, sides[rejected], there), "left_anti")
-        old = sides[accepted].unionByName(late).drop("_folder")
-        sent = new.select(*block, *keys).distinct()
-        old = old.join(sent, _same((*block, *keys), old, sent), "left_anti")
-        good, bad = map(stage, gated_blocks(stage(new.unionByName(old), "gate-all"), scores, minimum))
-        write_blocks(good, accepted)
-        write_blocks(bad, rejected)
-        for path, moved in ((accepted, bad), (rejected, good)):
-            gone = moved.select(*block).distinct()
-            stale = sides[path].join(gone, _same(block, sides[path], gone), "left_semi")
-            _drop_folders(spark, stale.select("_folder").distinct())
-
-    return (rows.writeStream.foreachBatch(split).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    schema = rows.schema
+    gated = [score(k).column for k in scores if score(k).gated]
+    judge = BlockState(schema, gated, minimum, [*BLOCK, *keys])
+    judged = rows.groupBy(*BLOCK).transformWithState(
+        judge, T.StructType([*schema.fields, T.StructField("accepted", T.BooleanType())]), "Update", "None")
+    conf = rows.sparkSession.conf
+    before = conf.get(STORE_KEY)
+    conf.set(STORE_KEY, ROCKS)  # the query takes it over when it starts
+    try:
+        return (judged.writeStream.outputMode("update")
+                .foreachBatch(lambda batch, n: versions.add(batch, n, out, (*BLOCK, *keys)))
+                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    finally:
+        conf.set(STORE_KEY, before)
+
+
+def gated(spark: SparkSession, out: str, schema: T.StructType | str, keys: Sequence[str] = ("ligand", "pose")) -> DataFrame:
+    """All rows so far with the verdict on their block in ``accepted``; ``schema`` is that of the arriving rows."""
+    plain = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return versions.read(spark, out, T.StructType([*plain.fields, T.StructField("accepted", T.BooleanType())]), (*BLOCK, *keys))

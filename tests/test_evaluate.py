@@ -161,7 +161,10 @@ def test_bootstrap_is_exact_and_repeatable(spark, long, rows):
     assert sorted(a.collect()) != sorted(other.collect())
 
 
-def test_bootstrap_metrics_against_expanded_rows(spark, long, rows):
+@pytest.mark.parametrize("size", [3, 40, 2048])
+def test_bootstrap_metrics_against_expanded_rows(spark, long, rows, size, monkeypatch):
+    monkeypatch.setattr(B, "RANGE_ROWS", size)  # equal keys lie in several ranges
+    monkeypatch.setattr(B, "BLOCK", max(size, 7))
     ligands = long.select("target", "ligand", "active")
     got = {r["replicate"]: r for r in B.bootstrap_metrics(long, ligands, 5).collect()}
     weights = B.bootstrap_weights(ligands, 5).collect()

@@ -218,34 +218,6 @@ def test_timeout_status(spark):
     assert (row["status"], row["error"]) == ("TIMEOUT", "too slow")
 
 
-def test_stream_pose_ingest_resumes(spark, tmp_path):
-    root = tmp_path / "in" / "t1"
-    root.mkdir(parents=True)
-    body = "MODEL 1\nREMARK VINA RESULT:  -7.0  0  0\nENDMDL\n"
-    run = lambda: I.ingest_poses(I.pose_file_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"),
-                                 str(tmp_path / "cp")).awaitTermination()
-    (root / "a_docked.pdbqt").write_text(body)
-    run()
-    time.sleep(1.1)
-    (root / "b_docked.pdbqt").write_text(body + body.replace("MODEL 1", "MODEL 2"))
-    run()
-    got = sorted((r["ligand"], r["pose"], r["score_vina"]) for r in spark.read.parquet(str(tmp_path / "out")).collect())
-    assert got == [("a", 1, -7.0), ("b", 1, -7.0), ("b", 2, -7.0)]
-
-
-def test_stream_upsert_over_two_batches(spark, tmp_path):
-    schema = "target string, ligand string, generation int, v int"
-    src = str(tmp_path / "src")
-    run = lambda: I.upsert_stream(I.table_stream(spark, src, schema), str(tmp_path / "out"),
-                                  str(tmp_path / "cp")).awaitTermination()
-    df(spark, schema, ("t", "a", 5, 1), ("t", "b", 1, 1)).coalesce(1).write.parquet(src)
-    run()
-    df(spark, schema, ("t", "a", 1, 2), ("t", "c", 1, 2)).coalesce(1).write.mode("append").parquet(src)
-    run()
-    got = {r["ligand"]: r["v"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
-    assert got == {"a": 2, "b": 1, "c": 2}  # the later batch wins
-
-
 def test_stream_names_across_runs(spark, tmp_path):
     src = str(tmp_path / "src")
     run = lambda: I.first_names(I.table_stream(spark, src, "name string"), str(tmp_path / "out"),
@@ -277,30 +249,3 @@ def test_benchmark_duplicate_and_validation_rows(spark):
     named = spark.createDataFrame([(0, "a", True), (1, "a", False)], "i int, name string, kept boolean")
     assert [r.value for r in sinks.duplicate_name_rows(named, "i", "name").collect()] == ["1\ta"]
     assert sinks.validation_csv_rows(named.limit(1)).first().kept == "true"
-
-
-def test_stream_gate_joins_the_parts_of_a_block(spark, tmp_path):
-    schema = "target string, ligand string, pose int, score_cnnaffinity double, block int"
-    src, checkpoint = str(tmp_path / "in"), str(tmp_path / "cp")
-    sides = [str(tmp_path / "yes"), str(tmp_path / "no")]
-
-    def arrive(*rows):
-        df(spark, schema, *rows).coalesce(1).write.mode("append").parquet(src)
-        I.gate_blocks(I.table_stream(spark, src, schema), ["cnnaffinity"], *sides, checkpoint, 0.6).awaitTermination()
-        read = lambda p: sorted(tuple(r) for r in (
-            spark.read.schema(schema).parquet(p).select("block", "ligand", "score_cnnaffinity").collect()))
-        return [read(p) for p in sides]
-
-    assert arrive(("t x", "a", 1, -1.0, 0), ("t x", "b", 1, None, 1)) == [[(0, "a", -1.0)], [(1, "b", None)]]
-    assert arrive(("t x", "c", 1, None, 0), ("t x", "d", 1, -2.0, 1)) == [
-        [], [(0, "a", -1.0), (0, "c", None), (1, "b", None), (1, "d", -2.0)]]
-    assert arrive(("t x", "b", 1, -3.0, 1), ("t x", "e", 1, -4.0, 2)) == [
-        [(1, "b", -3.0), (1, "d", -2.0), (2, "e", -4.0)], [(0, "a", -1.0), (0, "c", None)]]
-
-
-def test_stream_gate_query_reads_several_batches(spark, monkeypatch):
-    from screenmeld.plans import QUERIES
-    batches, write = [], I.write_blocks
-    monkeypatch.setattr(I, "write_blocks", lambda rows, path: (batches.append(path), write(rows, path)))
-    rows = QUERIES["stream_gated_blocks"](spark, "/root/testdata/sf0.001").collect()
-    assert len(batches) >= 6 and sum(r.poses for r in rows) == 6000 and len({(r.target, r.block) for r in rows}) == len(rows)
