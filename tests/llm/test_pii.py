@@ -1,6 +1,9 @@
 import hashlib
 import random
 import re
+import time
+
+from pyspark.sql import functions as F
 
 from screenmeld.llm import pii as P
 from screenmeld.llm.queries import QUERIES
@@ -31,10 +34,11 @@ def base(text):
     return [f"{P.KINDS[k]}:{a}:{b}" for a, k, b in sorted(found)]
 
 
-def check(rows, texts):
+def check(rows, texts, known=None):
     assert len(rows) == len(texts)
     for r in rows:
-        want = base(texts[r.doc_id])
+        want = (known or {}).get(r.doc_id)
+        want = base(texts[r.doc_id]) if want is None else want
         assert r.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest(), (texts[r.doc_id], want)
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(x.startswith(k) for x in want) for k in P.KINDS]
         spans = r.spans.split(",") if r.spans else []
@@ -59,7 +63,31 @@ def test_fuzzed_texts(spark):
 def test_long_runs_stay_linear(make):
     texts = {1: "a" * 300_000, 2: "1" * 300_000, 3: "1 " * 100_000, 4: "a@b." * 2000 + "c", 5: "1." * 100_000,
              6: "+1" * 50_000, 7: "x@y.z " * 1500}
-    check(P.personal_data(make(list(texts.items()))).collect(), texts)
+    # the plain patterns of ``base`` take minutes on some of these, whose spans are plain to see
+    known = {1: [], 2: [], 3: [], 5: [f"ip:{8 * k}:{8 * k + 7}" for k in range(25_000)], 6: []}
+    check(P.personal_data(make(list(texts.items()))).collect(), texts, known)
+
+
+def test_cost_follows_the_number_of_matches(make):
+    def seconds(n):
+        start = time.perf_counter()
+        row = P.personal_data(make([(1, "1." * n + " call 555-123-4567 or +49 30 1234567 " + "+1 555 123 4567 " * n)])).first()
+        assert row.n_ip == n // 4 and row.n_phone > 0
+        return time.perf_counter() - start
+    seconds(1000)
+    assert seconds(40_000) < 3 * seconds(20_000) + 5
+
+
+def test_overlaps_equal_a_comparison_of_all(spark):
+    rng = random.Random(2)
+    rows = []
+    for _ in range(300):
+        cuts = sorted(rng.sample(range(60), 2 * rng.randint(0, 8)))
+        a = rng.randint(0, 58)
+        rows.append((cuts[::2], cuts[1::2], a, a + rng.randint(1, 9)))
+    df = spark.createDataFrame(rows, "s array<int>, e array<int>, a int, b int")
+    got = [r[0] for r in df.select(P.overlaps(F.col("a"), F.col("b"), F.col("s"), F.col("e"))).collect()]
+    assert got == [any(s < b and a < e for s, e in zip(starts, ends)) for starts, ends, a, b in rows]
 
 
 def test_method_adds_spans_in_context(make):
