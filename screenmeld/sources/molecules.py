@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from screenmeld.functions.names import basename, mol_name
 from screenmeld.operators.ordering import Rows, rank_rows
+from screenmeld.sources.records import with_file
 from screenmeld.sources.text import lines
 
 # Header names of the structure and the name column.
@@ -93,7 +94,7 @@ def molecule_list(rows: DataFrame, smiles_col: str = "", name_col: str = "") ->
     data = rows.filter((F.btrim(F.col("value"), F.lit(" \t\r")) != "")
                        & ~F.ltrim(F.col("value"), F.lit(" \t")).startswith("#"))
     layout = list_layout(data, smiles_col, name_col)
-    joined = data.join(layout, "path").filter(
+    joined = with_file(data, layout).filter(
         ~(F.col("has_header") & (F.col("block") == F.col("first_block"))
           & (F.col("seq") == F.col("first_seq"))))
     parts = F.transform(_fields(F.col("value"), F.col("separator")),

@@ -12,9 +12,12 @@ from pyspark.sql import types as T
 from screenmeld.catalog import KEYS, columns_of
 from screenmeld.functions.names import COLUMN_ALIASES, match_header
 from screenmeld.functions.numbers import number_or_null, success_flag
+from screenmeld.sources.records import first_lines, join_records, with_file
 from screenmeld.sources.text import lines, plain_path
 
 SEPARATORS = (",", ";", "\t", "|")
+#: Different header lines of one table.
+MOST_LAYOUTS = 1000
 
 
 def with_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -44,9 +47,7 @@ def partial_scores(rows: DataFrame, scores: Iterable[str] = KEYS) -> DataFrame:
     first line.
     """
     data = rows.filter(F.btrim("value") != "")
-    heads = data.groupBy("path").agg(
-        F.min_by(F.struct("block", "seq", "value"), F.struct("block", "seq")).alias("h"))
-    body = data.join(heads, "path").filter(
+    body = with_file(data, first_lines(data)).filter(
         (F.col("block") != F.col("h.block")) | (F.col("seq") != F.col("h.seq")))
     trim = lambda text: F.transform(F.split(text, ","), lambda f: F.btrim(f, F.lit(" \t\r")))
     names, values = trim(F.col("h.value")), trim(F.col("value"))
@@ -72,16 +73,22 @@ def _header(line: str, sep: str) -> list[str]:
 
 
 def sniffed_csv(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str, str | None]]:
+    """:func:`sniffed_lines` of the files under a path."""
+    return sniffed_lines(lines(spark, path))
+
+
+def sniffed_lines(rows: DataFrame) -> tuple[DataFrame, dict[str, str | None]]:
     """A table with guessed separators and its logical columns; each file is read by its own header line.
 
-    Only the distinct header lines come to the driver. A logical column has the name it has in the first
-    layout, in the order of paths, that knows it.
+    Quoted fields may hold line breaks. Blank lines between records are left out. Distinct header lines are the layouts;
+    they come to the driver, as their names become columns, and more than ``MOST_LAYOUTS`` are an error: the files have no headers
+    then. A logical column has the name it has in the first layout, in the order of paths, that knows it.
     """
-    data = lines(spark, path).filter(F.btrim("value") != "")
-    heads = data.groupBy("path").agg(
-        F.min_by(F.struct("block", "seq", "value"), F.struct("block", "seq")).alias("h"))
-    layouts = [r["head"] for r in heads.groupBy(F.col("h.value").alias("head")).agg(F.min("path").alias("p"))
-               .orderBy("p").collect()]
+    heads = first_lines(rows.filter(F.btrim("value") != ""))
+    counts = heads.groupBy(F.col("h.value").alias("head")).agg(F.min("path").alias("p")).orderBy("p", "head").limit(MOST_LAYOUTS + 1)
+    layouts = [r["head"] for r in counts.collect()]
+    if len(layouts) > MOST_LAYOUTS:
+        raise ValueError(f"over {MOST_LAYOUTS} different header lines")
     columns: dict[str, None] = {}
     known: dict[str, str] = {}
     table = []
@@ -96,14 +103,16 @@ def sniffed_csv(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str, st
         table.append((head, sep, names))
     width = max((len(t[2]) for t in table), default=0)
     if not width:
-        return spark.read.csv(path, header=True), dict.fromkeys(COLUMN_ALIASES)
-    small = spark.createDataFrame(table, "head string, sep string, names array<string>")
-    body = data.join(heads, "path").filter(
-        (F.col("block") != F.col("h.block")) | (F.col("seq") != F.col("h.seq")))
-    body = body.select("value", F.col("h.value").alias("head")).join(F.broadcast(small), "head")
+        return rows.select().limit(0), dict.fromkeys(COLUMN_ALIASES)
+    small = rows.sparkSession.createDataFrame(table, "head string, sep string, names array<string>")
+    files = heads.join(F.broadcast(small), F.col("h.value") == F.col("head")).select("path", "h", "sep", "names")  # MOST_LAYOUTS rows
+    body = with_file(rows, files).filter((F.col("block") > F.col("h.block")) | (
+        (F.col("block") == F.col("h.block")) & (F.col("seq") > F.col("h.seq"))))
+    records = join_records(body, "sep", SEPARATORS, ["sep", "names"]).filter(F.btrim("value") != "")
     schema = ", ".join(f"c{i} string" for i in range(width))
-    cells = F.coalesce(*[F.when(F.col("sep") == s, F.from_csv("value", schema, {"sep": s})) for s in SEPARATORS])
-    cut = body.select("names", cells.alias("r")).select("names", F.array(*[f"r.c{i}" for i in range(width)]).alias("v"))
+    options = lambda s: {"sep": s, "multiLine": "true", "escape": '"'}
+    cells = F.coalesce(*[F.when(F.col("sep") == s, F.from_csv("value", schema, options(s))) for s in SEPARATORS])
+    cut = records.select("names", cells.alias("r")).select("names", F.array(*[F.col(f"r.c{i}") for i in range(width)]).alias("v"))
     df = cut.select(*[F.get("v", F.array_position("names", F.lit(n)).cast("int") - 1).alias(n) for n in columns])
     return df, {k: known.get(k) for k in COLUMN_ALIASES}
 
