@@ -252,6 +252,26 @@ def with_ci(value: Column, lo: Column, hi: Column, digits: int = 4) -> Column:
     return F.when(value.isNull(), "N/A").when(lo.isNull(), text).otherwise(F.concat(text, band))
 
 
+def dataset_text(ligands: DataFrame) -> DataFrame:
+    """(target, text): ligands, actives, decoys, their ratio and the share of actives."""
+    part = ligands.groupBy("target").agg(F.count(F.lit(1)).alias("n"), F.sum("active").alias("a"), F.sum(1 - F.col("active")).alias("d"))
+    ratio = F.floor(F.col("d") / F.greatest(F.lit(1), F.col("a")))
+    return part.select("target", F.concat(
+        F.col("n").cast("string"), F.lit(" ligands, "), F.col("a").cast("string"), F.lit(" actives, "), F.col("d").cast("string"),
+        F.lit(" decoys, 1:"), ratio.cast("string"), F.lit(", "), fixed(F.col("a") * 100.0 / F.col("n"), 2), F.lit(" %")).alias("text"))
+
+
+def full_report(values: DataFrame, intervals: DataFrame, ligands: DataFrame, metrics: Sequence[str]) -> DataFrame:
+    """(target, score, section, text): each metric of each score with its interval, and the data set of each target (score ``''``)."""
+    entries = F.array(*[F.struct(F.lit(m).alias("section"), F.col(m).alias("value")) for m in metrics])
+    each = values.select("target", "score", F.inline(entries)).filter(F.col("value").isNotNull())
+    named = intervals.select("target", "score", F.col("metric").alias("section"), "lo", "hi")
+    rows = each.join(named, ["target", "score", "section"], "left").select(
+        "target", "score", "section", with_ci(F.col("value"), F.col("lo"), F.col("hi")).alias("text"))
+    return rows.unionByName(dataset_text(ligands).select(
+        "target", F.lit("").alias("score"), F.lit("dataset").alias("section"), "text"))
+
+
 def weighted_metrics(df: DataFrame, group: Sequence[str] = GROUP,
                      fractions: Sequence[float] = EF_FRACTIONS, rows: Rows = None,
                      bounded: bool = False, weight: str = "weight") -> DataFrame:

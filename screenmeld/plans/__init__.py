@@ -2,8 +2,10 @@
 
 from screenmeld.plans import (  # noqa: F401
     evaluation,
+    files,
     operations,
     ranking,
+    reports,
     resampling,
     streams,
     texts,
