@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from screenmeld.functions.names import is_receptor_file, mol_key, norm, pose_file_parts
 from screenmeld.functions.numbers import breakable, report_number
+from screenmeld.operators.ordering import Rows, fill_down, order_preserving_index
 
 BASE_FIELDS = ("rank", "ligand", "file", "ecr_score", "best_pose")
 
@@ -88,18 +89,21 @@ def pose_records(files: DataFrame, renames: DataFrame | None = None) -> DataFram
 
 
 def guess_ligands(rows: DataFrame, files: DataFrame, value: str = "value",
-                  keys: Sequence[str] = ("target",)) -> DataFrame:
+                  keys: Sequence[str] = ("target",), bound: Rows = None) -> DataFrame:
     """Ligand whose file name starts with the value, the first in order.
 
-    Prefixes are an equality on pieces of the name, so nothing is compared
-    pairwise; names are at most 60 characters long by construction.
+    Names that start with a text lie together in sorted order, and the first of them is the first name
+    that isn't smaller. Values and names are therefore sorted once and each value looks at the next name;
+    nothing is made per prefix, names may be of any length, and a target of any size is cut into ranges. Blank values match nothing.
     """
-    cuts = files.select(*keys, "ligand", F.explode(
-        F.transform(F.sequence(F.lit(1), F.length("ligand")),
-                    lambda n: F.substring(F.col("ligand"), F.lit(1), n))).alias("_prefix"))
-    first = cuts.groupBy(*keys, "_prefix").agg(F.min("ligand").alias("ligand"))
-    asked = rows.withColumn("_prefix", F.btrim(value))
-    return asked.join(first, [*keys, "_prefix"], "left").drop("_prefix")
+    asked = rows.withColumns({"_name": F.btrim(value), "_kind": F.lit(0), "_file": F.lit(None).cast("string")})
+    known = files.select(*keys, F.col("ligand").alias("_name"), F.lit(1).alias("_kind"), F.col("ligand").alias("_file"))
+    both = asked.unionByName(known, allowMissingColumns=True)
+    placed = order_preserving_index(both, list(keys), ["_name", "_kind"], "_at", bound)
+    # from the largest name down, the last file seen is the next one in order
+    seen = fill_down(placed.withColumn("_back", -F.col("_at")), list(keys), ["_back"], {"_next": F.col("_file")}, bound)
+    fits = F.col("_next").startswith(F.col("_name")) & (F.col("_name") != "")
+    return seen.filter("_kind = 0").select(*rows.columns, F.when(fits, F.col("_next")).alias("ligand"))
 
 
 def with_pose_file(selected: DataFrame, files: DataFrame,

@@ -1,6 +1,7 @@
 """Run state, reports, properties, audits, scoring, sinks and streaming."""
 
 import json
+import random
 import time
 
 import pandas as pd
@@ -149,6 +150,20 @@ def test_report_helpers(spark):
     assert part.columns == ["rank", "ligand", "x", "y"]
 
 
+@pytest.mark.parametrize("split", [False, True])
+def test_guesses_equal_a_comparison_of_all(spark, split, request):
+    if split:
+        request.getfixturevalue("tiny_tasks")
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abé") for _ in range(rng.randint(1, n)))
+    files = sorted({("hot" if rng.random() < 0.8 else "t", word(6)) for _ in range(150)} | {("hot", "ab" * 300)})
+    asked = [("hot" if rng.random() < 0.8 else "t", k, rng.choice([f" {word(4)} ", word(7), "ab" * 299, "", None])) for k in range(120)]
+    got = {r.k: r.ligand for r in O.guess_ligands(df(spark, "target string, k int, value string", *asked),
+                                                  df(spark, "target string, ligand string", *files)).collect()}
+    want = {k: min((x for s, x in files if s == t and v and v.strip() and x.startswith(v.strip())), default=None) for t, k, v in asked}
+    assert got == want and sum(x is not None for x in want.values()) > 20
+
+
 def test_records_and_unmatched(spark):
     files = df(spark, "series string, filename string", ("s", "0001_abc_docked.pdbqt"), ("s", "00_target.pdbqt"), ("s", "0002_x.pdbqt"))
     renames = df(spark, "new_name string, old_name string, mol_name string", ("0002_x.pdbqt", "orig_docked.pdbqt", "Real"))

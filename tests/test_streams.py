@@ -161,3 +161,11 @@ def test_gate_query_reads_several_batches(spark, monkeypatch):
     monkeypatch.setattr(V, "add", lambda rows, n, *rest: (numbers.append(n), add(rows, n, *rest)))
     rows = QUERIES["stream_gated_blocks"](spark, "/root/testdata/sf0.001").collect()
     assert len(numbers) >= 3 and sum(r.poses for r in rows) == 6000 and len({(r.target, r.block) for r in rows}) == len(rows)
+
+
+def test_block_sink_replaces_only_its_blocks(spark, tmp_path):
+    from screenmeld.sinks import write_blocks
+    out = str(tmp_path / "blocks")
+    write_blocks(df(spark, GATE, ("t", "a", 1, -1.0, 0), ("t", "b", 1, -1.0, 1)), out)
+    write_blocks(df(spark, GATE, ("t", "c", 1, -2.0, 1)), out)
+    assert sorted((r.block, r.ligand) for r in spark.read.parquet(out).collect()) == [(0, "a"), (1, "c")]
