@@ -261,15 +261,36 @@ def dataset_text(ligands: DataFrame) -> DataFrame:
         F.lit(" decoys, 1:"), ratio.cast("string"), F.lit(", "), fixed(F.col("a") * 100.0 / F.col("n"), 2), F.lit(" %")).alias("text"))
 
 
-def full_report(values: DataFrame, intervals: DataFrame, ligands: DataFrame, metrics: Sequence[str]) -> DataFrame:
-    """(target, score, section, text): each metric of each score with its interval, and the data set of each target (score ``''``)."""
+def signed(value: Column, digits: int = 4) -> Column:
+    """Number with fixed digits and its sign, ``n/a`` for a missing value."""
+    return F.coalesce(F.concat(F.when(value >= 0, "+").otherwise(""), fixed(value, digits)), F.lit("n/a"))
+
+
+def full_report(values: DataFrame, intervals: DataFrame, ligands: DataFrame, metrics: Sequence[str],
+                separation: DataFrame | None = None, correlations: DataFrame | None = None) -> DataFrame:
+    """(target, score, section, text) of every section of the report.
+
+    Each metric of each score with its interval; the data set of each target (score ``''``); how far classes lie
+    apart by ``separation`` (target, score, cohens_d, ks_stat); and ``correlations`` (target, subset, score_x, score_y, n, pearson) of
+    pairs of scores, named ``x ~ y``, among all ligands and among actives.
+    """
     entries = F.array(*[F.struct(F.lit(m).alias("section"), F.col(m).alias("value")) for m in metrics])
     each = values.select("target", "score", F.inline(entries)).filter(F.col("value").isNotNull())
     named = intervals.select("target", "score", F.col("metric").alias("section"), "lo", "hi")
     rows = each.join(named, ["target", "score", "section"], "left").select(
         "target", "score", "section", with_ci(F.col("value"), F.col("lo"), F.col("hi")).alias("text"))
-    return rows.unionByName(dataset_text(ligands).select(
+    rows = rows.unionByName(dataset_text(ligands).select(
         "target", F.lit("").alias("score"), F.lit("dataset").alias("section"), "text"))
+    if separation is not None:
+        rows = rows.unionByName(separation.select("target", "score", F.lit("separation").alias("section"), F.concat(
+            F.lit("d "), signed(F.col("cohens_d")), F.lit(", KS "), F.coalesce(fixed(F.col("ks_stat"), 4), F.lit("n/a"))).alias("text")))
+    if correlations is not None:
+        few = F.concat(F.lit("too few (n="), F.col("n").cast("string"), F.lit(")"))
+        text = F.concat(signed(F.col("pearson")), F.lit(" (n="), F.col("n").cast("string"), F.lit(")"))
+        rows = rows.unionByName(correlations.select(
+            "target", F.concat_ws(" ~ ", "score_x", "score_y").alias("score"),
+            F.concat(F.lit("correlation, "), "subset").alias("section"), F.when(F.col("n") < 3, few).otherwise(text).alias("text")))
+    return rows
 
 
 def weighted_metrics(df: DataFrame, group: Sequence[str] = GROUP,
