@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from screenmeld.operators import clustering as K
 from screenmeld.operators import consensus as C
 from screenmeld.operators import reconcile as R
 from screenmeld.operators import report as O
@@ -12,8 +13,10 @@ from screenmeld.plans.fixtures import POSES, poses, row_count, table
 from screenmeld.plans.operations import BLOCK, BLOCKS_SQL, LIB, MATCH, _blocks, _records, _report_rows, library
 from screenmeld.plans.ranking import rounded
 from screenmeld.plans.registry import query
+from screenmeld.plans.texts import FILES, manifest_settings, pose_texts
 from screenmeld.session import new_path
 from screenmeld.sources import inventory as I
+from screenmeld.sources import poses as P
 from screenmeld.sources import tables as T
 
 
@@ -162,3 +165,38 @@ SELECT series, filename, file_rank FROM rec WHERE NOT EXISTS (
 def unmatched_records(spark, sf):
     rows = _report_rows(spark, sf).filter("row % 3 <> 0")
     return O.unmatched_records(rows, _records(spark, sf)).select("series", "filename", "file_rank")
+
+
+@query("manifest_values", """
+SELECT concat('run_', s_suppkey) AS run, section, key, CASE key
+    WHEN 'scoring' THEN CASE WHEN s_suppkey % 5 = 0 THEN 'ad4' ELSE 'vina' END
+    WHEN 'seed' THEN CAST(s_suppkey % 2 AS VARCHAR)
+    WHEN 'vina_enabled' THEN CASE WHEN s_suppkey % 3 = 0 THEN 'Ja' ELSE 'no' END
+    WHEN 'w_vina' THEN concat('0.', s_suppkey % 4)
+    WHEN 'w_ad4' THEN CASE WHEN s_suppkey % 13 = 0 THEN '-0.2' ELSE '0.0' END
+    WHEN 'sigma_fraction' THEN CAST(s_suppkey % 6 + 1 AS VARCHAR)
+    WHEN 'top_fraction' THEN CASE WHEN s_suppkey % 17 = 0 THEN '1.5' ELSE '0.15' END
+    ELSE v END AS value
+FROM supplier, (VALUES ('_GLOBAL', 'free text before', '1'), ('DOCKING', 'binary', 'unidock'), ('DOCKING', 'scoring', ''),
+  ('DOCKING', 'seed', ''), ('RESCORE', 'vina_enabled', ''), ('RESCORE', 'dense_enabled', 'on'), ('RESCORE', 'dense_model', 'dense'),
+  ('RESCORE', 'w_vina', ''), ('RESCORE', 'w_dense_cnnaffinity', '0.5'), ('RESCORE', 'w_ad4', ''), ('RESCORE', 'sigma_fraction', ''),
+  ('RESCORE', 'cluster_poses', 'true'), ('REFINEMENT', 'enabled', 'true'), ('REFINEMENT', 'top_fraction', '')) e(section, key, v)""")
+def manifest_values(spark, sf):
+    return manifest_settings(spark, sf).select("run", "section", "key", "value")
+
+
+@query("pose_filtered_lines", f"""WITH {FILES},
+m AS (SELECT target, ligand, part, pose, milli + number AS x, concat('MODEL ', pose, chr(10),
+    printf('REMARK VINA RESULT:    %.3f      0.000      0.000', -milli), chr(10), 'REMARK SMILES CC', number, chr(10),
+    'REMARK SMILES IDX 1 2', chr(10), 'REMARK SMILES (N)O', chr(10), 'ROOT', chr(10)) AS head FROM files WHERE pose % 3 = 1)
+SELECT target, ligand, part, md5(string_agg(concat(head,
+  printf('ATOM  %5d %-4s LIG A   1    %8.3f%8.3f%8.3f  1.00  0.00     0.000 %-2s', 1, 'C1', x, CAST(1.5 AS DOUBLE), CAST(2 AS DOUBLE), 'C'), chr(10),
+  printf('ATOM  %5d %-4s LIG A   1    %8.3f%8.3f%8.3f  1.00  0.00     0.000 %-2s', 2, 'H1', x, CAST(9 AS DOUBLE), CAST(9 AS DOUBLE), 'HD'), chr(10),
+  printf('ATOM  %5d %-4s LIG A   1    %8.3f%8.3f%8.3f  1.00  0.00     0.000 %-2s', 3, 'O1', x, CAST(-1.5 AS DOUBLE), CAST(4 AS DOUBLE), 'OA'), chr(10),
+  'TORSDOF 3', chr(10), 'ENDMDL'), chr(10) ORDER BY pose)) AS md5 FROM m GROUP BY ALL""")
+def pose_filtered_lines(spark, sf):
+    """The re-assembled text itself, of every third pose of a file."""
+    files = pose_texts(spark, sf)
+    kept = P.pose_energies(files).filter("pose % 3 = 1")
+    keys = ("target", "ligand", "part")
+    return K.filtered_text(files, kept, keys).select(*keys, F.md5("value").alias("md5"))
