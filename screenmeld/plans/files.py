@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from screenmeld.catalog import Score, register
 from screenmeld.operators import clustering as K
 from screenmeld.operators import consensus as C
 from screenmeld.operators import reconcile as R
@@ -15,7 +16,9 @@ from screenmeld.plans.ranking import rounded
 from screenmeld.plans.registry import query
 from screenmeld.plans.texts import FILES, manifest_settings, pose_texts
 from screenmeld.session import new_path
+from screenmeld.sinks import partial_csv_rows
 from screenmeld.sources import inventory as I
+from screenmeld.sources import molecules as M
 from screenmeld.sources import poses as P
 from screenmeld.sources import tables as T
 
@@ -200,3 +203,34 @@ def pose_filtered_lines(spark, sf):
     kept = P.pose_energies(files).filter("pose % 3 = 1")
     keys = ("target", "ligand", "part")
     return K.filtered_text(files, kept, keys).select(*keys, F.md5("value").alias("md5"))
+
+
+@query("sdf_molecules", """
+SELECT concat('mol ', p_partkey) AS raw_name, concat(' mol ', p_partkey, chr(10), '  prog', chr(10), chr(10), '  1  0', chr(10),
+  'M  END', chr(10), '> <ID>', chr(10), p_name, chr(10), chr(10)) AS payload FROM part WHERE p_size % 7 <> 0""")
+def sdf_molecules(spark, sf):
+    """Records of SDF files; pieces without the end of their molecule are none."""
+    path, p = new_path(spark, "library_sdf"), table(spark, sf, "part")
+    end = F.when(F.col("p_size") % 7 == 0, "M  CUT\n").otherwise("M  END\n")
+    p.select(F.concat(F.lit(" mol "), F.col("p_partkey").cast("string"), F.lit("\n  prog\n\n  1  0\n"), end, F.lit("> <ID>\n"),
+                      "p_name", F.lit("\n\n$$$$")).alias("value")).write.text(path)
+    return M.sdf_records(spark, path).select("raw_name", "payload")
+
+
+@query("user_score_ranks", f"""WITH {POSES}
+SELECT target, ligand, pose, CAST(row_number() OVER (PARTITION BY target ORDER BY score_vina + 2 * score_deltalinf9xgb, ligand, pose)
+  AS BIGINT) AS rank FROM poses WHERE score_deltalinf9xgb IS NOT NULL""")
+def user_score_ranks(spark, sf):
+    """A scoring function of the user, ranked like the built-in ones."""
+    mine = register(Score("query_mix", "Mix", False, "user", source="mix"))
+    data = poses(spark, sf).withColumn("mix", F.col("score_vina") + 2 * F.col("score_deltalinf9xgb"))
+    ranked = C.rank_scores(data, [mine.key], rows=C.profile(data, [mine.key]).rows)
+    return ranked.select("target", "ligand", "pose", F.col(mine.rank_column).alias("rank")).filter("rank IS NOT NULL")
+
+
+@query("partial_csv_text", f"""WITH {POSES}
+SELECT target, ligand, pose, CASE WHEN score_vina IS NULL THEN '' ELSE printf('%.6f', score_vina) END AS score_vina,
+  CASE WHEN score_cnnaffinity IS NULL THEN '' ELSE printf('%.6f', score_cnnaffinity) END AS score_cnnaffinity, '' AS score_ad4 FROM poses""")
+def partial_csv_text(spark, sf):
+    return partial_csv_rows(poses(spark, sf)).select(
+        "target", "ligand", "pose", *[F.coalesce(c, F.lit("")).alias(c) for c in ("score_vina", "score_cnnaffinity", "score_ad4")])
