@@ -1,32 +1,37 @@
 """Line dedup over levelled sorted runs of line hashes. DataFrame operations only.
 
-A run is a table (h1, h2, docs, last) with one row per line key, bucketed and sorted by the 128-bit
-hash: number of documents that hold the key and the largest doc_id among them. ``add`` takes one batch: its keys are
-merge-anti-joined with the runs, keys not seen before enter as ``fresh``, known ones as
-updates, and both make a run of level 0. When a level holds ``fanout`` runs they are merged into one run of the next
-level, so a key is rewritten once per level. Buckets are the hash partitioning of the keys: the anti-joins read the
-runs in place, only the batch moves; a merge moves each row of its runs once.
+A run is a table (h1, h2, docs, last) bucketed and sorted by the 128-bit hash of line keys: number of documents of the batch
+that brought the key and the largest doc_id among them. ``add`` takes one batch and merge-anti-joins its keys with the runs:
+keys that no run holds become rows of a new run of level 0, so a key has one row in all runs together; the others become
+increments, a table without order. When a level holds ``fanout`` runs they are written as one run of the next level, so a key is
+rewritten once per level; nothing is added up there. Buckets are the hash partitioning of the keys: the anti-joins read the
+runs in place and only the batch moves. ``totals`` adds the increments, few beside the keys, to the rows of the runs.
 
 ``drop_repeated`` works through a corpus that way and then drops the lines of keys found in at least ``min_docs``
 documents everywhere but in the largest doc_id. Per document the dropped positions cut the list of lines into slices, so a
-text costs time in proportion to its length.
+text costs time in proportion to its length. A batch has ``BATCH_ROWS`` rows at most on average; the tables of the runs are
+dropped at the end.
 
-Defined cases: NULL or empty text is one empty line; each row counts as a document, a repeated row included; rows that share
+Defined cases: NULL or empty text is one empty line; rows that share a doc_id (NULL too) count as one document; rows that share
 the largest doc_id all keep the line (so does NULL where there is no other doc_id); keys shorter than ``min_chars``
 never drop; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from screenmeld.llm.text import SPACE, ascii_lower, join_small
-from screenmeld.session import new_path, stage
+from screenmeld.session import delete, new_path, stage
 
 KEYS = ["h1", "h2"]
+#: A corpus is taken in batches of about so many rows, in ``BATCHES`` at least.
+BATCH_ROWS = 50_000_000
 BATCHES = 4
 FANOUT = 4
 
@@ -38,6 +43,7 @@ class LineRuns:
         self.spark, self.fanout, self.buckets = spark, fanout, int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = [[]]
         self.paths: dict[str, str] = {}
+        self.increments: list[str] = []
 
     def _write(self, rows: DataFrame, level: int) -> None:
         name = f"line_run_{uuid.uuid4().hex}"
@@ -52,34 +58,49 @@ class LineRuns:
         return [self.spark.table(n) for level in self.levels for n in level]
 
     def add(self, keys: DataFrame) -> None:
-        """Add a batch of ``h1, h2, doc_id``, one row per document and key."""
+        """Add a batch of ``h1, h2, doc_id``, one row per document and key; no document comes in two batches."""
         batch = keys.groupBy(*KEYS).agg(F.count("*").alias("docs"), F.max("doc_id").alias("last"))
+        older = self.runs()
+        if older:
+            batch = stage(batch, "line_batch")
         fresh = batch
-        for run in self.runs():
+        for run in older:
             fresh = fresh.join(run, KEYS, "left_anti")
-        if self.runs():
-            # new keys start a row; known ones are those the anti-join took out
-            marked = batch.join(fresh.select(*KEYS, F.lit(True).alias("fresh")), KEYS, "left")
-            batch = marked.select(*KEYS, "docs", "last", F.coalesce("fresh", F.lit(False)).alias("fresh"))
-        else:
-            batch = batch.withColumn("fresh", F.lit(True))
-        self._write(batch, 0)
+        self._write(fresh, 0)
+        if older:
+            path = new_path(self.spark, "line_increments")
+            batch.join(self.spark.table(self.levels[0][-1]), KEYS, "left_anti").write.parquet(path)
+            self.increments.append(path)
         level = 0
         while len(self.levels[level]) >= self.fanout:
-            merged, self.levels[level] = self._merged(self.levels[level]), []
-            self._write(merged, level + 1)
+            names, self.levels[level] = self.levels[level], []
+            # read as files: Spark takes a union of bucketed tables for partitioned by key, which it isn't
+            rows = self.spark.read.schema(self.spark.table(names[0]).schema).parquet(*[self.paths[n] for n in names])
+            self._write(rows.repartition(self.buckets, *KEYS), level + 1)
+            self._drop(names)
             level += 1
 
-    def _merged(self, names: list[str]) -> DataFrame:
-        # read as files: Spark takes a union of bucketed tables for partitioned by key, which it isn't
-        schema = self.spark.table(names[0]).schema
-        rows = self.spark.read.schema(schema).parquet(*[self.paths[n] for n in names])
-        return rows.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.max("last").alias("last"),
-                                       F.max("fresh").alias("fresh"))
-
     def totals(self) -> DataFrame:
-        names = [n for level in self.levels for n in level]
-        return self.spark.table(names[0]) if len(names) == 1 else self._merged(names)
+        """One row per key of all batches: ``h1, h2, docs, last``."""
+        if not self.increments:
+            return self.spark.table(self.levels[0][0])
+        more = (self.spark.read.schema(self.runs()[0].schema).parquet(*self.increments).groupBy(*KEYS)
+                .agg(F.sum("docs").alias("more"), F.max("last").alias("later")))
+        added = [run.join(more, KEYS, "left").select(
+            *KEYS, (F.col("docs") + F.coalesce("more", F.lit(0))).alias("docs"), F.greatest("last", "later").alias("last"))
+            for run in self.runs()]
+        return reduce(DataFrame.unionByName, added)
+
+    def _drop(self, names: list[str]) -> None:
+        for name in names:
+            self.spark.sql(f"DROP TABLE {name}")
+        delete(self.spark, [self.paths.pop(n) for n in names])
+
+    def drop(self) -> None:
+        """Drop all runs and increments."""
+        self._drop([n for level in self.levels for n in level])
+        delete(self.spark, self.increments)
+        self.levels, self.increments = [[]], []
 
 
 def line_keys(lines: Column, min_chars: int) -> Column:
@@ -91,13 +112,29 @@ def line_keys(lines: Column, min_chars: int) -> Column:
         F.struct(F.xxhash64(x).alias("h1"), F.xxhash64(F.lit("line"), x).alias("h2"))))
 
 
-def drop_repeated(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches: int = BATCHES,
+def _held(hashed: DataFrame) -> DataFrame:
+    """``h1, h2, doc_id``, one row per document and key; only ids of several rows are sorted out by a shuffle."""
+    several = stage(hashed.groupBy("doc_id").agg(F.count("*").alias("rows")).filter("rows > 1")
+                    .select(F.col("doc_id").alias("_id")), "repeated_ids")
+    count = several.count()
+    distinct = F.explode(F.array_distinct(F.filter("keys", lambda k: k.isNotNull())))
+    rows = hashed.select("doc_id", "batch", distinct.alias("key")).select("doc_id", "batch", "key.h1", "key.h2")
+    if not count:
+        return rows
+    same = rows["doc_id"].eqNullSafe(several["_id"])
+    return join_small(rows, several, count, same, "left_anti").unionByName(
+        join_small(rows, several, count, same, "left_semi").distinct())
+
+
+def drop_repeated(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches: int | None = None,
                   fanout: int = FANOUT) -> DataFrame:
     """Rows of ``docs`` as struct ``doc`` without text, with ``kept`` text, ``n_lines`` and ``n_dropped``.
 
     ``given`` says whether there was a text.
     """
     spark = docs.sparkSession
+    if batches is None:
+        batches = max(BATCHES, math.ceil(docs.count() / BATCH_ROWS))
     text = F.coalesce("text", F.lit(""))
     # a row is known by its id and text, so that rows which share an id are told apart
     lines = F.split(text, "\n")
@@ -109,12 +146,11 @@ def drop_repeated(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batch
         docs.schema["doc_id"].dataType.simpleString())
     hashed = spark.read.schema(schema).parquet(path)
 
-    runs = LineRuns(spark, fanout)
+    runs, held = LineRuns(spark, fanout), _held(hashed)
     for number in range(batches):
-        distinct = F.explode(F.array_distinct(F.filter("keys", lambda k: k.isNotNull())))
-        runs.add(hashed.filter(F.col("batch") == number).select("doc_id", distinct.alias("key"))
-                 .select("doc_id", "key.h1", "key.h2"))
+        runs.add(held.filter(F.col("batch") == number).select("doc_id", *KEYS))
     frequent = stage(runs.totals().filter(F.col("docs") >= min_docs).select(*KEYS, "last"), "frequent_lines")
+    runs.drop()
     placed = (hashed.select("doc_id", "row", F.posexplode("keys").alias("at", "key"))
               .filter(F.col("key").isNotNull()).select("doc_id", "row", "at", "key.h1", "key.h2"))
     hits = join_small(placed, frequent, frequent.count(),

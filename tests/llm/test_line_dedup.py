@@ -12,11 +12,11 @@ UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def plain(rows, min_chars=20, min_docs=3):
-    holders = defaultdict(list)
+    holders = defaultdict(set)
     key = lambda line: line.strip(" \t\n\x0b\x0c\r").translate(UPPER)
     for doc_id, text in rows:
         for k in {key(x) for x in (text or "").split("\n")}:
-            holders[k].append(doc_id)
+            holders[k].add(doc_id)
     out = []
     for doc_id, text in rows:
         lines = (text or "").split("\n")
@@ -57,19 +57,47 @@ def test_columns_stay(odd):
     assert out.filter("doc_id = 4").first().text == odd.filter("doc_id = 4").first().text
 
 
-def test_runs_keep_one_row_per_key(spark):
-    runs = L.LineRuns(spark, fanout=2)
+def batches_of(spark, runs):
     seen = defaultdict(list)
-    for batch in range(5):
+    for batch in range(9):
         keys = [(k % 7, k // 7, batch * 100 + k) for k in range(batch, batch + 20)]
         for a, b, d in keys:
             seen[a, b].append(d)
         runs.add(spark.createDataFrame(keys, "h1 long, h2 long, doc_id long"))
-    got = {(r.h1, r.h2): (r.docs, r["last"]) for r in runs.totals().collect()}
-    assert got == {k: (len(v), max(v)) for k, v in seen.items()}
-    assert len(runs.levels) > 2 and all(len(level) < 2 for level in runs.levels)
-    fresh = sum(t.filter("fresh").count() for t in runs.runs())
-    assert fresh == len(seen)
+    return {k: (len(v), max(v)) for k, v in seen.items()}
+
+
+def totals_of(runs):
+    return sorted((r.h1, r.h2, r.docs, r["last"]) for r in runs.totals().collect())
+
+
+def test_runs_hold_each_key_once_over_several_levels(spark):
+    runs = L.LineRuns(spark, fanout=2)
+    want = batches_of(spark, runs)
+    assert totals_of(runs) == sorted((*k, *v) for k, v in want.items())
+    assert len(runs.levels) > 3 and all(len(level) < 2 for level in runs.levels)
+    assert sum(t.count() for t in runs.runs()) == len(want)
+    names = [n for level in runs.levels for n in level]
+    runs.drop()
+    assert not any(spark.catalog.tableExists(n) for n in names)
+
+
+def test_the_anti_join_decides(spark, monkeypatch):
+    frame = type(spark.range(1))
+    join = frame.join
+    runs = L.LineRuns(spark, fanout=2)
+    monkeypatch.setattr(frame, "join", lambda self, other, on=None, how=None: (
+        self if how == "left_anti" else join(self, other, on, how)))
+    want = batches_of(spark, runs)
+    assert totals_of(runs) != sorted((*k, *v) for k, v in want.items())
+
+
+def test_rows_of_one_id_are_one_document(make):
+    line = "a line of more than twenty characters"
+    rows = [(1, line), (1, f"{line}\nx"), (1, line), (2, line), (3, "other")]
+    docs = make(rows)
+    assert order(rows_of(L.drop_repeated(docs))) == order(plain(rows))
+    assert L.drop_repeated(docs).agg(F.sum("n_dropped")).first()[0] == 0
 
 
 def test_query_matches_its_twin(spark):
