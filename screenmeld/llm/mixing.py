@@ -4,15 +4,17 @@ Targets: sources in code point order (NULL last) take ``weights`` in turn and sh
 ``share`` times all words; a target stops at ``most`` times its source's words and the excess
 is shared again by weight until no target is above.
 
-Sampling: each document of a source is to be taken ``rate = target / words`` times on average. The
-whole part is certain; the fraction ``f`` is an inclusion probability. Documents are ranked by
+Sampling: a document of a source is to be taken ``rate = min(most, c * 2 ** (lean * floor(log2(words))))`` times on average, so
+longer texts, which carry more context, come more often, and ``c`` is such that the rates meet the target: classes of length
+are filled from the longest down, those that reach ``most`` stop there. ``lean = 0`` gives all documents of a source one rate.
+The whole part of a rate is certain; its fraction ``f`` is an inclusion probability. Documents with a fraction are ranked by
 ``odds(u) / odds(f)`` with a draw ``u`` fixed by doc_id and seed, and the ranking is taken up to the
 source's remaining words (the fixed size). The words left over there are filled by the one document
 behind the cut whose size comes nearest, if that brings the total closer.
 
-Nothing is gathered per source: the cut is found by two rounds of 256 partial sums, so a window only sees
-a 1/65,536 share of a source. Defined cases: a NULL text has size 0; NULL source is one source; equal
-doc_ids share a draw and are taken together; an empty table gives no rows; extra columns are ignored.
+Nothing is gathered per source: rates need one sum per class of length (64 at most), and the cut is found by two rounds of 256
+partial sums, so a window only sees a 1/65,536 share of a source. Defined cases: a NULL text has size 0; NULL source is one
+source; rows with equal doc_ids share a draw; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -48,25 +50,48 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), sha
     return sources.select("source", "source_size", target.cast("double").alias("target")), count
 
 
+def inclusion_rates(sizes: DataFrame, targets: DataFrame, most: float, lean: float) -> DataFrame:
+    """``source, class, rate`` with the source's size and target: how often a document of a class of length is to be taken."""
+    words = sizes.filter("size > 0").groupBy("source", "class").agg(F.sum("size").alias("words"))
+    weight = F.pow(F.lit(2.0), F.lit(lean) * F.col("class"))
+    longest = Window.partitionBy("source").orderBy(F.desc("class"))
+    every = Window.partitionBy("source")
+    above = F.sum("words").over(longest) - F.col("words")  # words of longer classes, were they all at the limit
+    weighed = F.col("words") * F.col("weight")
+    rest = F.sum(weighed).over(longest.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    level = F.greatest((F.col("target") - most * F.col("above")) / F.col("rest"), F.lit(0.0))
+    # the longest class that stays within the limit sets the level of all; where none does, all are at it
+    within = F.col("level") * F.col("weight") <= most
+    first = F.min_by(F.when(within, F.col("level")), F.when(within, -F.col("class"))).over(every)
+    return (words.join(targets.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+            .withColumn("weight", weight).withColumn("above", above).withColumn("rest", rest).withColumn("level", level)
+            .withColumn("rate", F.coalesce(F.least(F.lit(float(most)), first * F.col("weight")), F.lit(float(most))))
+            .select("source", "class", "source_size", "target", "words", "rate"))
+
+
 def sample_plan(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5,
-                most: float = 2.0, seed: int = 42) -> DataFrame:
-    """One row per document: ``doc_id, source, size, source_size, target, copies, taken``."""
+                most: float = 2.0, seed: int = 42, lean: float = 0.25) -> DataFrame:
+    """One row per document: ``doc_id, source, size, source_size, target, rate, copies, taken``."""
     draw = ((F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id")), 11) + F.lit(0.5)) / float(1 << 53))
-    sized = stage(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
-                              draw.alias("draw")), "sized")
+    size_class = F.floor(F.log2(F.greatest("size", F.lit(1)))).cast("int")
+    sized = stage(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), draw.alias("draw"))
+                  .withColumn("class", size_class), "sized")
     targets, count = source_targets(sized, weights, share, most)
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    whole = F.floor(rate)
-    targets = targets.select("source", "source_size", "target", whole.alias("whole"),
-                             (rate - whole).alias("fraction"),
-                             (F.col("target") - whole * F.col("source_size")).alias("quota"))
+    targets = stage(targets, "targets")
+    rates = stage(inclusion_rates(sized, targets, most, lean), "rates")
+    fraction = F.col("rate") - F.floor("rate")
+    quotas = rates.groupBy("source").agg(F.sum(fraction * F.col("words")).alias("quota"))
+    same = lambda a, b: a["source"].eqNullSafe(b["source"])
+    known = rates.select(F.col("source").alias("s"), F.col("class").alias("c"), "rate")
+    placed = join_small(sized, known, known.count(), sized["source"].eqNullSafe(F.col("s"))
+                        & (F.col("class") == F.col("c")) & (F.col("size") > 0), "left")
     u, f = F.col("draw"), F.col("fraction")
     rank = u * (1 - f) / (u * (1 - f) + f * (1 - u))  # Q / (1 + Q), in the order of Q
-    same = lambda a, b: a["source"].eqNullSafe(b["source"])
-    ranked = (join_small(sized, t := targets.select("source", f), count, same(sized, t))
-              .select(sized["doc_id"], sized["source"], "size", rank.alias("rank")))
+    plan = stage(placed.withColumn("rate", F.coalesce("rate", F.lit(0.0))).withColumn("fraction", fraction)
+                 .select("doc_id", "source", "size", "rate", F.when(f > 0, rank).alias("rank")), "ranked")
+    ranked = plan.filter("rank IS NOT NULL")
 
-    cuts = targets.select("source", "quota", F.lit(0.0).alias("before"), F.lit(0).cast("long").alias("prefix"))
+    cuts = quotas.select("source", "quota", F.lit(0.0).alias("before"), F.lit(0).cast("long").alias("prefix"))
     for k in range(LEVELS):
         at = ranked.withColumn("digit", F.floor(F.col("rank") * DIGITS ** (k + 1)))
         here = (join_small(at, cuts, count, same(at, cuts) & (F.floor(at["rank"] * DIGITS**k) == cuts["prefix"]))
@@ -100,17 +125,15 @@ def sample_plan(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share:
     filler = (join_small(behind, nearest.withColumnRenamed("source", "s"), count,
                          behind["source"].eqNullSafe(F.col("s")) & (behind["gap"] == nearest["gap"]))
               .groupBy("source").agg(F.min("rank").alias("filler")))
-    edge = edge.join(filler.withColumnRenamed("source", "s"), edge["source"].eqNullSafe(F.col("s")), "left").drop("s")
-    rules = stage(targets.join(edge.withColumnRenamed("source", "s"), targets["source"].eqNullSafe(F.col("s")), "left")
-                  .drop("s"), "rules")
-
-    rows = join_small(sized, rules, count, same(sized, rules)).select(sized["*"], *[
-        rules[c] for c in ("source_size", "target", "whole", "fraction", "last", "closed", "filler")])
-    rows = rows.withColumn("rank", rank)
-    extra = F.when(F.col("last").isNull(), F.col("fraction") > 0).otherwise(
-        taken | F.coalesce(F.col("rank") == F.col("filler"), F.lit(False)))
-    copies = F.col("whole") + F.when(extra & (F.col("size") > 0), 1).otherwise(0)
-    return rows.select("doc_id", "source", "size", "source_size", "target", copies.cast("long").alias("copies"),
+    edge = stage(edge.join(filler.withColumnRenamed("source", "s"), edge["source"].eqNullSafe(F.col("s")), "left").drop("s"),
+                 "rules")
+    rules = targets.join(edge.withColumnRenamed("source", "s"), targets["source"].eqNullSafe(F.col("s")), "left").drop("s")
+    rows = join_small(plan, rules, count, same(plan, rules)).select(plan["*"], *[
+        rules[c] for c in ("source_size", "target", "last", "closed", "filler")])
+    extra = F.when(F.col("last").isNull(), F.col("rank").isNotNull()).otherwise(
+        F.coalesce(taken | (F.col("rank") == F.col("filler")), taken, F.lit(False)))
+    copies = F.floor("rate") + F.when(extra, 1).otherwise(0)
+    return rows.select("doc_id", "source", "size", "source_size", "target", "rate", copies.cast("long").alias("copies"),
                        (copies * F.col("size")).cast("long").alias("taken"))
 
 

@@ -53,8 +53,44 @@ def test_odd_rows(odd, empty):
     assert M.sample_plan(empty).count() == 0 and M.mixed(empty).count() == 0
 
 
-def test_inclusion_follows_the_rate(make):
+def test_equal_documents_share_a_rate(make):
     # equal documents of one source: every other one is taken once more at rate 1.5
     docs = make([(k, "w " * 10, "en", "a") for k in range(400)])
     copies = [r.copies for r in M.sample_plan(docs).collect()]
     assert set(copies) == {1, 2} and sum(copies) == 600
+
+
+def mean_copies(make, lean):
+    docs = make([(k, "w " * (20 if k % 2 else 300), "en", "a" if k % 3 else "b") for k in range(3000)])
+    sums, rates = {}, {}
+    for r in M.sample_plan(docs, lean=lean).collect():
+        sums.setdefault((r.source, r["size"]), []).append(r.copies)
+        rates[r.source, r["size"]] = r.rate
+    return {k: sum(v) / len(v) for k, v in sums.items()}, rates
+
+
+def test_longer_documents_have_higher_odds(make):
+    means, rates = mean_copies(make, 0.25)
+    for key, mean in means.items():
+        assert mean == pytest.approx(rates[key], abs=0.07)
+    assert rates["a", 300] == 2 * rates["a", 20] and means["a", 300] > means["a", 20] + 0.3
+
+
+def test_equal_odds_take_equal_shares(make):
+    means, rates = mean_copies(make, 0)
+    assert rates["a", 300] == pytest.approx(rates["a", 20])
+    assert means["a", 300] == pytest.approx(means["a", 20], abs=0.1)
+
+
+def test_rates_meet_the_target_within_the_limit(spark):
+    rows = [("a", 3, 100), ("a", 5, 900), ("a", 9, 5000), ("a", 14, 40000), ("b", 2, 10), (None, 4, 300), (None, 7, 10)]
+    sizes = spark.createDataFrame(rows, "source string, class int, size long")
+    goal = {"a": 70_000.0, "b": 20.0, None: 100.0}
+    total = {s: sum(n for t, _, n in rows if t == s) for s in goal}
+    targets = spark.createDataFrame([(s, total[s], t) for s, t in goal.items()], "source string, source_size long, target double")
+    got = M.inclusion_rates(sizes, targets, 2.0, 0.25).collect()
+    assert len(got) == len(rows) and all(0 < r.rate <= 2 for r in got)
+    for s, t in goal.items():
+        assert sum(r.rate * r.words for r in got if r.source == s) == pytest.approx(t)
+    rate = {r["class"]: r.rate for r in got if r.source is None}
+    assert rate[7] / rate[4] == pytest.approx(2 ** 0.75)
