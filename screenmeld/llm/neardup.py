@@ -11,8 +11,8 @@
    are then done; this goes on until no bucket spans two. Reach is a bound from the shingles that a text shares with no
    other one still open: heavily edited copies leave before any pair is looked at. Buckets are dealt in chunks of members that
    meet the hubs inside a task, so rows grow with the members, and no link between components is left out.
-4. Pairs whose sketches are too far apart for the threshold by six standard deviations are dropped; the rest are confirmed on
-   the full sets. Components follow by least labels and pointer jumping.
+4. Pairs whose sketches are further apart than all but ``MISS`` of the pairs at the threshold are dropped, which most pairs of a
+   similarity under 0.6 are; the rest are confirmed on the full sets. Components follow by least labels and pointer jumping.
 
 Defined cases: a text with fewer words than a shingle is one shingle of all its words; NULL, empty or wordless
 texts have an empty set and link with nothing; rows that share a doc_id are one document; a NULL doc_id gets no
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,8 @@ from screenmeld.session import stage
 
 BANDS, ROWS = 30, 5
 SKETCH_BITS = 1024
+#: Probability that the sketches drop a pair that just reaches the threshold.
+MISS = 1e-6
 HUBS = 256
 CHUNK = 256
 MEMBER = ["band", "node", "label", "n", "reach"]
@@ -112,11 +115,15 @@ def signatures(docs: DataFrame, words: int, bands: int = BANDS, rows: int = ROWS
                       "n_shingles long, d1 long, d2 long, bands array<long>, sketch array<long>")
 
 
-def most_apart(threshold: float, samples: int) -> float:
-    """Differing bits of two odd sketches that a similarity of ``threshold`` reaches within six standard deviations."""
-    least = threshold - 6 * math.sqrt(threshold * (1 - threshold) / samples)
-    most = SKETCH_BITS / 2 * (1 - (1 - 2 / SKETCH_BITS) ** (2 * samples * (1 - least)))
-    return most + 6 * math.sqrt(SKETCH_BITS) / 4
+def most_apart(threshold: float, samples: int, miss: float = MISS) -> float:
+    """Differing bits that the sketches of a pair at ``threshold`` exceed with probability ``miss``.
+
+    Samples differ independently, each of them throws two items at the bits, and items that meet cancel out.
+    """
+    items = 2 * samples * (1 - threshold)
+    keep = (1 - 2 / SKETCH_BITS) ** items
+    spread = math.sqrt(4 * samples * threshold * (1 - threshold) * keep**2 + 2 * items**2 / SKETCH_BITS)
+    return SKETCH_BITS / 2 * (1 - keep) + NormalDist().inv_cdf(1 - miss) * spread
 
 
 def far_apart(a: Column, b: Column, threshold: float, samples: int) -> Column:

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from screenmeld.llm import neardup as N
@@ -82,6 +83,28 @@ def test_odd_rows(odd, empty):
     assert N.one_of_each(empty).count() == 0
 
 
+def bits_apart(size, shared, times=150):
+    """Differing bits of the sketches of random pairs of sets of ``size`` shingles, ``shared`` of them in both."""
+    rng, signer, found = random.Random(size), N._Signer(1, N.BANDS, N.ROWS), []
+    for _ in range(times):
+        words = [str(rng.random()) for _ in range(2 * size - shared)]
+        a, b = (np.array(signer.sign(" ".join(w).encode())[4]) for w in (words[:size], words[size - shared:]))
+        found.append(int(np.bitwise_count((a ^ b).view(np.uint64)).sum()))
+    return np.array(found)
+
+
+@pytest.mark.parametrize("size,shared", [(9, 8), (90, 80), (450, 400)])
+def test_sketches_keep_pairs_at_the_threshold(size, shared):
+    apart = bits_apart(size, shared)
+    most = N.most_apart(0.8, N.BANDS * N.ROWS)
+    assert (apart <= most).all() and most - apart.mean() > 3.5 * apart.std()
+
+
+@pytest.mark.parametrize("size,shared", [(9, 6), (90, 60), (450, 300)])
+def test_sketches_drop_pairs_at_half(size, shared):
+    assert (bits_apart(size, shared) > N.most_apart(0.8, N.BANDS * N.ROWS)).mean() > 0.95
+
+
 def test_components_of_a_long_chain(spark):
     links = [(k, k + 1) for k in range(60)] + [(100, 101), (102, 100)]
     random.Random(1).shuffle(links)
