@@ -9,26 +9,39 @@ per target and grid point, and metrics come from the sums.
 A slice holds at least four poses of decoys for each of actives, so actives are copied at most a quarter as often as
 there are poses. Poses that can't be the best of their ligand under any weights and sigma (another one has no worse rank
 in all functions) are dropped before the shuffle where a ligand has many.
+
+Lists of many actives make the counts long. Targets of up to ``MOST_POSES`` poses are then evaluated one sigma per task
+(:func:`listed_metrics`): the ranks of a target, four bytes each in order of ligands, go to a task per sigma, which orders
+the decoys' values of one grid point after the other and looks the actives up in them. Nothing is shuffled per grid point.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator, Sequence
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from screenmeld.functions.grids import GridPoint
 from screenmeld.operators.evaluate import ef_name
+from screenmeld.session import stage
 
 #: Most actives of a target for which this way is taken; their lists are held and sent once per grid point.
 MOST_ACTIVES = 10_000
 POSES_PER_SLICE = 50_000
 #: Poses of a ligand in one batch up to which all are kept.
 FEW_POSES = 16
+#: Most poses of a target whose ranks one task may hold for a sigma, at 40 bytes each.
+MOST_POSES = 50_000_000
+POSES_PER_RANGE = 1_000_000
+MOST_TASKS = 2000
+#: Ligands evaluated together, so that their terms stay in the processor's cache.
+LIGANDS_AT_ONCE = 8192
 DIGITS = 12  # consensus sums that are equal on paper must tie
 
 
@@ -48,8 +61,12 @@ def _undominated(ranks: np.ndarray) -> np.ndarray:
 def _thinned(names: Sequence[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [f"{t}\0{x}" for t, x in zip(batch.column("target").to_pylist(), batch.column("ligand").to_pylist())]
-            _, of, count = np.unique(np.array(keys, object).astype(str), return_inverse=True, return_counts=True)
+            of = pc.binary_join_element_wise(*(batch.column(c).fill_null("") for c in ("target", "ligand")), "\0")
+            of = of.dictionary_encode().indices.to_numpy()
+            count = np.bincount(of)
+            if not len(of) or count.max() <= FEW_POSES:
+                yield batch
+                continue
             keep = np.flatnonzero(count[of] <= FEW_POSES)
             ranks, many = _ranks(batch, names), [keep]
             for k in np.flatnonzero(count > FEW_POSES):
@@ -141,6 +158,15 @@ def most_actives(poses: DataFrame) -> int:
     return poses.filter("active = 1").groupBy("target").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
 
 
+def _thin(ranked: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The columns that count, without poses that can't be the best of their ligand where it has many."""
+    thin = ranked.select("target", "ligand", F.col("active").cast("int").alias("active"), F.col("_n").cast("long"),
+                         *[F.col(c).cast("long") for c in names])
+    kinds = "target string, ligand string, active int, _n long, " + ", ".join(f"{c} long" for c in names)
+    # one label per ligand, as its poses are ranked together
+    return thin.mapInArrow(_thinned(names), kinds)
+
+
 def counted_metrics(ranked: DataFrame, names: Sequence[str], grid: Sequence[GridPoint],
                     fractions: Sequence[float] = (0.01, 0.05)) -> DataFrame:
     """AUC, AUPRC and enrichment per (target, gid).
@@ -148,11 +174,7 @@ def counted_metrics(ranked: DataFrame, names: Sequence[str], grid: Sequence[Grid
     ``ranked`` has the poses with the rank columns ``names`` and ``_n``, the number of poses of the target.
     """
     points = [(p.gid, p.sigma, p.weights) for p in sorted(grid, key=lambda p: (p.sigma, p.gid))]
-    thin = ranked.select("target", "ligand", F.col("active").cast("int").alias("active"), F.col("_n").cast("long"),
-                         *[F.col(c).cast("long") for c in names])
-    kinds = "target string, ligand string, active int, _n long, " + ", ".join(f"{c} long" for c in names)
-    # one label per ligand, as its poses are ranked together
-    labelled = thin.mapInArrow(_thinned(names), kinds)
+    labelled = _thin(ranked, names)
     sizes = ranked.groupBy("target").agg(
         F.count("*").alias("_all"), F.count(F.when(F.col("active") == 1, 1)).alias("_own"))
     slices = F.greatest(F.lit(1), F.least(F.ceil(F.col("_all") / POSES_PER_SLICE), F.floor(
@@ -166,3 +188,108 @@ def counted_metrics(ranked: DataFrame, names: Sequence[str], grid: Sequence[Grid
     return counts.groupBy("target", "gid").applyInArrow(
         _metrics(fractions), "target string, gid int, auc double, auprc double, "
         + ", ".join(f"{ef_name(f)} double" for f in fractions))
+
+
+def _packed(names: Sequence[str]):
+    """Function from poses in order of (target, ligand) to a row per batch and target: ranks, ligands' first poses, actives."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, number = None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            target, ligand = (batch.column(c).dictionary_encode() for c in ("target", "ligand"))
+            codes = np.stack([x.indices.to_numpy() for x in (target, ligand)])
+            starts = np.append(True, (codes[:, 1:] != codes[:, :-1]).any(axis=0))
+            ends = [(batch.column("target")[k].as_py(), batch.column("ligand")[k].as_py()) for k in (0, -1)]
+            starts[0] = ends[0] != before
+            before = ends[1]
+            ranks = _ranks(batch, names)
+            ranks = np.where(np.isinf(ranks), 0, ranks).astype("<i4")
+            active = batch.column("active").to_numpy(zero_copy_only=False) == 1
+            edges = np.concatenate([[0], np.flatnonzero(codes[0, 1:] != codes[0, :-1]) + 1, [batch.num_rows]])
+            for a, b in zip(edges[:-1], edges[1:]):
+                rows = np.ascontiguousarray(ranks[a:b].T).tobytes() + starts[a:b].tobytes() + active[a:b].tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([batch.column("target")[a].as_py()], pa.string()), pa.array([batch.column("_n")[a].as_py()], pa.int64()),
+                     pa.array([batch.column("_part")[a].as_py()], pa.int32()), pa.array([number], pa.int32()),
+                     pa.array([b - a], pa.int32()), pa.array([rows], pa.binary())],
+                    ["target", "_n", "_part", "number", "poses", "rows"])
+                number += 1
+    return run
+
+
+def _hits(mine: np.ndarray, others: np.ndarray, key: np.ndarray, active: np.ndarray, first: int) -> int:
+    """Actives among the ``first`` keys of all; equal keys count in order of ligands."""
+    last = np.sort(np.concatenate([mine[:first], others[:first]]))[first - 1]
+    better = np.searchsorted(mine, last)
+    tied = np.flatnonzero(key == last)[:first - better - np.searchsorted(others, last)]
+    return int(better + active[tied].sum())
+
+
+def _listed(points: Sequence[tuple], k: int, fractions: Sequence[float]):
+    """Function from the packed poses of a target to its metrics at the grid points of one sigma."""
+    names = ["auc", "auprc", *(ef_name(f) for f in fractions)]
+
+    def run(table: pa.Table) -> pa.Table:
+        target, n, sigma = (table.column(c)[0].as_py() for c in ("target", "_n", "sigma"))
+        table = table.select(["_part", "number", "poses", "rows"]).sort_by([("_part", "ascending"), ("number", "ascending")])
+        size = table.column("poses").to_numpy()
+        at = np.concatenate([[0], np.cumsum(size)])
+        terms, starts, active = np.empty((k, at[-1])), np.empty(at[-1], bool), np.empty(at[-1], bool)
+        for i, packed in enumerate(table.column("rows")):
+            raw, m, here = packed.as_buffer(), int(size[i]), slice(at[i], at[i + 1])
+            ranks = np.frombuffer(raw, "<i4", k * m).reshape(k, m)
+            terms[:, here] = np.where(ranks > 0, np.exp(-ranks / max(n / float(sigma), 1.0)), 0.0)
+            starts[here], active[here] = np.frombuffer(raw, bool, 2 * m, 4 * k * m).reshape(2, m)
+        starts = np.flatnonzero(starts)
+        active = np.logical_or.reduceat(active, starts)
+        edges = np.append(starts[::LIGANDS_AT_ONCE], at[-1])
+        p, decoys = int(active.sum()), int((~active).sum())
+        out = {"gid": [], **{c: [] for c in names}}
+        for gid, of, weights in points:
+            if of != sigma:
+                continue
+            key = np.empty(len(starts), np.int64)
+            for i, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
+                total = np.zeros(b - a)
+                for w, term in zip(weights, terms):
+                    if w:
+                        total += w * term[a:b]
+                here = slice(i * LIGANDS_AT_ONCE, (i + 1) * LIGANDS_AT_ONCE)
+                key[here] = -np.floor(np.maximum.reduceat(total, starts[here] - a) * 10.0 ** DIGITS + 0.5).astype(np.int64)
+            mine, others = np.sort(key[active]), np.sort(key[~active])
+            row = dict.fromkeys(names)
+            if p:
+                better = np.searchsorted(others, mine)
+                upto = np.searchsorted(others, mine, "right")
+                if decoys:
+                    number = np.searchsorted(mine, mine, "right")
+                    row["auc"] = float((2.0 * (decoys - upto) + (upto - better)).sum() / (2.0 * p * decoys))
+                    row["auprc"] = float((number / (number + upto)).sum() / p)
+                for f in fractions:
+                    row[ef_name(f)] = float(_hits(mine, others, key, active, max(1, int(np.ceil((p + decoys) * f))))) / (p * f)
+            out["gid"].append(gid)
+            for c in names:
+                out[c].append(row[c])
+        return pa.table({"target": pa.array([target] * len(out["gid"]), pa.string()), "gid": pa.array(out["gid"], pa.int32()),
+                         **{c: pa.array(out[c], pa.float64()) for c in names}})
+    return run
+
+
+def listed_metrics(ranked: DataFrame, names: Sequence[str], grid: Sequence[GridPoint], poses: int, targets: int,
+                   fractions: Sequence[float] = (0.01, 0.05)) -> DataFrame:
+    """As :func:`counted_metrics`, by lists of a target's ranks; ``poses`` and ``targets`` say how many there are."""
+    points = [(p.gid, p.sigma, p.weights) for p in grid]
+    sigmas = sorted({p.sigma for p in grid})
+    cores = ranked.sparkSession.sparkContext.defaultParallelism
+    # a ligand lies in one range, so the order of ranges and batches is that of ligands
+    sorted_by = (_thin(ranked, names).repartitionByRange(max(cores, ceil(poses / POSES_PER_RANGE)), "target", "ligand")
+                 .sortWithinPartitions("target", "ligand").withColumn("_part", F.spark_partition_id()))
+    packed = stage(sorted_by.mapInArrow(
+        _packed(names), "target string, _n long, _part int, number int, poses int, rows binary"), "packed-ranks")
+    each = packed.withColumn("sigma", F.explode(F.array(*[F.lit(s) for s in sigmas])))
+    # a fixed number: the grid, not the bytes shuffled, decides the task count
+    tasks = max(cores, min(3 * targets * len(sigmas), MOST_TASKS))
+    return each.repartition(tasks, "target", "sigma").groupBy("target", "sigma").applyInArrow(
+        _listed(points, len(names), fractions), "target string, gid int, auc double, auprc double, "
+        + ", ".join(f"{ef_name(f)} double" for f in fractions))

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from screenmeld.catalog import SIGMA_FRACTION, score
 from screenmeld.functions.grids import GridPoint
 from screenmeld.operators import consensus as C
-from screenmeld.operators.counting import MOST_ACTIVES, counted_metrics, most_actives
+from screenmeld.operators.counting import (MOST_ACTIVES, MOST_POSES, counted_metrics, listed_metrics,
+                                            most_actives)
 from screenmeld.operators.evaluate import ranking_metrics
 from screenmeld.session import stage, stage_if_large
 
@@ -77,14 +78,18 @@ def grid_metrics(poses: DataFrame, scores: Sequence[str], grid: Sequence[GridPoi
                  prof: C.Profile | None = None, ties: str = "min") -> DataFrame:
     """AUC, EF1, EF5 and AUPRC per (target, gid).
 
-    Decoys are counted between actives where a target has few of these; otherwise the ligands of every
-    grid point are ordered.
+    Decoys are counted between actives where a target has few of these. Otherwise a task evaluates one
+    sigma on the listed ranks of a target, or, beyond what it can hold, the ligands of every grid point are ordered.
     """
     prof = prof or C.profile(poses, scores)
-    if most_actives(poses) <= MOST_ACTIVES:
+    few = most_actives(poses) <= MOST_ACTIVES
+    if few or prof.rows.largest <= MOST_POSES:
         ranked = C.rank_scores(poses, scores, ties, rows=prof.rows)
         ranked = prof.attach(ranked, prof.table.select("target", F.col("n").alias("_n")), ["target"])
-        return counted_metrics(ranked, [score(k).rank_column for k in scores], grid)
+        names = [score(k).rank_column for k in scores]
+        if few:
+            return counted_metrics(ranked, names, grid)
+        return listed_metrics(ranked, names, grid, prof.rows.total, prof.table.count())
     bound = prof.rows.times(len(grid))
     ligands = grid_ligands(poses, scores, grid, prof, ties)
     ligands = stage_if_large(ligands, prof.rows.largest, "grid")

@@ -45,6 +45,26 @@ def test_counting_equals_ordering(spark, poses, size, monkeypatch):
             assert got[k][c] == (r[c] if r[c] is None else pytest.approx(r[c], abs=1e-12)), (k, c)
 
 
+@pytest.mark.parametrize("size", [3, 8192])
+def test_lists_of_ranks_equal_ordering(spark, poses, size, monkeypatch):
+    monkeypatch.setattr(N, "LIGANDS_AT_ONCE", size)
+    monkeypatch.setattr(S, "MOST_ACTIVES", -1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # ligands lie in several batches
+    used = []
+    monkeypatch.setattr(S, "listed_metrics", lambda *a: used.append(1) or N.listed_metrics(*a))
+    try:
+        table = lambda: {(r.target, r.gid): r for r in S.grid_metrics(poses, SCORES, GRID).collect()}
+        got = table()
+        monkeypatch.setattr(S, "MOST_POSES", -1)
+        want = table()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert used == [1] and got.keys() == want.keys() and len(got) == 4 * len(GRID)
+    for k, r in want.items():
+        for c in ("auc", "auprc", "ef1", "ef5"):
+            assert got[k][c] == (r[c] if r[c] is None else pytest.approx(r[c], abs=1e-12)), (k, c)
+
+
 def test_dropped_poses_are_never_best():
     rng = np.random.default_rng(1)
     for _ in range(50):
