@@ -125,3 +125,15 @@ def test_both_paths_agree_on_odd_keys(spark, key):
         finally:
             spark.conf.unset("spark.screenmeld.rowsPerTask")
     assert got["1000"] == got["25"]
+
+
+def test_ranks_follow_from_places_unless_a_key_fills_ranges(spark, tiny_tasks, monkeypatch):
+    from screenmeld.operators import ordering as O
+    used = []
+    monkeypatch.setattr(O, "_ranked_in_place", lambda *a, run=O._ranked_in_place: used.append(a[4]) or run(*a))
+    monkeypatch.setattr(O, "_range_number", lambda *a: pytest.fail("keys were searched row by row"))
+    df = spark.range(900).selectExpr("if(id % 3 = 0, 'hot', concat('g', id % 50)) AS grp", "id", "double(id * 7 % 300) AS v")
+    for method, fn, order in (("first", F.row_number, ["v", "id"]), ("min", F.rank, ["v"])):
+        want = df.withColumn("r", fn().over(Window.partitionBy("grp").orderBy(*order)))
+        assert by_id(rank_rows(df, ["grp"], order, "r", method), "r") == by_id(want, "r")
+    assert used == ["first", "min"]
