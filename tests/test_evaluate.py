@@ -253,3 +253,49 @@ def test_cross_validation_needs_three_targets(spark):
                                                         "score_vina double")
     with pytest.raises(ValueError):
         S.cross_validation(df, ["vina"], parameter_grid(["vina"], (4,), 0.5))
+
+
+@pytest.mark.parametrize("head", ["42|AF|0|7|", "x" * 50, "y" * 63, "z" * 130])
+def test_hashes_of_arrays_are_md5(head):
+    from hashlib import md5
+    for first in (0, 95, 123_450):
+        slots = range(first, first + 5)
+        for length in {len(str(k)) for k in slots}:
+            names = [str(k) for k in slots if len(str(k)) == length]
+            digits = np.array([list(n.encode()) for n in names], np.uint8).T
+            assert B._hashes(head.encode(), digits).tolist() == [
+                int(md5((head + n).encode()).hexdigest()[:8], 16) for n in names]
+
+
+def test_listed_bootstrap_equals_shuffled_draws(spark, monkeypatch):
+    rng = random.Random(8)
+    ligands = [(t, f"l{k}", int(rng.random() < share)) for t, n, share in (("hot", 150, .2), ("few", 3, .5), ("none", 9, 0))
+               for k in range(n)]
+    long = spark.createDataFrame([(t, s, x, a, float(rng.randint(-4, 4))) for t, x, a in ligands for s in ("u", "v")
+                                  if rng.random() < 0.9], "target string, score string, ligand string, active int, key double")
+    table = spark.createDataFrame(ligands, "target string, ligand string, active int")
+    monkeypatch.setattr(B, "ROWS_PER_RANGE", 30)  # equal keys lie in several ranges and batches
+    monkeypatch.setattr(B, "BLOCK", 64)
+    monkeypatch.setattr(B, "HASHES_AT_ONCE", 16)
+    monkeypatch.setattr(B, "REPLICATES_PER_TASK", 5)
+
+    def runs():
+        found = {"weights": B.bootstrap_weights(table, 12), "metrics": B.bootstrap_metrics(long, table, 12, scores=2),
+                 **{k: B.bootstrap_band(long, table, k, 12, scores=2) for k in ("roc", "pr")}}
+        return {k: (df.columns, sorted(map(tuple, df.collect()), key=str)) for k, df in found.items()}
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "11")
+    try:
+        got = runs()
+        monkeypatch.setattr(B, "MOST_LIGANDS", -1)
+        want = runs()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for name, (columns, rows) in want.items():
+        assert sorted(got[name][0]) == sorted(columns) and len(got[name][1]) == len(rows) > 0, name
+        by = [c for c in columns if c in ("target", "score", "ligand", "replicate", "i")]
+        as_map = lambda cols, rows: {tuple(dict(zip(cols, r))[c] for c in by): dict(zip(cols, r)) for r in rows}
+        mine, theirs = as_map(*got[name]), as_map(columns, rows)
+        assert mine.keys() == theirs.keys()
+        for k, row in theirs.items():
+            assert mine[k] == pytest.approx(row, abs=1e-9), (name, k)
