@@ -276,6 +276,7 @@ def test_listed_bootstrap_equals_shuffled_draws(spark, monkeypatch):
     table = spark.createDataFrame(ligands, "target string, ligand string, active int")
     monkeypatch.setattr(B, "ROWS_PER_RANGE", 30)  # equal keys lie in several ranges and batches
     monkeypatch.setattr(B, "BLOCK", 64)
+    monkeypatch.setattr(B, "NAMES_PER_BLOCK", 40)
     monkeypatch.setattr(B, "HASHES_AT_ONCE", 16)
     monkeypatch.setattr(B, "REPLICATES_PER_TASK", 5)
 
