@@ -137,3 +137,30 @@ def test_ranks_follow_from_places_unless_a_key_fills_ranges(spark, tiny_tasks, m
         want = df.withColumn("r", fn().over(Window.partitionBy("grp").orderBy(*order)))
         assert by_id(rank_rows(df, ["grp"], order, "r", method), "r") == by_id(want, "r")
     assert used == ["first", "min"]
+
+
+@pytest.mark.parametrize("method, fn", [("min", F.rank), ("first", F.row_number)])
+def test_cells_rank_without_writing_rows(spark, tiny_tasks, monkeypatch, method, fn):
+    """NULL keys have no rank, other special values their place, and only counts are written."""
+    from screenmeld.operators import ordering
+
+    rng = random.Random(5)
+    special = [None, float("nan"), float("inf"), float("-inf"), 0.0, -0.0]
+    rows = [("hot" if i % 3 else None, i, special[i % 6] if i % 11 == 0 else rng.gauss(0, 5) ** 3) for i in range(600)]
+    df = spark.createDataFrame(rows, "grp string, id long, v double").cache()
+    names = []
+    monkeypatch.setattr(ordering, "ROWS_PER_CELL", 2)
+    monkeypatch.setattr(ordering, "stage", lambda d, name="stage": names.append(name) or d.cache())
+    spark.conf.set("spark.screenmeld.rowsPerTask", "200")
+    order = ["v"] if method == "min" else ["v", "id"]
+    over = Window.partitionBy("grp").orderBy(F.col("v").asc_nulls_last(), *order[1:])
+    want = df.withColumn("r", F.when(F.col("v").isNotNull(), fn().over(over).cast("long")))
+    got = rank_rows(df, ["grp"], order, "r", method, source=df, unranked=True)
+    assert by_id(got, "r") == by_id(want, "r")
+    assert names == ["spans", "starts"]
+
+
+def test_hashes_bound_the_largest_group(spark, tiny_tasks):
+    df = spark.range(300).select((F.col("id") % 60).alias("g"))
+    assert 5 <= measured(df, ["g"], 300).largest <= 25
+    assert measured(spark.range(300).select(F.lit(1).alias("g")), ["g"], 300).largest == 300
