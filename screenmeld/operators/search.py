@@ -87,6 +87,8 @@ def grid_metrics(poses: DataFrame, scores: Sequence[str], grid: Sequence[GridPoi
         ranked = C.rank_scores(poses, scores, ties, rows=prof.rows)
         ranked = prof.attach(ranked, prof.table.select("target", F.col("n").alias("_n")), ["target"])
         names = [score(k).rank_column for k in scores]
+        # read more than once below
+        ranked = stage_if_large(ranked.select("target", "ligand", "active", "_n", *names), prof.rows.largest, "ranked")
         if few:
             return counted_metrics(ranked, names, grid)
         return listed_metrics(ranked, names, grid, prof.rows.total, prof.table.count())
