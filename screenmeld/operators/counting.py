@@ -10,8 +10,8 @@ A slice holds at least four poses of decoys for each of actives, so actives are
 there are poses. Poses that can't be the best of their ligand under any weights and sigma (another one has no worse rank
 in all functions) are dropped before the shuffle where a ligand has many.
 
-Lists of many actives make the counts long. Targets of up to ``MOST_POSES`` poses are then evaluated one sigma per task
-(:func:`listed_metrics`): the ranks of a target, four bytes each in order of ligands, go to a task per sigma, which orders
+Lists of many actives make the counts long. Targets of up to ``MOST_POSES`` poses are then evaluated some sigmas per task
+(:func:`listed_metrics`): the ranks of a target, four bytes each in order of ligands, go to a few tasks that share its sigmas. Each orders
 the decoys' values of one grid point after the other and looks the actives up in them. Nothing is shuffled per grid point.
 """
 
@@ -36,10 +36,13 @@ MOST_ACTIVES = 10_000
 POSES_PER_SLICE = 50_000
 #: Poses of a ligand in one batch up to which all are kept.
 FEW_POSES = 16
-#: Most poses of a target whose ranks one task may hold for a sigma, at 40 bytes each.
+#: Most poses of a target whose ranks one task may hold for a sigma, at 52 bytes each.
 MOST_POSES = 50_000_000
 POSES_PER_RANGE = 1_000_000
 MOST_TASKS = 2000
+TASKS_PER_CORE = 3
+#: Poses whose terms are made together.
+POSES_AT_ONCE = 1 << 20
 #: Ligands evaluated together, so that their terms stay in the processor's cache.
 LIGANDS_AT_ONCE = 8192
 DIGITS = 12  # consensus sums that are equal on paper must tie
@@ -227,28 +230,33 @@ def _hits(mine: np.ndarray, others: np.ndarray, key: np.ndarray, active: np.ndar
 
 
 def _listed(points: Sequence[tuple], k: int, fractions: Sequence[float]):
-    """Function from the packed poses of a target to its metrics at the grid points of one sigma."""
+    """Function from the packed poses of a target to its metrics at the grid points of some sigmas."""
     names = ["auc", "auprc", *(ef_name(f) for f in fractions)]
 
     def run(table: pa.Table) -> pa.Table:
-        target, n, sigma = (table.column(c)[0].as_py() for c in ("target", "_n", "sigma"))
+        target, n, sigmas = (table.column(c)[0].as_py() for c in ("target", "_n", "sigmas"))
         table = table.select(["_part", "number", "poses", "rows"]).sort_by([("_part", "ascending"), ("number", "ascending")])
         size = table.column("poses").to_numpy()
         at = np.concatenate([[0], np.cumsum(size)])
-        terms, starts, active = np.empty((k, at[-1])), np.empty(at[-1], bool), np.empty(at[-1], bool)
+        held, starts, active = np.empty((k, at[-1]), "<i4"), np.empty(at[-1], bool), np.empty(at[-1], bool)
         for i, packed in enumerate(table.column("rows")):
             raw, m, here = packed.as_buffer(), int(size[i]), slice(at[i], at[i + 1])
-            ranks = np.frombuffer(raw, "<i4", k * m).reshape(k, m)
-            terms[:, here] = np.where(ranks > 0, np.exp(-ranks / max(n / float(sigma), 1.0)), 0.0)
+            held[:, here] = np.frombuffer(raw, "<i4", k * m).reshape(k, m)
             starts[here], active[here] = np.frombuffer(raw, bool, 2 * m, 4 * k * m).reshape(2, m)
         starts = np.flatnonzero(starts)
         active = np.logical_or.reduceat(active, starts)
         edges = np.append(starts[::LIGANDS_AT_ONCE], at[-1])
         p, decoys = int(active.sum()), int((~active).sum())
         out = {"gid": [], **{c: [] for c in names}}
-        for gid, of, weights in points:
-            if of != sigma:
+        terms, sigma = np.empty((k, at[-1])), None
+        for gid, of, weights in sorted(points, key=lambda p: p[1]):
+            if of not in sigmas:
                 continue
+            if of != sigma:
+                sigma = of
+                for a in range(0, at[-1], POSES_AT_ONCE):
+                    ranks = held[:, a:a + POSES_AT_ONCE]
+                    terms[:, a:a + POSES_AT_ONCE] = np.where(ranks > 0, np.exp(-ranks / max(n / float(sigma), 1.0)), 0.0)
             key = np.empty(len(starts), np.int64)
             for i, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
                 total = np.zeros(b - a)
@@ -282,14 +290,19 @@ def listed_metrics(ranked: DataFrame, names: Sequence[str], grid: Sequence[GridP
     points = [(p.gid, p.sigma, p.weights) for p in grid]
     sigmas = sorted({p.sigma for p in grid})
     cores = ranked.sparkSession.sparkContext.defaultParallelism
+    listed = ranked.select("target", "ligand", "active", "_n", *names)
     # a ligand lies in one range, so the order of ranges and batches is that of ligands
-    sorted_by = (_thin(ranked, names).repartitionByRange(max(cores, ceil(poses / POSES_PER_RANGE)), "target", "ligand")
+    sorted_by = (listed.repartitionByRange(max(cores, ceil(poses / POSES_PER_RANGE)), "target", "ligand")
                  .sortWithinPartitions("target", "ligand").withColumn("_part", F.spark_partition_id()))
     packed = stage(sorted_by.mapInArrow(
         _packed(names), "target string, _n long, _part int, number int, poses int, rows binary"), "packed-ranks")
-    each = packed.withColumn("sigma", F.explode(F.array(*[F.lit(s) for s in sigmas])))
-    # a fixed number: the grid, not the bytes shuffled, decides the task count
-    tasks = max(cores, min(3 * targets * len(sigmas), MOST_TASKS))
-    return each.repartition(tasks, "target", "sigma").groupBy("target", "sigma").applyInArrow(
+    # a target's ranks go to as many tasks as keep the cores busy, not to one per sigma
+    parts = min(len(sigmas), max(1, ceil(TASKS_PER_CORE * cores / max(targets, 1))))
+    parts = ceil(len(sigmas) / ceil(len(sigmas) / parts))
+    each = packed.withColumn("sigmas", F.explode(F.array(*[
+        F.array(*[F.lit(s) for s in sigmas[i::parts]]) for i in range(parts)])))
+    # a fixed number: the grid, not the bytes shuffled, decides the task count; so many that few tasks get two lists
+    tasks = max(cores, min(64 * targets * parts, MOST_TASKS))
+    return each.repartition(tasks, "target", "sigmas").groupBy("target", "sigmas").applyInArrow(
         _listed(points, len(names), fractions), "target string, gid int, auc double, auprc double, "
         + ", ".join(f"{ef_name(f)} double" for f in fractions))

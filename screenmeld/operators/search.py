@@ -211,15 +211,15 @@ def single_score_baselines(poses: DataFrame, scores: Sequence[str], prof: C.Prof
         col = F.col(score(k).column)
         return -col if higher.get(k, False) else col + F.lit(0.0)
 
-    entries = F.array(*[F.struct(F.lit(score(k).label).alias("label"), keyed(k).alias("key"))
-                        for k in scores])
-    long = (poses.select("target", "ligand", "pose", "active", F.inline(entries))
-            .filter("key IS NOT NULL"))
-    kinds = long.select("*", F.explode(F.array(F.lit("(Best Pose)"), F.when(
-        F.col("pose") == 1, F.lit("(Pose 1)")))).alias("kind")).filter("kind IS NOT NULL")
-    best = (kinds.groupBy("target", "label", "kind", "ligand")
-            .agg(F.min("key").alias("key"), F.max("active").alias("active"))
-            .withColumn("method", F.concat_ws(" ", "label", "kind")))
+    # one aggregate per ligand, whose few values become rows behind it
+    kinds = {"(Best Pose)": F.lit(True), "(Pose 1)": F.col("pose") == 1}
+    each = [(f"{score(k).label} {kind}", F.when(chosen & keyed(k).isNotNull(), keyed(k)))
+            for k in scores for kind, chosen in kinds.items()]
+    wide = poses.groupBy("ligand", "target").agg(*[x for i, (_, key) in enumerate(each) for x in (
+        F.min(key).alias(f"_key{i}"), F.max(F.when(key.isNotNull(), F.col("active"))).alias(f"_active{i}"))])
+    best = wide.select("target", "ligand", F.inline(F.array(*[
+        F.struct(F.lit(name).alias("method"), F.col(f"_key{i}").alias("key"), F.col(f"_active{i}").alias("active"))
+        for i, (name, _) in enumerate(each)]))).filter("key IS NOT NULL")
     out = ranking_metrics(best.select("target", "method", "ligand", "active", "key"),
                           ("target", "method"), (0.01, 0.05), prof.rows.times(2 * len(scores)),
                           prof.bounded)

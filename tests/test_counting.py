@@ -78,3 +78,18 @@ def test_dropped_poses_are_never_best():
 
 def test_no_poses(spark, poses):
     assert S.grid_metrics(poses.limit(0), SCORES, GRID).count() == 0
+
+
+def test_a_target_goes_to_few_tasks(spark, poses, monkeypatch):
+    """Ranks are copied once per task that shares the sigmas of a target, not once per sigma."""
+    from screenmeld.operators import consensus as C
+
+    lists, listed = [], N._listed
+    monkeypatch.setattr(S, "MOST_ACTIVES", -1)
+    monkeypatch.setattr(N, "TASKS_PER_CORE", 0.1)
+    monkeypatch.setattr(N, "_listed", lambda *a: lists.append(a) or listed(*a))
+    got = S.grid_metrics(poses, SCORES, GRID)
+    sigmas = {p.sigma for p in GRID}
+    assert len(sigmas) > 1 and got.count() == C.profile(poses, SCORES).table.count() * len(GRID)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "sigmas" in plan and len(lists) == 1
