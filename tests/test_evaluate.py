@@ -300,3 +300,19 @@ def test_listed_bootstrap_equals_shuffled_draws(spark, monkeypatch):
         assert mine.keys() == theirs.keys()
         for k, row in theirs.items():
             assert mine[k] == pytest.approx(row, abs=1e-9), (name, k)
+
+
+def test_spearman_ranks_wide_groups_in_cells(spark, monkeypatch):
+    """Groups under the rows of a task, but over those of a range, aren't sorted whole in one task."""
+    from screenmeld.operators import correlate, ordering
+
+    monkeypatch.setattr(ordering, "ROWS_PER_RANGE", 50)
+    names = []
+    real = ordering.stage
+    monkeypatch.setattr(ordering, "stage", lambda d, name="stage": names.append(name) or real(d, name))
+    rows = [("t", "all", "a", "b", str(i), float(i * 7 % 90), float(i * i % 31)) for i in range(300)]
+    df = spark.createDataFrame(rows, "target string, subset string, score_x string, score_y string, ligand string, x double, y double")
+    got = correlate.spearman(df).first()
+    pdf = df.select("x", "y").toPandas()
+    assert got["spearman"] == pytest.approx(pdf["x"].rank().corr(pdf["y"].rank()), abs=1e-12)
+    assert names == ["pairs", "spans", "starts", "spans", "starts"]
