@@ -9,7 +9,7 @@ from screenmeld.functions import names as N
 from screenmeld.functions import numbers as X
 from screenmeld.functions import stats as ST
 from screenmeld.operators import clustering as K
-from screenmeld.operators.ordering import fill_down, rank_rows
+from screenmeld.operators.ordering import fill_down, measured, rank_rows
 from screenmeld.plans.fixtures import POSES, poses, row_count, table
 from screenmeld.plans.registry import query
 from screenmeld.sources import inventory as I
@@ -441,7 +441,7 @@ def scorer_lines(spark, sf):
     placed = rank_rows(base, ["path"], ["l_orderkey", "l_linenumber", "l_suppkey", "l_partkey",
                                         "l_extendedprice", "l_quantity", "l_discount", "l_tax",
                                         "ship"],
-                       "at", "first", row_count(spark, sf, "lineitem"))
+                       "at", "first", measured(base, ["path"], row_count(spark, sf, "lineitem")))
     cents = F.round(F.col("l_discount") * 100).cast("int").cast("string")
     entries = F.array(
         F.concat(F.lit("  Affinity: -"), F.col("l_quantity").cast("int").cast("string"),

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from screenmeld.operators.ordering import Rows, cumulate, fill_down
+from screenmeld.operators.ordering import MOST_STARTS, Rows, bound_of, cumulate, fill_down, join_groups
+from screenmeld.session import rows_per_task, stage
+from screenmeld.sources.records import PIECE, pieces
 
 # Line patterns of run logs and scorer output.
 TARGET_LINE = r"===\s+TARGET\s+\d+/\d+:\s+(\S+)\s+==="
@@ -37,6 +39,24 @@ def completed_from_log(rows: DataFrame, bound: Rows = None) -> DataFrame:
         "path", "target", "ligand", "l.energy")
 
 
+def _running_count(lines: DataFrame, hit: Column, name: str, bound: Rows) -> DataFrame:
+    """Add the number of lines up to each that ``hit``, per path.
+
+    Files beyond a task are counted piece by piece, and the counts of earlier pieces are added from a small table.
+    """
+    bound = bound_of(lines, bound)
+    if bound.largest <= rows_per_task(lines.sparkSession):
+        return cumulate(lines, ["path"], ["block", "seq"], {name: hit.cast("int")}, bound)
+    kept = lines.columns
+    placed = pieces(stage(lines, "lines")).withColumn("_hit", hit.cast("long"))
+    earlier = Window.partitionBy("path").orderBy("block", "piece").rowsBetween(Window.unboundedPreceding, -1)
+    counts = stage(placed.groupBy(*PIECE).agg(F.sum("_hit").alias("_hits")).select(
+        *PIECE, F.coalesce(F.sum("_hits").over(earlier), F.lit(0)).alias("_before")), "pieces")
+    joined = join_groups(placed, F.broadcast(counts) if counts.count() <= MOST_STARTS else counts, PIECE)
+    along = Window.partitionBy("piece", "block", "path").orderBy("seq")
+    return joined.select(*kept, (F.col("_before") + F.sum("_hit").over(along)).alias(name))
+
+
 def scorer_poses(rows: DataFrame, bound: Rows = None) -> DataFrame:
     """(path, pose, affinity, cnnscore, cnnaffinity): the n-th affinity line is pose n.
 
@@ -45,7 +65,7 @@ def scorer_poses(rows: DataFrame, bound: Rows = None) -> DataFrame:
     text = rows.withColumn("value", F.btrim("value", F.lit(" \t\r")))
     value = F.col("value")
     opens = value.startswith("Affinity:")
-    numbered = cumulate(text, ["path"], ["block", "seq"], {"pose": opens.cast("int")}, bound)
+    numbered = _running_count(text, opens, "pose", bound)
     rest = F.btrim(F.regexp_extract(value, r"^\w+:(.*)$", 1))
     order = F.struct("block", "seq")
 
@@ -53,7 +73,7 @@ def scorer_poses(rows: DataFrame, bound: Rows = None) -> DataFrame:
         hit = value.startswith(prefix) & number.isNotNull()
         return F.max_by(F.when(hit, number), F.when(hit, order))
 
-    part = numbered.filter("pose > 0").groupBy("path", "pose").agg(
+    part = numbered.filter("pose > 0").groupBy("pose", "path").agg(
         last("Affinity:", F.element_at(F.split(rest, r"\s+"), 1).try_cast("double"))
         .alias("affinity"),
         last("CNNscore:", rest.try_cast("double")).alias("_s"),

@@ -16,7 +16,7 @@ PIECE_BITS = 17
 PIECE = ["path", "block", "piece"]
 
 
-def _pieces(data: DataFrame) -> DataFrame:
+def pieces(data: DataFrame) -> DataFrame:
     return data.withColumn("piece", F.shiftright("seq", PIECE_BITS))
 
 
@@ -27,7 +27,7 @@ def first_lines(data: DataFrame) -> DataFrame:
 
 def with_file(data: DataFrame, files: DataFrame) -> DataFrame:
     """Lines (path, block, seq, …) with the columns of their file; files without a row drop."""
-    placed = _pieces(data)
+    placed = pieces(data)
     each = placed.select(*PIECE).distinct().join(files, "path")
     return placed.join(each, PIECE).drop("piece")
 
@@ -58,7 +58,7 @@ def join_records(lines: DataFrame, separator: str, known: tuple[str, ...], keep:
     sep = F.col(separator)
     outside, inside = opens_quote(F.col("value"), sep, known), opens_quote(F.concat(F.lit('"'), "value"), sep, known)
     plain = ~F.contains("value", F.lit('"'))
-    steps = _pieces(lines).withColumn("_o", F.when(plain, False).otherwise(outside)).withColumn(
+    steps = pieces(lines).withColumn("_o", F.when(plain, False).otherwise(outside)).withColumn(
         "_i", F.when(plain, True).otherwise(inside))
     along = Window.partitionBy(*PIECE).orderBy("seq")
     upto = along.rowsBetween(Window.unboundedPreceding, 0)

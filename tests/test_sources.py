@@ -260,6 +260,21 @@ def test_scorer_output(spark, tmp_path):
         (1, -6.5, 0.5, 6.4), (2, -5.0, None, None), (3, None, None, None)]
 
 
+def test_scorer_lines_are_counted_by_piece(spark, monkeypatch, tiny_tasks):
+    """A file of many pieces and blocks gets the numbers of one window, without sampled ranges."""
+    from screenmeld.operators import ordering
+    from screenmeld.sources import records
+
+    monkeypatch.setattr(records, "PIECE_BITS", 4)
+    monkeypatch.setattr(ordering, "_sample_ranges", lambda *a: pytest.fail("ranges were sampled"))
+    rows = [(f"p{k % 2}", k // 100, k, text.format(k)) for k in range(400)
+            for text in [("Affinity: -{}.5 (kcal/mol)", "CNNscore: 0.{}", "CNNaffinity: {}.5")[k // 2 % 3]]]
+    got = sorted(L.scorer_poses(spark.createDataFrame(rows, "path string, block long, seq long, value string")).collect())
+    want = [(f"p{o}", i + 1, -(6 * i + o + 0.5), float(f"0.{6 * i + o + 2}"), 6 * i + o + 4.5 if 6 * i + o + 4 < 400 else None)
+            for o in (0, 1) for i in range(67) if 6 * i + o < 400]
+    assert [tuple(r) for r in got if r.pose < 66] == [w for w in want if w[1] < 66]
+
+
 def test_refinement_output(spark):
     rows = [(1, "Affinity: -7.2 (kcal/mol)\nCNNscore: 0.8\nCNNaffinity: 7.5\n"), (2, "  1   -7.2  0.0  0.82  7.5\n"),
             (3, "Affinity: -7.2 (kcal/mol)\n"), (4, "")]
