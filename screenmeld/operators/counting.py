@@ -11,8 +11,8 @@ there are poses. Poses that can't be the best of their ligand under any weights
 in all functions) are dropped before the shuffle where a ligand has many.
 
 Lists of many actives make the counts long. Targets of up to ``MOST_POSES`` poses are then evaluated some sigmas per task
-(:func:`listed_metrics`): the ranks of a target, four bytes each in order of ligands, go to a few tasks that share its sigmas. Each orders
-the decoys' values of one grid point after the other and looks the actives up in them. Nothing is shuffled per grid point.
+(:func:`listed_metrics`): the ranks of a target, four bytes each in order of ligands and without poses that can't be the best of
+their ligand, go to a few tasks that share its sigmas. Each orders the decoys' values of one grid point after the other and looks the actives up in them. Nothing is shuffled per grid point.
 """
 
 from __future__ import annotations
@@ -43,6 +43,10 @@ MOST_TASKS = 2000
 TASKS_PER_CORE = 3
 #: Poses whose terms are made together.
 POSES_AT_ONCE = 1 << 20
+#: Poses of a ligand on either side of a pose that it is compared with.
+NEIGHBOURS = 32
+#: Poses of a ligand that lie in layers.
+MOST_LAYERS = 32
 #: Ligands evaluated together, so that their terms stay in the processor's cache.
 LIGANDS_AT_ONCE = 8192
 DIGITS = 12  # consensus sums that are equal on paper must tie
@@ -193,42 +197,112 @@ def counted_metrics(ranked: DataFrame, names: Sequence[str], grid: Sequence[Grid
         + ", ".join(f"{ef_name(f)} double" for f in fractions))
 
 
+def _may_be_best(ranks: np.ndarray, ligand: np.ndarray) -> np.ndarray:
+    """Whether a pose may be the best of its ligand: none of its neighbours there has no worse rank in all functions.
+
+    The poses of a ligand lie together. Each is compared with the ``NEIGHBOURS`` next to it on both sides; of equal ones the first stays.
+    """
+    kept = np.ones(len(ligand), bool)
+    for step in range(1, min(NEIGHBOURS, len(ligand) - 1) + 1):
+        one = np.flatnonzero(ligand[step:] == ligand[:-step])
+        if not len(one):
+            break
+        a, b = ranks[:, one], ranks[:, one + step]
+        first = (a <= b).all(axis=0)
+        kept[(one + step)[first]] = False
+        kept[one[~first & (b <= a).all(axis=0)]] = False
+    return kept
+
+
 def _packed(names: Sequence[str]):
-    """Function from poses in order of (target, ligand) to a row per batch and target: ranks, ligands' first poses, actives."""
+    """Function from poses in order of ligands to a row per batch and target: ranks, ligands' first poses, actives.
+
+    Only poses that may be the best of their ligand are packed. The targets of a batch may be mixed.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, number = None, 0
+        before, number = {}, 0
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            target, ligand = (batch.column(c).dictionary_encode() for c in ("target", "ligand"))
-            codes = np.stack([x.indices.to_numpy() for x in (target, ligand)])
-            starts = np.append(True, (codes[:, 1:] != codes[:, :-1]).any(axis=0))
-            ends = [(batch.column("target")[k].as_py(), batch.column("ligand")[k].as_py()) for k in (0, -1)]
-            starts[0] = ends[0] != before
-            before = ends[1]
-            ranks = _ranks(batch, names)
-            ranks = np.where(np.isinf(ranks), 0, ranks).astype("<i4")
+            targets, ligands = (batch.column(c).dictionary_encode() for c in ("target", "ligand"))
+            of, code = (x.indices.fill_null(-1).to_numpy() for x in (targets, ligands))
+            ranks = np.ascontiguousarray(_ranks(batch, names).T)
             active = batch.column("active").to_numpy(zero_copy_only=False) == 1
-            edges = np.concatenate([[0], np.flatnonzero(codes[0, 1:] != codes[0, :-1]) + 1, [batch.num_rows]])
-            for a, b in zip(edges[:-1], edges[1:]):
-                rows = np.ascontiguousarray(ranks[a:b].T).tobytes() + starts[a:b].tobytes() + active[a:b].tobytes()
+            for t in np.unique(of):
+                rows = np.flatnonzero(of == t)
+                first = np.append(True, code[rows][1:] != code[rows][:-1])
+                begins = np.ones(int(first.sum()), bool)
+                target, last = batch.column("target")[rows[0]].as_py(), batch.column("ligand")[rows[-1]].as_py()
+                # a ligand may go on from the batch before
+                begins[0] = target not in before or before[target] != batch.column("ligand")[rows[0]].as_py()
+                before[target] = last
+                ligand = np.cumsum(first) - 1
+                kept = np.flatnonzero(_may_be_best(ranks[:, rows], ligand))
+                own = np.logical_or.reduceat(active[rows], np.flatnonzero(first))  # a ligand's, whichever pose stays
+                ligand = ligand[kept]
+                starts = np.append(True, ligand[1:] != ligand[:-1]) & begins[ligand]
+                held = ranks[:, rows[kept]]
+                held = np.where(np.isinf(held), 0, held).astype("<i4")
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([batch.column("target")[a].as_py()], pa.string()), pa.array([batch.column("_n")[a].as_py()], pa.int64()),
-                     pa.array([batch.column("_part")[a].as_py()], pa.int32()), pa.array([number], pa.int32()),
-                     pa.array([b - a], pa.int32()), pa.array([rows], pa.binary())],
+                    [pa.array([target], pa.string()), pa.array([batch.column("_n")[rows[0]].as_py()], pa.int64()),
+                     pa.array([batch.column("_part")[rows[0]].as_py()], pa.int32()), pa.array([number], pa.int32()),
+                     pa.array([len(kept)], pa.int32()),
+                     pa.array([held.tobytes() + starts.tobytes() + own[ligand].tobytes()], pa.binary())],
                     ["target", "_n", "_part", "number", "poses", "rows"])
                 number += 1
     return run
 
 
-def _hits(mine: np.ndarray, others: np.ndarray, key: np.ndarray, active: np.ndarray, first: int) -> int:
-    """Actives among the ``first`` keys of all; equal keys count in order of ligands."""
+def _hits(mine: np.ndarray, others: np.ndarray, key: np.ndarray, active: np.ndarray, order: np.ndarray, first: int) -> int:
+    """Actives among the ``first`` keys of all; equal keys count by ``order``, the places of their ligands by name."""
     last = np.sort(np.concatenate([mine[:first], others[:first]]))[first - 1]
     better = np.searchsorted(mine, last)
-    tied = np.flatnonzero(key == last)[:first - better - np.searchsorted(others, last)]
+    tied = np.flatnonzero(key == last)
+    tied = tied[np.argsort(order[tied])][:first - better - np.searchsorted(others, last)]
     return int(better + active[tied].sum())
 
 
+class _Layers:
+    """Poses in layers: the first ones of all ligands, the second ones, and so on, ligands with most poses first.
+
+    The best of a ligand is then an elementwise maximum of layers. What ligands have beyond ``MOST_LAYERS`` poses follows ligand by ligand.
+    """
+
+    def __init__(self, starts: np.ndarray, poses: int) -> None:
+        count = np.diff(np.append(starts, poses))
+        #: The ligands in the order of the layers.
+        self.order = np.argsort(-count, kind="stable")
+        count, starts = count[self.order], starts[self.order]
+        above = lambda j: int(np.searchsorted(-count, -j))
+        self.sizes = [above(j) for j in range(min(int(count[0]), MOST_LAYERS))]
+        self.at = np.concatenate([[0], np.cumsum(self.sizes)])
+        more = above(MOST_LAYERS)
+        self.rest = np.cumsum(count[:more] - MOST_LAYERS) - (count[:more] - MOST_LAYERS)
+        tail = [np.arange(s + MOST_LAYERS, s + c) for s, c in zip(starts[:more], count[:more])]
+        #: The poses in layers.
+        self.poses = np.concatenate([starts[:k] + j for j, k in enumerate(self.sizes)] + tail)
+
+    def best(self, weights: Sequence[float], terms: np.ndarray) -> np.ndarray:
+        """Largest weighted sum of ``terms``, whose columns are in layers, per ligand in their order."""
+        def total(a: int, b: int | None) -> np.ndarray:
+            found = np.zeros(terms[0, a:b].shape)
+            for w, term in zip(weights, terms):
+                if w:
+                    found += w * term[a:b]
+            return found
+
+        out = np.empty(len(self.order))
+        for a in range(0, len(out), LIGANDS_AT_ONCE):
+            out[a:a + LIGANDS_AT_ONCE] = total(a, min(a + LIGANDS_AT_ONCE, len(out)))
+            for at, size in zip(self.at[1:], self.sizes[1:]):
+                if size <= a:
+                    break
+                here = out[a:min(a + LIGANDS_AT_ONCE, size)]
+                np.maximum(here, total(at + a, at + a + len(here)), out=here)
+        if len(self.rest):
+            more = out[:len(self.rest)]
+            np.maximum(more, np.maximum.reduceat(total(self.at[-1], None), self.rest), out=more)
+        return out
+
+
 def _listed(points: Sequence[tuple], k: int, fractions: Sequence[float]):
     """Function from the packed poses of a target to its metrics at the grid points of some sigmas."""
     names = ["auc", "auprc", *(ef_name(f) for f in fractions)]
@@ -245,7 +319,10 @@ def _listed(points: Sequence[tuple], k: int, fractions: Sequence[float]):
             starts[here], active[here] = np.frombuffer(raw, bool, 2 * m, 4 * k * m).reshape(2, m)
         starts = np.flatnonzero(starts)
         active = np.logical_or.reduceat(active, starts)
-        edges = np.append(starts[::LIGANDS_AT_ONCE], at[-1])
+        layers = _Layers(starts, at[-1])
+        for i in range(k):
+            held[i] = held[i][layers.poses]
+        order, active, layers.poses = layers.order, active[layers.order], None
         p, decoys = int(active.sum()), int((~active).sum())
         out = {"gid": [], **{c: [] for c in names}}
         terms, sigma = np.empty((k, at[-1])), None
@@ -257,14 +334,7 @@ def _listed(points: Sequence[tuple], k: int, fractions: Sequence[float]):
                 for a in range(0, at[-1], POSES_AT_ONCE):
                     ranks = held[:, a:a + POSES_AT_ONCE]
                     terms[:, a:a + POSES_AT_ONCE] = np.where(ranks > 0, np.exp(-ranks / max(n / float(sigma), 1.0)), 0.0)
-            key = np.empty(len(starts), np.int64)
-            for i, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
-                total = np.zeros(b - a)
-                for w, term in zip(weights, terms):
-                    if w:
-                        total += w * term[a:b]
-                here = slice(i * LIGANDS_AT_ONCE, (i + 1) * LIGANDS_AT_ONCE)
-                key[here] = -np.floor(np.maximum.reduceat(total, starts[here] - a) * 10.0 ** DIGITS + 0.5).astype(np.int64)
+            key = -np.floor(layers.best(weights, terms) * 10.0 ** DIGITS + 0.5).astype(np.int64)
             mine, others = np.sort(key[active]), np.sort(key[~active])
             row = dict.fromkeys(names)
             if p:
@@ -275,7 +345,8 @@ def _listed(points: Sequence[tuple], k: int, fractions: Sequence[float]):
                     row["auc"] = float((2.0 * (decoys - upto) + (upto - better)).sum() / (2.0 * p * decoys))
                     row["auprc"] = float((number / (number + upto)).sum() / p)
                 for f in fractions:
-                    row[ef_name(f)] = float(_hits(mine, others, key, active, max(1, int(np.ceil((p + decoys) * f))))) / (p * f)
+                    first = max(1, int(np.ceil((p + decoys) * f)))
+                    row[ef_name(f)] = float(_hits(mine, others, key, active, order, first)) / (p * f)
             out["gid"].append(gid)
             for c in names:
                 out[c].append(row[c])
@@ -291,9 +362,10 @@ def listed_metrics(ranked: DataFrame, names: Sequence[str], grid: Sequence[GridP
     sigmas = sorted({p.sigma for p in grid})
     cores = ranked.sparkSession.sparkContext.defaultParallelism
     listed = ranked.select("target", "ligand", "active", "_n", *names)
-    # a ligand lies in one range, so the order of ranges and batches is that of ligands
+    # a ligand lies in one range, so the order of ranges and batches is that of a target's ligands; sorted by names first,
+    # as rows of one target differ there
     sorted_by = (listed.repartitionByRange(max(cores, ceil(poses / POSES_PER_RANGE)), "target", "ligand")
-                 .sortWithinPartitions("target", "ligand").withColumn("_part", F.spark_partition_id()))
+                 .sortWithinPartitions("ligand", "target").withColumn("_part", F.spark_partition_id()))
     packed = stage(sorted_by.mapInArrow(
         _packed(names), "target string, _n long, _part int, number int, poses int, rows binary"), "packed-ranks")
     # a target's ranks go to as many tasks as keep the cores busy, not to one per sigma

@@ -43,8 +43,12 @@ def grid_ligands(poses: DataFrame, scores: Sequence[str], grid: Sequence[GridPoi
     prof = prof or C.profile(poses, scores)
     ranked = C.rank_scores(poses, scores, ties, rows=prof.rows, higher_is_better=higher_is_better)
     ranked = prof.attach(ranked, prof.table.select("target", F.col("n").alias("_n")), ["target"])
-    most = poses.agg(F.max("pose")).first()[0] or 0
-    part = F.floor(F.col("pose") / POSES_PER_SLICE).cast("int")
+    if "pose" in poses.columns:
+        most = poses.agg(F.max("pose")).first()[0] or 0
+        part = F.floor(F.col("pose") / POSES_PER_SLICE).cast("int")
+    else:  # without numbers any deal of a ligand's poses will do
+        most = POSES_PER_SLICE
+        part = F.pmod(F.xxhash64(*[score(k).rank_column for k in scores]), F.lit(POSES_PER_SLICE)).cast("int")
     # a fixed number: the exploded size, not the shuffled one, decides the task count
     tasks = max(poses.sparkSession.sparkContext.defaultParallelism,
                 ceil(prof.rows.total * len(grid) / EVALUATIONS_PER_TASK))

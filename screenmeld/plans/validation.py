@@ -104,11 +104,11 @@ METRICS_6 = "round(auc, 6) AS auc, round(ef1, 6) AS ef1, round(ef5, 6) AS ef5, r
 
 @query("grid_metrics", GM + f"SELECT target, gid, {METRICS_6} FROM gm")
 def grid_metrics(spark, sf):
-    return rounded(S.grid_metrics(poses(spark, sf), SCORES, GRID), *S.METRICS, digits=6)
+    return rounded(S.grid_metrics(poses(spark, sf, numbered=False), SCORES, GRID), *S.METRICS, digits=6)
 
 
 def _searched(spark, sf):
-    metrics = S.staged_grid_metrics(poses(spark, sf), SCORES, GRID)
+    metrics = S.staged_grid_metrics(poses(spark, sf, numbered=False), SCORES, GRID)
     return metrics, S.grid_table(metrics, SCORES, GRID)
 
 

@@ -93,3 +93,52 @@ def test_a_target_goes_to_few_tasks(spark, poses, monkeypatch):
     assert len(sigmas) > 1 and got.count() == C.profile(poses, SCORES).table.count() * len(GRID)
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "sigmas" in plan and len(lists) == 1
+
+
+def test_neighbours_drop_only_what_is_never_best():
+    rng = np.random.default_rng(2)
+    ligand = np.sort(rng.integers(0, 60, 900))
+    ranks = rng.integers(1, 9, (3, len(ligand))).astype(float)
+    ranks[rng.random(ranks.shape) < 0.2] = np.inf
+    kept, terms = N._may_be_best(ranks, ligand), np.exp(-ranks / 5)
+    assert kept.sum() < len(ligand) / 2
+    starts = lambda x: np.append(0, np.flatnonzero(x[1:] != x[:-1]) + 1)
+    for w in [*rng.dirichlet([1, 1, 1], 30), np.array([0.0, 1.0, 0.0])]:
+        want = np.maximum.reduceat(w @ terms, starts(ligand))
+        assert np.array_equal(np.maximum.reduceat((w @ terms)[kept], starts(ligand[kept])), want)
+
+
+@pytest.mark.parametrize("most", [1, 3, 32])
+def test_layers_give_the_best_of_each_ligand(most, monkeypatch):
+    monkeypatch.setattr(N, "MOST_LAYERS", most)
+    monkeypatch.setattr(N, "LIGANDS_AT_ONCE", 7)
+    rng = np.random.default_rng(3)
+    count = rng.integers(1, 9, 50)
+    starts, terms = np.cumsum(count) - count, rng.random((2, count.sum()))
+    layers = N._Layers(starts, count.sum())
+    assert sorted(layers.poses) == list(range(count.sum()))
+    best = layers.best((0.3, 0.7), terms[:, layers.poses])
+    assert np.array_equal(best, np.maximum.reduceat(0.3 * terms[0] + 0.7 * terms[1], starts)[layers.order])
+
+
+def test_packed_ranks_leave_out_dominated_poses_and_mix_targets():
+    import pyarrow as pa
+    rows = [("a", "l1", 0, 3), ("b", "l1", 0, 5), ("a", "l1", 1, 9), ("a", "l2", 0, 4), ("b", "l3", 0, 2)]
+    batch = lambda part: pa.RecordBatch.from_pylist([
+        {"target": t, "ligand": k, "active": x, "_n": 9, "r": r, "_part": 0} for t, k, x, r in part])
+    got = [r for b in N._packed(["r"])([batch(rows[:3]), batch(rows[3:]), batch(rows[:1]).slice(0, 0)]) for r in b.to_pylist()]
+    unpacked = [(r["target"], *(np.frombuffer(r["rows"], "<i4", r["poses"]).tolist(),),
+                 np.frombuffer(r["rows"], bool, offset=4 * r["poses"]).tolist()) for r in got]
+    # the active pose of l1 is dropped, its label is not
+    assert unpacked == [("a", [3], [True, True]), ("b", [5], [True, False]), ("a", [4], [True, False]), ("b", [2], [True, False])]
+
+
+def test_grid_needs_no_pose_numbers(spark, poses, monkeypatch):
+    monkeypatch.setattr(S, "MOST_ACTIVES", -1)
+    table = lambda df: sorted(S.grid_metrics(df, SCORES, GRID).collect())
+    want = table(poses)
+    assert table(poses.drop("pose")) == want
+    monkeypatch.setattr(S, "MOST_POSES", -1)
+    for a, b in zip(table(poses.drop("pose")), want, strict=True):
+        for c in ("target", "gid", "auc", "auprc", "ef1", "ef5"):
+            assert a[c] == (pytest.approx(b[c], abs=1e-12) if isinstance(b[c], float) else b[c]), (a, b)

@@ -160,6 +160,21 @@ def test_cells_rank_without_writing_rows(spark, tiny_tasks, monkeypatch, method,
     assert names == ["spans", "starts"]
 
 
+@pytest.mark.parametrize("unranked", [True, False])
+@pytest.mark.parametrize("method", ["min", "average"])
+def test_few_values_rank_without_moving_rows(spark, tiny_tasks, method, unranked):
+    special = [None, float("nan"), float("inf"), float("-inf"), 0.0, -0.0, 1.5, 2.5]
+    df = spark.createDataFrame([("hot" if i % 3 else None, i, special[i % 7 + i % 2]) for i in range(700)], "grp string, id long, v double").cache()
+    over = Window.partitionBy("grp").orderBy(F.col("v").asc_nulls_last() if unranked else F.col("v"))
+    ties = (F.count(F.lit(1)).over(Window.partitionBy("grp", "v")) - 1) / 2.0
+    rank = F.rank().over(over).cast("long") if method == "min" else F.rank().over(over) + ties
+    want = df.withColumn("r", F.when(F.col("v").isNotNull(), rank) if unranked else rank)
+    got = rank_rows(df, ["grp"], ["v"], "r", method, source=df, unranked=unranked)
+    assert got.schema["r"].dataType == want.schema["r"].dataType and by_id(got, "r") == by_id(want, "r")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "hashpartitioning" not in plan
+
+
 def test_hashes_bound_the_largest_group(spark, tiny_tasks):
     df = spark.range(300).select((F.col("id") % 60).alias("g"))
     assert 5 <= measured(df, ["g"], 300).largest <= 25
