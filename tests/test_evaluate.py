@@ -316,3 +316,26 @@ def test_spearman_ranks_wide_groups_in_cells(spark, monkeypatch):
     pdf = df.select("x", "y").toPandas()
     assert got["spearman"] == pytest.approx(pdf["x"].rank().corr(pdf["y"].rank()), abs=1e-12)
     assert names == ["pairs", "spans", "starts", "spans", "starts"]
+
+
+def test_wide_pairs_carry_a_number_for_their_group(spark, tiny_tasks, monkeypatch):
+    from screenmeld.operators import correlate
+
+    groups, ranked = [], correlate.rank_rows
+    monkeypatch.setattr(correlate, "rank_rows", lambda df, group, *a, **k: groups.append((group, df.columns)) or ranked(df, group, *a, **k))
+    rows = [(t, "all", "a", b, str(i), float(i * 7 % 90), float(i * i % 31)) for t in ("t", None) for b in ("b", "c") for i in range(60)]
+    df = spark.createDataFrame(rows, "target string, subset string, score_x string, score_y string, ligand string, x double, y double")
+    got = {tuple(r)[:4]: tuple(r)[4:] for r in correlate.spearman(df).collect()}
+    pdf = df.limit(60).select("x", "y").toPandas()
+    want = pytest.approx(pdf["x"].rank().corr(pdf["y"].rank()), abs=1e-12)
+    assert got == {(t, "all", "a", b): (60, want) for t in ("t", None) for b in ("b", "c")}
+    assert groups[0] == (["_group"], ["_group", "x", "y"])
+
+
+def test_staged_files_are_short(spark, monkeypatch):
+    """A task that reads staged rows gets a bounded number of them, however well they are compressed."""
+    from screenmeld import session
+
+    monkeypatch.setattr(session, "ROWS_PER_FILE", 100)
+    files = session.stage(spark.range(950).coalesce(1)).groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in files) == 950 and max(r["count"] for r in files) <= 100

@@ -162,7 +162,10 @@ def test_cells_rank_without_writing_rows(spark, tiny_tasks, monkeypatch, method,
 
 @pytest.mark.parametrize("unranked", [True, False])
 @pytest.mark.parametrize("method", ["min", "average"])
-def test_few_values_rank_without_moving_rows(spark, tiny_tasks, method, unranked):
+def test_few_values_rank_without_moving_rows(spark, tiny_tasks, monkeypatch, method, unranked):
+    from screenmeld.operators import ordering
+
+    monkeypatch.setattr(ordering, "ROWS_PER_VALUE", 10)
     special = [None, float("nan"), float("inf"), float("-inf"), 0.0, -0.0, 1.5, 2.5]
     df = spark.createDataFrame([("hot" if i % 3 else None, i, special[i % 7 + i % 2]) for i in range(700)], "grp string, id long, v double").cache()
     over = Window.partitionBy("grp").orderBy(F.col("v").asc_nulls_last() if unranked else F.col("v"))
@@ -175,6 +178,18 @@ def test_few_values_rank_without_moving_rows(spark, tiny_tasks, method, unranked
     assert "Window" not in plan and "hashpartitioning" not in plan
 
 
+def test_tasks_of_a_window_grow_with_the_table(spark, tiny_tasks, monkeypatch):
+    """Small groups are sorted by more tasks in a larger table, not by a fixed number of ever larger ones."""
+    from screenmeld.operators import ordering
+
+    monkeypatch.setattr(ordering, "ROWS_PER_RANGE", 20)
+    df = spark.range(900).selectExpr("id % 300 AS grp", "id")
+    bound = ordering.Bound(3, 900)
+    for got in (rank_rows(df, ["grp"], ["id"], "r", "first", bound), cumulate(df, ["grp"], ["id"], {"r": F.lit(1)}, bound)):
+        assert got.rdd.getNumPartitions() == 45
+        assert sorted(r["r"] for r in got.collect()) == [1] * 300 + [2] * 300 + [3] * 300
+
+
 def test_hashes_bound_the_largest_group(spark, tiny_tasks):
     df = spark.range(300).select((F.col("id") % 60).alias("g"))
     assert 5 <= measured(df, ["g"], 300).largest <= 25
