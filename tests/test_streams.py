@@ -5,6 +5,7 @@ import random
 import time
 
 import pytest
+from pyspark.sql import types as T
 
 from screenmeld.session import delete
 from screenmeld.streaming import ingest as I
@@ -169,3 +170,26 @@ def test_block_sink_replaces_only_its_blocks(spark, tmp_path):
     write_blocks(df(spark, GATE, ("t", "a", 1, -1.0, 0), ("t", "b", 1, -1.0, 1)), out)
     write_blocks(df(spark, GATE, ("t", "c", 1, -2.0, 1)), out)
     assert sorted((r.block, r.ligand) for r in spark.read.parquet(out).collect()) == [(0, "a"), (1, "c")]
+
+
+def test_a_block_is_one_value_of_the_state():
+    """A batch reads and writes a block at once; its rows are not entries of a list in the state."""
+    class Value:
+        held, writes = None, 0
+        exists = lambda self: self.held is not None
+        get = lambda self: self.held
+
+        def update(self, new):
+            self.held, self.writes = new, self.writes + 1
+
+    class Handle:
+        value = Value()
+        getValueState = lambda self, name, schema: self.value
+
+    schema = T.StructType.fromDDL("target string, block int, ligand string, pose int, score_x double")
+    state, handle = I.BlockState(schema, ["score_x"], 0.5, ["target", "block", "ligand", "pose"]), Handle()
+    state.init(handle)
+    run = lambda *rows: sorted(map(tuple, state.handleInputRows(("t", 0), iter(rows), None)))
+    assert run(("t", 0, "a", 1, -1.0), ("t", 0, "b", 1, -2.0)) == [("t", 0, "a", 1, -1.0, True), ("t", 0, "b", 1, -2.0, True)]
+    assert run(("t", 0, "a", 1, -3.0)) == [("t", 0, "a", 1, -3.0, True), ("t", 0, "b", 1, -2.0, True)]
+    assert handle.value.writes == 2 and isinstance(handle.value.held[0], bytes)
