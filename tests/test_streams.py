@@ -172,7 +172,7 @@ def test_block_sink_replaces_only_its_blocks(spark, tmp_path):
     assert sorted((r.block, r.ligand) for r in spark.read.parquet(out).collect()) == [(0, "a"), (1, "c")]
 
 
-def test_a_block_is_one_value_of_the_state():
+def test_a_block_is_one_value_of_the_state(spark):
     """A batch reads and writes a block at once; its rows are not entries of a list in the state."""
     class Value:
         held, writes = None, 0
