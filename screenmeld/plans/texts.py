@@ -20,6 +20,8 @@ from screenmeld.sources import sections as S
 from screenmeld.sources import tables as T
 
 POSES_PER_FILE = 64
+#: Order numbers in a block of a scorer's file, as a power of two.
+ORDERS_PER_BLOCK = 18
 
 
 def pose_texts(spark, sf):
@@ -432,16 +434,21 @@ def completed_from_log(spark, sf):
 
 
 def scorer_lines(spark, sf):
-    """Three scorer lines per line item, in the order of an output file per day."""
+    """Three scorer lines per line item, in the order of an output file per 200th part.
+
+    Like files that are read in splits, a file has blocks, here of 2**ORDERS_PER_BLOCK order numbers, and lines are placed inside them.
+    """
     i = table(spark, sf, "lineitem")
-    path = F.concat(F.lit("part_"), (F.col("l_partkey") % 200).cast("string"))
+    file = F.col("l_partkey") % 200
+    path = F.concat(F.lit("part_"), file.cast("string"))
     ship = F.unix_micros(F.col("l_shipdate").cast("timestamp"))
-    base = i.select(path.alias("path"), "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey",
+    block = F.shiftright(F.col("l_orderkey").cast("long"), ORDERS_PER_BLOCK)
+    base = i.select(path.alias("path"), block.alias("block"), "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey",
                     "l_extendedprice", "l_quantity", "l_discount", "l_tax", ship.alias("ship"))
-    placed = rank_rows(base, ["path"], ["l_orderkey", "l_linenumber", "l_suppkey", "l_partkey",
-                                        "l_extendedprice", "l_quantity", "l_discount", "l_tax",
-                                        "ship"],
-                       "at", "first", measured(base, ["path"], row_count(spark, sf, "lineitem")))
+    placed = rank_rows(base, ["path", "block"], ["l_orderkey", "l_linenumber", "l_suppkey", "l_partkey",
+                                                 "l_extendedprice", "l_quantity", "l_discount", "l_tax",
+                                                 "ship"],
+                       "at", "first", measured(i.select(file.alias("file"), block.alias("block")), ["file", "block"], row_count(spark, sf, "lineitem")))
     cents = F.round(F.col("l_discount") * 100).cast("int").cast("string")
     entries = F.array(
         F.concat(F.lit("  Affinity: -"), F.col("l_quantity").cast("int").cast("string"),
@@ -449,8 +456,8 @@ def scorer_lines(spark, sf):
         F.concat(F.lit("CNNscore: "), F.when(F.col("l_linenumber") == 7, F.lit("1.5")).otherwise(
             F.concat(F.lit("0."), cents))),
         F.concat(F.lit("CNNaffinity: "), F.col("l_linenumber").cast("string"), F.lit(".5")))
-    return placed.select("path", F.posexplode(entries), "at").select(
-        "path", F.lit(0).cast("long").alias("block"), (F.col("at") * 3 + F.col("pos")).alias("seq"),
+    return placed.select("path", "block", F.posexplode(entries), "at").select(
+        "path", "block", (F.col("at") * 3 + F.col("pos")).alias("seq"),
         F.col("col").alias("value"))
 
 

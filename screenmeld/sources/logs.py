@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from screenmeld.operators.ordering import MOST_STARTS, Rows, bound_of, cumulate, fill_down, join_groups
+from screenmeld.operators.ordering import MOST_STARTS, Rows, bound_of, fill_down, join_groups
 from screenmeld.session import rows_per_task, stage
 from screenmeld.sources.records import PIECE, pieces
 
@@ -14,6 +16,7 @@ TARGET_LINE = r"===\s+TARGET\s+\d+/\d+:\s+(\S+)\s+==="
 ANY_TARGET = r"===\s+TARGET\s+\d+/\d+:"
 SUCCESS_LINE = r"\[\w[\w\s]*\]\s+\[\d+/\d+\]\s+(\S+)\s+([-\d.]+)\s+kcal/mol"
 TABLE_ROW = r"(?m)^\s*1\s+([-\d.]+)\s+([-\d.]+)\s+([-\d.]+)\s+([-\d.]+)"
+LONGEST = 2**31 - 1
 
 
 def completed_from_log(rows: DataFrame, bound: Rows = None) -> DataFrame:
@@ -39,45 +42,63 @@ def completed_from_log(rows: DataFrame, bound: Rows = None) -> DataFrame:
         "path", "target", "ligand", "l.energy")
 
 
-def _running_count(lines: DataFrame, hit: Column, name: str, bound: Rows) -> DataFrame:
-    """Add the number of lines up to each that ``hit``, per path.
+def _in_order(lines: DataFrame, numbers: list[str], keys: list[str], order: list[str]) -> DataFrame:
+    """(keys, pose, a column per number): the poses of each stretch of lines (kind, number), read once along their order.
+
+    A line of kind 0 opens a pose. Lines ahead of the first opening are pose 0. ``numbers`` names the column of each kind.
+    """
+    opens = F.when(F.col("kind") == 0, 1).otherwise(0)
+    pose = F.sum(opens).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    place = F.col(order[0]) if len(order) == 1 else F.struct(*order)  # hashed, not sorted, where it is one number
+
+    def last(kind: int) -> Column:
+        hit = (F.col("kind") == kind) & F.col("number").isNotNull()
+        return F.max_by(F.when(hit, F.col("number")), F.when(hit, place))
+
+    numbered = lines.select(*dict.fromkeys([*keys, *order]), "kind", "number").withColumn("pose", pose)
+    return numbered.groupBy(*keys, "pose").agg(*[last(kind).alias(name) for kind, name in enumerate(numbers)])
+
+
+def _along_pieces(poses: DataFrame, names: list[str]) -> DataFrame:
+    """Poses numbered inside their piece, as poses of the file: from a small table with a row per piece.
 
-    Files beyond a task are counted piece by piece, and the counts of earlier pieces are added from a small table.
+    It has the openings of earlier pieces, and what later pieces say of a piece's last pose ahead of their first opening.
     """
-    bound = bound_of(lines, bound)
-    if bound.largest <= rows_per_task(lines.sparkSession):
-        return cumulate(lines, ["path"], ["block", "seq"], {name: hit.cast("int")}, bound)
-    kept = lines.columns
-    placed = pieces(stage(lines, "lines")).withColumn("_hit", hit.cast("long"))
+    heads = [F.max(F.when(F.col("pose") == 0, F.col(n))).alias(n) for n in names]
     earlier = Window.partitionBy("path").orderBy("block", "piece").rowsBetween(Window.unboundedPreceding, -1)
-    counts = stage(placed.groupBy(*PIECE).agg(F.sum("_hit").alias("_hits")).select(
-        *PIECE, F.coalesce(F.sum("_hits").over(earlier), F.lit(0)).alias("_before")), "pieces")
-    joined = join_groups(placed, F.broadcast(counts) if counts.count() <= MOST_STARTS else counts, PIECE)
-    along = Window.partitionBy("piece", "block", "path").orderBy("seq")
-    return joined.select(*kept, (F.col("_before") + F.sum("_hit").over(along)).alias(name))
+    counts = stage(poses.groupBy(*PIECE).agg(F.max("pose").alias("_poses"), *heads).withColumn(
+        "_before", F.coalesce(F.sum("_poses").over(earlier), F.lit(0))), "pieces")
+    place = F.struct("block", "piece")
+    said = counts.groupBy("path", F.col("_before").alias("_upto")).agg(
+        *[F.max_by(F.when(F.col(n).isNotNull(), F.col(n)), F.when(F.col(n).isNotNull(), place)).alias(f"_later_{n}") for n in names])
+    upto = counts.filter("_poses > 0").select(*PIECE, "_before", "_poses", (F.col("_before") + F.col("_poses")).alias("_upto"))
+    small = join_groups(upto, said, ["path", "_upto"], "left").drop("_upto")
+    joined = join_groups(poses.filter("pose > 0"), F.broadcast(small) if counts.count() <= MOST_STARTS else small, PIECE)
+    later = lambda n: F.when(F.col("pose") == F.col("_poses"), F.col(f"_later_{n}"))
+    return joined.select("path", (F.col("_before") + F.col("pose")).alias("pose"), *[F.coalesce(later(n), F.col(n)).alias(n) for n in names])
 
 
 def scorer_poses(rows: DataFrame, bound: Rows = None) -> DataFrame:
     """(path, pose, affinity, cnnscore, cnnaffinity): the n-th affinity line is pose n.
 
-    A CNN score outside [0, 1] or missing voids both CNN values of the pose.
+    A CNN score outside [0, 1] or missing voids both CNN values of the pose. Files beyond a task are read piece by piece.
     """
-    text = rows.withColumn("value", F.btrim("value", F.lit(" \t\r")))
     value = F.col("value")
-    opens = value.startswith("Affinity:")
-    numbered = _running_count(text, opens, "pose", bound)
-    rest = F.btrim(F.regexp_extract(value, r"^\w+:(.*)$", 1))
-    order = F.struct("block", "seq")
-
-    def last(prefix: str, number):
-        hit = value.startswith(prefix) & number.isNotNull()
-        return F.max_by(F.when(hit, number), F.when(hit, order))
-
-    part = numbered.filter("pose > 0").groupBy("pose", "path").agg(
-        last("Affinity:", F.element_at(F.split(rest, r"\s+"), 1).try_cast("double"))
-        .alias("affinity"),
-        last("CNNscore:", rest.try_cast("double")).alias("_s"),
-        last("CNNaffinity:", rest.try_cast("double")).alias("_a"))
+    names = {"Affinity:": "affinity", "CNNscore:": "_s", "CNNaffinity:": "_a"}
+    # by the line as it is: a filter on what was read would be moved ahead of that, and each line read twice
+    named = rows.filter(reduce(Column.__or__, [value.contains(k) for k in names]))
+    text = named.withColumn("value", F.btrim("value", F.lit(" \t\r")))
+    # 0 to 2 and a number: narrow rows, as these are sorted
+    kind = F.coalesce(*[F.when(value.startswith(k), F.lit(i).cast("byte")) for i, k in enumerate(names)])
+    rest = F.btrim(F.coalesce(*[F.when(value.startswith(k), F.substring(value, len(k) + 1, LONGEST)) for k in names]))
+    word = reduce(lambda w, white: F.substring_index(w, white, 1), " \t\n\x0b\f\r", rest)
+    number = F.when(value.startswith("Affinity:"), word).otherwise(rest).try_cast("double")
+    text = text.select("path", "block", "seq", kind.alias("kind"), number.alias("number"))
+    numbers = list(names.values())
+    if bound_of(rows, bound).largest <= rows_per_task(rows.sparkSession):
+        part = _in_order(text, numbers, ["path"], ["block", "seq"]).filter("pose > 0")
+    else:
+        part = _along_pieces(stage(_in_order(pieces(text), numbers, PIECE, ["seq"]), "poses"), numbers)
     valid = F.col("_s").between(0.0, 1.0)
     return part.select("path", F.col("pose").cast("int").alias("pose"), "affinity",
                        F.when(valid, F.col("_s")).alias("cnnscore"),

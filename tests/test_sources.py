@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from screenmeld.functions import names as N
 from screenmeld.functions import numbers as X
 from screenmeld.operators import clustering as K
+from screenmeld.operators.ordering import rank_rows
+from screenmeld.session import ROWS_PER_TASK_KEY, stage
 from screenmeld.sources import inventory as I
 from screenmeld.sources import logs as L
 from screenmeld.sources import molecules as M
@@ -275,6 +277,40 @@ def test_scorer_lines_are_counted_by_piece(spark, monkeypatch, tiny_tasks):
     assert [tuple(r) for r in got if r.pose < 66] == [w for w in want if w[1] < 66]
 
 
+def test_scorer_poses_that_cross_pieces_and_blocks(spark, monkeypatch, tiny_tasks):
+    """Lines are read and written once: a pose takes what follows in later pieces and blocks, up to the next opening."""
+    from screenmeld.sources import records
+
+    monkeypatch.setattr(records, "PIECE_BITS", 1)
+    staged = []
+    monkeypatch.setattr(L, "stage", lambda df, name: staged.append((name, df.columns)) or stage(df, name))
+    lines = ["CNNscore: 0.9", "Affinity: -1.5 (kcal/mol)", "CNNscore: 0.1", "note", "CNNscore: 0.2", "note", "CNNaffinity: 5",
+             "note", "CNNscore: bad", " CNNaffinity: 6\r", "Affinity: -2\t0.1", "Affinity: bad", "note", "see CNNscore: 0.4",
+             "CNNscore: 0.5", "CNNaffinity: 7", "Affinity:", "CNNscore: 1.5", "CNNaffinity: 8", "Affinity: -3", "CNNscore: 0.3"]
+    rows = [(p, k // 5, k, line) for p in ("a", "b", None) for k, line in enumerate(lines)]
+    rows += [("c", 0, k, "CNNscore: 0.5") for k in range(9)]
+    data = spark.createDataFrame(rows, "path string, block long, seq long, value string")
+    want = [(1, -1.5, 0.2, 6.0), (2, -2.0, None, None), (3, None, 0.5, 7.0), (4, None, None, None), (5, -3.0, 0.3, None)]
+    got = [tuple(r) for r in L.scorer_poses(data).orderBy("path", "pose").collect()]
+    assert got == [(p, *w) for p in (None, "a", "b") for w in want]
+    assert [n for n, _ in staged] == ["poses", "pieces"] and not any("value" in c for _, c in staged)
+    plain = L.scorer_poses(data, 1)
+    assert [tuple(r) for r in plain.orderBy("path", "pose").collect()] == got
+
+
+def test_scorer_query_ranks_lines_in_blocks(spark, monkeypatch, tiny_tasks):
+    """The largest group that is ordered is a block of a file, and its lines aren't dealt again."""
+    from screenmeld.plans import texts
+
+    sf, bounds = "/root/testdata/sf0.001", []
+    monkeypatch.setattr(texts, "ORDERS_PER_BLOCK", 4)
+    monkeypatch.setattr(texts, "rank_rows", lambda *a, **k: bounds.append(a[5]) or rank_rows(*a, **k))
+    got = sorted(map(tuple, texts.scorer_poses(spark, sf).collect()), key=str)
+    assert bounds[0].largest <= 25
+    spark.conf.unset(ROWS_PER_TASK_KEY)
+    assert got == sorted(map(tuple, texts.scorer_poses(spark, sf).collect()), key=str)
+
+
 def test_refinement_output(spark):
     rows = [(1, "Affinity: -7.2 (kcal/mol)\nCNNscore: 0.8\nCNNaffinity: 7.5\n"), (2, "  1   -7.2  0.0  0.82  7.5\n"),
             (3, "Affinity: -7.2 (kcal/mol)\n"), (4, "")]
