@@ -267,6 +267,13 @@ def test_hashes_of_arrays_are_md5(head):
                 int(md5((head + n).encode()).hexdigest()[:8], 16) for n in names]
 
 
+def test_counts_of_draws_are_not_broadcast(spark):
+    """Counts per block are as large as the weights, though they come from a few rows of sizes."""
+    table = spark.createDataFrame([("t", f"l{k}", k % 2) for k in range(50)], "target string, ligand string, active int")
+    plan = B.bootstrap_weights(table, 12)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "Broadcast" not in plan
+
+
 def test_listed_bootstrap_equals_shuffled_draws(spark, monkeypatch):
     rng = random.Random(8)
     ligands = [(t, f"l{k}", int(rng.random() < share)) for t, n, share in (("hot", 150, .2), ("few", 3, .5), ("none", 9, 0))
