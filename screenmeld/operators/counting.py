@@ -12,11 +12,15 @@ in all functions) are dropped before the shuffle where a ligand has many.
 
 Lists of many actives make the counts long. Targets of up to ``MOST_POSES`` poses are then evaluated some sigmas per task
 (:func:`listed_metrics`): the ranks of a target, four bytes each in order of ligands and without poses that can't be the best of
-their ligand, go to a few tasks that share its sigmas. Each orders the decoys' values of one grid point after the other and looks the actives up in them. Nothing is shuffled per grid point.
+their ligand, go to a few tasks that share its sigmas. A task writes them to a file of its own and reads that once for as many grid points
+as ``KEYS_HELD`` allows, orders the decoys' values of each and looks the actives up in them; the values of more ligands than that are taken
+range by range. So its memory doesn't follow the target, and nothing is shuffled per grid point.
 """
 
 from __future__ import annotations
 
+import os
+import tempfile
 import zlib
 from collections.abc import Iterator, Sequence
 from math import ceil
@@ -24,7 +28,7 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from screenmeld.functions.grids import GridPoint
@@ -36,13 +40,20 @@ MOST_ACTIVES = 10_000
 POSES_PER_SLICE = 50_000
 #: Poses of a ligand in one batch up to which all are kept.
 FEW_POSES = 16
-#: Most poses of a target whose ranks one task may hold for a sigma, at 52 bytes each.
-MOST_POSES = 50_000_000
+#: Most poses of a target whose ranks are listed, as these take four bytes each.
+MOST_POSES = 2_000_000_000
+#: Poses packed in a row, so that an Arrow batch of 10,000 rows stays below 40 MB.
+POSES_PER_PIECE = 256
+#: Keys of ligands held and sorted by a task, in eight bytes each, and cells by which the keys of more are cut in ranges.
+KEYS_HELD = 32_000_000
+KEY_CELLS = 1 << 16
+#: Packed poses of a target that a task holds in memory; more go to a file.
+SPOOLED_BYTES = 64 << 20
 POSES_PER_RANGE = 1_000_000
 MOST_TASKS = 2000
 TASKS_PER_CORE = 3
-#: Poses whose terms are made together.
-POSES_AT_ONCE = 1 << 20
+#: Poses, of whole ligands, that are evaluated together.
+POSES_AT_ONCE = 1 << 18
 #: Poses of a ligand on either side of a pose that it is compared with.
 NEIGHBOURS = 32
 #: Poses of a ligand that lie in layers.
@@ -215,7 +226,7 @@ def _may_be_best(ranks: np.ndarray, ligand: np.ndarray) -> np.ndarray:
 
 
 def _packed(names: Sequence[str]):
-    """Function from poses in order of ligands to a row per batch and target: ranks, ligands' first poses, actives.
+    """Function from poses in order of ligands to rows of up to ``POSES_PER_PIECE`` poses of a target: ranks, ligands' first poses, actives.
 
     Only poses that may be the best of their ligand are packed. The targets of a batch may be mixed.
     """
@@ -240,26 +251,19 @@ def _packed(names: Sequence[str]):
                 ligand = ligand[kept]
                 starts = np.append(True, ligand[1:] != ligand[:-1]) & begins[ligand]
                 held = ranks[:, rows[kept]]
-                held = np.where(np.isinf(held), 0, held).astype("<i4")
+                held, own = np.where(np.isinf(held), 0, held).astype("<i4"), own[ligand]
+                cuts = [slice(a, a + POSES_PER_PIECE) for a in range(0, len(kept), POSES_PER_PIECE)]
+                pieces = len(cuts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([target], pa.string()), pa.array([batch.column("_n")[rows[0]].as_py()], pa.int64()),
-                     pa.array([batch.column("_part")[rows[0]].as_py()], pa.int32()), pa.array([number], pa.int32()),
-                     pa.array([len(kept)], pa.int32()),
-                     pa.array([held.tobytes() + starts.tobytes() + own[ligand].tobytes()], pa.binary())],
+                    [pa.array([target] * pieces, pa.string()), pa.array([batch.column("_n")[rows[0]].as_py()] * pieces, pa.int64()),
+                     pa.array([batch.column("_part")[rows[0]].as_py()] * pieces, pa.int32()),
+                     pa.array(np.arange(number, number + pieces), pa.int32()), pa.array([len(starts[x]) for x in cuts], pa.int32()),
+                     pa.array([held[:, x].tobytes() + starts[x].tobytes() + own[x].tobytes() for x in cuts], pa.binary())],
                     ["target", "_n", "_part", "number", "poses", "rows"])
-                number += 1
+                number += pieces
     return run
 
 
-def _hits(mine: np.ndarray, others: np.ndarray, key: np.ndarray, active: np.ndarray, order: np.ndarray, first: int) -> int:
-    """Actives among the ``first`` keys of all; equal keys count by ``order``, the places of their ligands by name."""
-    last = np.sort(np.concatenate([mine[:first], others[:first]]))[first - 1]
-    better = np.searchsorted(mine, last)
-    tied = np.flatnonzero(key == last)
-    tied = tied[np.argsort(order[tied])][:first - better - np.searchsorted(others, last)]
-    return int(better + active[tied].sum())
-
-
 class _Layers:
     """Poses in layers: the first ones of all ligands, the second ones, and so on, ligands with most poses first.
 
@@ -268,6 +272,7 @@ class _Layers:
 
     def __init__(self, starts: np.ndarray, poses: int) -> None:
         count = np.diff(np.append(starts, poses))
+        self.ligands = len(count)
         #: The ligands in the order of the layers.
         self.order = np.argsort(-count, kind="stable")
         count, starts = count[self.order], starts[self.order]
@@ -289,7 +294,7 @@ class _Layers:
                     found += w * term[a:b]
             return found
 
-        out = np.empty(len(self.order))
+        out = np.empty(self.ligands)
         for a in range(0, len(out), LIGANDS_AT_ONCE):
             out[a:a + LIGANDS_AT_ONCE] = total(a, min(a + LIGANDS_AT_ONCE, len(out)))
             for at, size in zip(self.at[1:], self.sizes[1:]):
@@ -303,55 +308,227 @@ class _Layers:
         return out
 
 
+class _Poses:
+    """The poses of a target, in a file where they are many: whole ligands of about ``POSES_AT_ONCE`` poses at a time, in layers.
+
+    Ligands come in order of their names. What is held doesn't depend on how many poses there are.
+    """
+
+    def __init__(self, k: int, n: float) -> None:
+        self.k, self.n = k, n
+        self.actives = self.decoys = 0
+        where = os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0]
+        self.file = tempfile.SpooledTemporaryFile(SPOOLED_BYTES, dir=where or None)
+        self.pieces: list[tuple[_Layers, int, int]] = []
+        self.waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.poses, self.due = 0, POSES_AT_ONCE
+
+    def add(self, rows: bytes, m: int) -> None:
+        self.waiting.append((np.frombuffer(rows, "<i4", self.k * m).reshape(self.k, m),
+                             *np.frombuffer(rows, bool, 2 * m, 4 * self.k * m).reshape(2, m)))
+        self.poses += m
+        if self.poses >= self.due:
+            self.flush(False)
+
+    def flush(self, ended: bool) -> None:
+        """Write what waits, without the last ligand where it may go on."""
+        if not self.waiting:
+            return
+        ranks, starts, active = (np.concatenate(x, axis=-1) for x in zip(*self.waiting))
+        self.waiting, first = [], np.flatnonzero(starts)
+        stop = len(starts) if ended else int(first[-1])
+        if stop < len(starts):
+            self.waiting = [(ranks[:, stop:], starts[stop:], active[stop:])]
+        self.poses = len(starts) - stop
+        self.due = self.poses + POSES_AT_ONCE
+        first = first[first < stop]
+        if not len(first):
+            return
+        layers = _Layers(first, stop)
+        own = np.logical_or.reduceat(active[:stop], first)[layers.order]
+        self.file.seek(0, os.SEEK_END)
+        at = self.file.tell()
+        for x in (np.ascontiguousarray(ranks[:, layers.poses]), own, layers.order.astype("<i4")):
+            self.file.write(x.tobytes())
+        layers.poses = layers.order = None
+        self.pieces.append((layers, at, stop))
+        self.actives += int(own.sum())
+        self.decoys += int((~own).sum())
+
+    def keys(self, points: Sequence[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray, Iterator[np.ndarray]]]:
+        """Per piece: which ligands are active, their places by name and their keys at each of ``points``, all of one sigma."""
+        scale = max(self.n / float(points[0][1]), 1.0)
+        for layers, at, poses in self.pieces:
+            self.file.seek(at)
+            ranks = np.frombuffer(self.file.read(4 * self.k * poses), "<i4").reshape(self.k, poses)
+            own = np.frombuffer(self.file.read(layers.ligands), bool)
+            order = np.frombuffer(self.file.read(4 * layers.ligands), "<i4")
+            terms = np.empty((self.k, poses))
+            for term, rank in zip(terms, ranks):
+                np.divide(rank, -scale, out=term)
+                np.exp(term, out=term)
+                term *= rank > 0
+            yield own, order, (-np.floor(layers.best(weights, terms) * 10.0 ** DIGITS + 0.5).astype(np.int64) for _, _, weights in points)
+
+
+def _ranges(poses: _Poses, point: tuple) -> list[tuple[int, int]]:
+    """Ranges of keys, first and last, that hold at most ``KEYS_HELD`` ligands each or a single key."""
+    def cut(low: int, high: int) -> list[tuple[int, int]]:
+        width = (high - low) // KEY_CELLS + 1
+        counts = np.zeros((high - low) // width + 1, np.int64)
+        for _, _, (key,) in poses.keys([point]):
+            counts += np.bincount((key[(key >= low) & (key <= high)] - low) // width, minlength=len(counts))
+        out, first, held = [], 0, 0
+        for i, n in enumerate(counts.tolist()):
+            if held and held + n > KEYS_HELD:
+                out.append((low + first * width, low + i * width - 1))
+                first, held = i, 0
+            held += n
+            if n > KEYS_HELD and width > 1:
+                out += cut(low + i * width, min(high, low + (i + 1) * width - 1))
+                first, held = i + 1, 0
+            elif n > KEYS_HELD:
+                out.append((low + i, low + i))
+                first, held = i + 1, 0
+        return out + ([(low + first * width, high)] if held else [])
+
+    ends = [(int(key.min()), int(key.max())) for _, _, (key,) in poses.keys([point])]
+    return cut(min(a for a, _ in ends), max(b for _, b in ends))
+
+
+class _Sums:
+    """Metrics of one grid point from its keys, range by range."""
+
+    def __init__(self, poses: _Poses, fractions: Sequence[float]) -> None:
+        self.p, self.q = poses.actives, poses.decoys
+        self.mine = self.others = self.area = 0
+        self.precision = 0.0
+        self.first = [max(1, int(np.ceil((self.p + self.q) * f))) for f in fractions]
+        self.hits: list[int | None] = [None] * len(fractions)
+        #: Fractions that end among equal keys of both kinds: number, key, and how many ligands of the key belong to it.
+        self.tied: list[tuple[int, int, int]] = []
+
+    def _end(self, i: int, key: int, mine: int, others: int, tied: int, tied_own: int) -> None:
+        """Fraction ``i`` ends at ``key``, of which there are ``tied`` behind ``mine`` and ``others`` better ones."""
+        left = self.first[i] - mine - others
+        self.hits[i] = mine
+        if left >= tied or tied_own == 0 or tied_own == tied:
+            self.hits[i] += min(left, tied_own)
+        else:
+            self.tied.append((i, key, left))
+
+    def add(self, mine: np.ndarray, others: np.ndarray) -> None:
+        """The sorted keys of a range's actives and decoys."""
+        before = self.mine + self.others
+        for i, first in enumerate(self.first):
+            if self.hits[i] is None and first <= before + len(mine) + len(others):
+                k = first - before
+                last = int(np.partition(np.concatenate([mine[:k], others[:k]]), k - 1)[k - 1])
+                a, b = np.searchsorted(mine, [last, last + 1]), np.searchsorted(others, [last, last + 1])
+                self._end(i, last, self.mine + int(a[0]), self.others + int(b[0]), int(a[1] - a[0] + b[1] - b[0]), int(a[1] - a[0]))
+        for at in range(0, len(mine), POSES_AT_ONCE):
+            part = mine[at:at + POSES_AT_ONCE]
+            better, upto = np.searchsorted(others, part) + self.others, np.searchsorted(others, part, "right") + self.others
+            number = np.searchsorted(mine, part, "right") + self.mine
+            self.area += int((2 * (self.q - upto) + (upto - better)).sum())
+            self.precision += float((number / (number + upto)).sum())
+        self.mine += len(mine)
+        self.others += len(others)
+
+    def add_equal(self, key: int, mine: int, others: int) -> None:
+        """A key that so many actives and decoys have."""
+        before = self.mine + self.others
+        for i, first in enumerate(self.first):
+            if self.hits[i] is None and first <= before + mine + others:
+                self._end(i, key, self.mine, self.others, mine + others, mine)
+        self.mine, self.others = self.mine + mine, self.others + others
+        self.area += mine * (2 * (self.q - self.others) + others)
+        self.precision += mine * self.mine / max(1, self.mine + self.others)
+
+    def result(self, fractions: Sequence[float]) -> list[float | None]:
+        if not self.p:
+            return [None] * (2 + len(fractions))
+        return [self.area / (2.0 * self.p * self.q) if self.q else None, self.precision / self.p if self.q else None,
+                *(float(h) / (self.p * f) for h, f in zip(self.hits, fractions))]
+
+
+def _evaluated(poses: _Poses, points: Sequence[tuple], fractions: Sequence[float]) -> Iterator[tuple[int, list]]:
+    """Metrics at grid points of one sigma, as many together as ``KEYS_HELD`` keys allow."""
+    ligands = poses.actives + poses.decoys
+    together = max(1, min(len(points), KEYS_HELD // max(1, ligands)))
+    sums = [_Sums(poses, fractions) for _ in points]
+    if ligands <= KEYS_HELD:
+        mine, others = (np.empty((together, n), np.int64) for n in (poses.actives, poses.decoys))
+        for start in range(0, len(points), together):
+            group, a, b = points[start:start + together], 0, 0
+            for own, _, keys in poses.keys(group):
+                n = int(own.sum())
+                for j, key in enumerate(keys):
+                    mine[j, a:a + n], others[j, b:b + len(own) - n] = key[own], key[~own]
+                a, b = a + n, b + len(own) - n
+            for j in range(len(group)):
+                mine[j].sort()
+                others[j].sort()
+                sums[start + j].add(mine[j], others[j])
+    else:
+        for point, total in zip(points, sums):
+            for low, high in _ranges(poses, point):
+                found = ([], [])
+                counts = [0, 0]
+                for own, _, (key,) in poses.keys([point]):
+                    inside = (key >= low) & (key <= high)
+                    for kind, which in enumerate((inside & own, inside & ~own)):
+                        counts[kind] += int(which.sum())
+                        if low < high:
+                            found[kind].append(key[which])
+                if low < high:
+                    total.add(*(np.sort(np.concatenate(x)) for x in found))
+                else:
+                    total.add_equal(low, *counts)
+    # equal keys count by name where a fraction ends among them
+    tied = [(i, point, total) for i, (point, total) in enumerate(zip(points, sums)) if total.tied]
+    if tied:
+        left = [[[*t, 0] for t in total.tied] for _, _, total in tied]
+        for own, order, keys in poses.keys([point for _, point, _ in tied]):
+            for ends, key in zip(left, keys):
+                for end in ends:
+                    if end[2]:
+                        equal = np.flatnonzero(key == end[1])
+                        equal = equal[np.argsort(order[equal])][:end[2]]
+                        end[2] -= len(equal)
+                        end[3] += int(own[equal].sum())
+        for (_, _, total), ends in zip(tied, left):
+            for i, _, _, more in ends:
+                total.hits[i] += more
+    for (gid, _, _), total in zip(points, sums):
+        yield gid, total.result(fractions)
+
+
 def _listed(points: Sequence[tuple], k: int, fractions: Sequence[float]):
-    """Function from the packed poses of a target to its metrics at the grid points of some sigmas."""
-    names = ["auc", "auprc", *(ef_name(f) for f in fractions)]
+    """Function from the packed poses of targets, in order of targets, their sigmas and ligands, to metrics at the grid points of these sigmas."""
+    names = ["gid", "auc", "auprc", *(ef_name(f) for f in fractions)]
+
+    def measured(target: str, poses: _Poses, sigmas: Sequence[int]) -> pa.RecordBatch:
+        poses.flush(True)
+        rows = [(gid, *found) for sigma in sigmas
+                for gid, found in _evaluated(poses, [p for p in points if p[1] == sigma], fractions)]
+        poses.file.close()
+        columns = zip(names, zip(*rows), [pa.int32(), *[pa.float64()] * (len(names) - 1)])
+        return pa.RecordBatch.from_pydict({"target": pa.array([target] * len(rows), pa.string()),
+                                           **{c: pa.array(x, t) for c, x, t in columns}})
 
-    def run(table: pa.Table) -> pa.Table:
-        target, n, sigmas = (table.column(c)[0].as_py() for c in ("target", "_n", "sigmas"))
-        table = table.select(["_part", "number", "poses", "rows"]).sort_by([("_part", "ascending"), ("number", "ascending")])
-        size = table.column("poses").to_numpy()
-        at = np.concatenate([[0], np.cumsum(size)])
-        held, starts, active = np.empty((k, at[-1]), "<i4"), np.empty(at[-1], bool), np.empty(at[-1], bool)
-        for i, packed in enumerate(table.column("rows")):
-            raw, m, here = packed.as_buffer(), int(size[i]), slice(at[i], at[i + 1])
-            held[:, here] = np.frombuffer(raw, "<i4", k * m).reshape(k, m)
-            starts[here], active[here] = np.frombuffer(raw, bool, 2 * m, 4 * k * m).reshape(2, m)
-        starts = np.flatnonzero(starts)
-        active = np.logical_or.reduceat(active, starts)
-        layers = _Layers(starts, at[-1])
-        for i in range(k):
-            held[i] = held[i][layers.poses]
-        order, active, layers.poses = layers.order, active[layers.order], None
-        p, decoys = int(active.sum()), int((~active).sum())
-        out = {"gid": [], **{c: [] for c in names}}
-        terms, sigma = np.empty((k, at[-1])), None
-        for gid, of, weights in sorted(points, key=lambda p: p[1]):
-            if of not in sigmas:
-                continue
-            if of != sigma:
-                sigma = of
-                for a in range(0, at[-1], POSES_AT_ONCE):
-                    ranks = held[:, a:a + POSES_AT_ONCE]
-                    terms[:, a:a + POSES_AT_ONCE] = np.where(ranks > 0, np.exp(-ranks / max(n / float(sigma), 1.0)), 0.0)
-            key = -np.floor(layers.best(weights, terms) * 10.0 ** DIGITS + 0.5).astype(np.int64)
-            mine, others = np.sort(key[active]), np.sort(key[~active])
-            row = dict.fromkeys(names)
-            if p:
-                better = np.searchsorted(others, mine)
-                upto = np.searchsorted(others, mine, "right")
-                if decoys:
-                    number = np.searchsorted(mine, mine, "right")
-                    row["auc"] = float((2.0 * (decoys - upto) + (upto - better)).sum() / (2.0 * p * decoys))
-                    row["auprc"] = float((number / (number + upto)).sum() / p)
-                for f in fractions:
-                    first = max(1, int(np.ceil((p + decoys) * f)))
-                    row[ef_name(f)] = float(_hits(mine, others, key, active, order, first)) / (p * f)
-            out["gid"].append(gid)
-            for c in names:
-                out[c].append(row[c])
-        return pa.table({"target": pa.array([target] * len(out["gid"]), pa.string()), "gid": pa.array(out["gid"], pa.int32()),
-                         **{c: pa.array(out[c], pa.float64()) for c in names}})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, poses = None, None
+        for batch in batches:
+            of = zip(batch.column("target").to_pylist(), batch.column("sigmas").to_pylist())
+            for i, group in enumerate(of):
+                if group != now:
+                    if poses:
+                        yield measured(now[0], poses, now[1])
+                    now, poses = group, _Poses(k, float(batch.column("_n")[i].as_py()))
+                poses.add(batch.column("rows")[i].as_py(), batch.column("poses")[i].as_py())
+        if poses:
+            yield measured(now[0], poses, now[1])
     return run
 
 
@@ -371,10 +548,14 @@ def listed_metrics(ranked: DataFrame, names: Sequence[str], grid: Sequence[GridP
     # a target's ranks go to as many tasks as keep the cores busy, not to one per sigma
     parts = min(len(sigmas), max(1, ceil(TASKS_PER_CORE * cores / max(targets, 1))))
     parts = ceil(len(sigmas) / ceil(len(sigmas) / parts))
-    each = packed.withColumn("sigmas", F.explode(F.array(*[
-        F.array(*[F.lit(s) for s in sigmas[i::parts]]) for i in range(parts)])))
-    # a fixed number: the grid, not the bytes shuffled, decides the task count; so many that few tasks get two lists
-    tasks = max(cores, min(64 * targets * parts, MOST_TASKS))
-    return each.repartition(tasks, "target", "sigmas").groupBy("target", "sigmas").applyInArrow(
+    numbers = packed.select("target").distinct().withColumn(
+        "_list", parts * (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("target")) - 1))  # one row per target
+    shares = F.array(*[F.struct(F.lit(i).alias("_share"), F.array(*[F.lit(s) for s in sigmas[i::parts]]).alias("sigmas"))
+                       for i in range(parts)])
+    each = packed.join(F.broadcast(numbers) if targets <= MOST_TASKS else numbers, "target").select("*", F.inline(shares))
+    # each list has a partition of its own; the grid, not the bytes shuffled, decides how many there are
+    placed = each.repartitionById(max(1, min(targets * parts, MOST_TASKS)), F.col("_list") + F.col("_share")).drop(
+        "_list", "_share").sortWithinPartitions("target", "sigmas", "_part", "number")
+    return placed.mapInArrow(
         _listed(points, len(names), fractions), "target string, gid int, auc double, auprc double, "
         + ", ".join(f"{ef_name(f)} double" for f in fractions))

@@ -142,3 +142,53 @@ def test_grid_needs_no_pose_numbers(spark, poses, monkeypatch):
     for a, b in zip(table(poses.drop("pose")), want, strict=True):
         for c in ("target", "gid", "auc", "auprc", "ef1", "ef5"):
             assert a[c] == (pytest.approx(b[c], abs=1e-12) if isinstance(b[c], float) else b[c]), (a, b)
+
+
+@pytest.mark.parametrize("held", [1, 6, 40])
+def test_keys_of_many_ligands_are_counted_range_by_range(spark, poses, held, monkeypatch):
+    """Ligands beyond what a task holds, and fractions that end among equal keys."""
+    monkeypatch.setattr(S, "MOST_ACTIVES", -1)
+    table = lambda: sorted(S.grid_metrics(poses, SCORES, GRID).collect())
+    want = table()
+    for name, value in (("KEYS_HELD", held), ("KEY_CELLS", 5), ("POSES_AT_ONCE", 9), ("POSES_PER_PIECE", 4), ("SPOOLED_BYTES", 50)):
+        monkeypatch.setattr(N, name, value)
+    for a, b in zip(table(), want, strict=True):
+        for c in ("target", "gid", "auc", "auprc", "ef1", "ef5"):
+            assert a[c] == (pytest.approx(b[c], abs=1e-12) if isinstance(b[c], float) else b[c]), (a, b)
+
+
+def packed_batches(ligands):
+    """Ranks of a target, as they reach the task that evaluates them."""
+    import pyarrow as pa
+    rng = np.random.default_rng(5)
+    for a in range(0, ligands, 2000):
+        held = rng.integers(1, 5 * ligands, (2, 10_000)).astype("<i4")
+        starts, own = np.arange(10_000) % 5 == 0, np.repeat(np.arange(2000) % 20 == 0, 5)
+        yield pa.RecordBatch.from_pydict({
+            "target": ["t"], "_n": [5 * ligands], "_part": pa.array([a // 2000], pa.int32()), "number": pa.array([0], pa.int32()),
+            "poses": pa.array([10_000], pa.int32()), "rows": [held.tobytes() + starts.tobytes() + own.tobytes()], "sigmas": [[2, 4]]})
+
+
+def test_memory_of_a_task_does_not_follow_the_poses(monkeypatch):
+    import tracemalloc
+    monkeypatch.setattr(N, "KEYS_HELD", 20_000)
+    monkeypatch.setattr(N, "POSES_AT_ONCE", 20_000)
+    monkeypatch.setattr(N, "SPOOLED_BYTES", 100_000)
+    points = [(0, 2, (0.5, 0.5)), (1, 4, (0.3, 0.7))]
+    peaks = []
+    for ligands in (20_000, 160_000):
+        tracemalloc.start()
+        found = list(N._listed(points, 2, (0.01, 0.05))(packed_batches(ligands)))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert [b.num_rows for b in found] == [2]
+    assert peaks[1] < 1.5 * peaks[0]
+
+
+def test_ranks_are_packed_in_small_rows(spark):
+    """A batch has thousands of rows, so each is small."""
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_pylist([{"target": "t", "ligand": f"l{k:05d}", "active": k % 2, "_n": 3000, "r": k + 1, "_part": 0} for k in range(3000)])
+    rows = [r for b in N._packed(["r"])([batch]) for r in b.to_pylist()]
+    assert max(len(r["rows"]) for r in rows) <= 6 * 256 and [r["number"] for r in rows] == list(range(len(rows)))
+    assert np.concatenate([np.frombuffer(r["rows"], "<i4", r["poses"]) for r in rows]).tolist() == list(range(1, 3001))
